@@ -34,7 +34,7 @@ from snipmill.operators.sequences import labels, with_sequences
 from snipmill.operators.splits import epoch_batches, split_train_validation
 from snipmill.plans.phases import PHASES, Phase, plan_phases, select_phases, with_contents
 from snipmill.plans.pool import build_pool
-from snipmill.session import new_path
+from snipmill.session import materialise, new_path
 from snipmill.sources.jsonl import export_pool, pool_json, read_pool, read_records, write_records
 from snipmill.sources.registry import SOLUTION_LISTS, TAGGED_SOLUTIONS, Source, plain_corpus
 from snipmill.sources.scans import scan
@@ -371,6 +371,11 @@ def replay_candidates_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay_sample(pool, taken, quota, "replay", "de")
 
 
+def _stored(pool: DataFrame) -> DataFrame:
+    """The pool as a table, which it is between the stages: phases read it often."""
+    return materialise(pool, "pool")
+
+
 DOCUMENT_PHASES = (
     Phase("Focus", "de", 60, 3, 0.0),
     Phase("French_Introduction", "fr", 100, 3, 0.15),
@@ -381,11 +386,13 @@ DOCUMENT_PHASES = (
 
 @registered
 def phase_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select_phases(document_pool(spark, sf_dir), DOCUMENT_PHASES, "de")
+    pool = _stored(document_pool(spark, sf_dir).select("snippet_id", "language"))
+    return select_phases(pool, DOCUMENT_PHASES, "de")
 
 
 def _snippet_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select_phases(keep_first(inputs.snippet_records(spark, sf_dir)), PHASES)
+    pool = keep_first(inputs.snippet_records(spark, sf_dir))
+    return select_phases(_stored(pool.select("snippet_id", "language")), PHASES)
 
 
 @registered
@@ -406,7 +413,7 @@ def plan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def selection_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Selected documents with their contents back from the pool."""
-    pool = document_pool(spark, sf_dir)
+    pool = _stored(document_pool(spark, sf_dir))
     chosen = with_contents(select_phases(pool, DOCUMENT_PHASES, "de"), pool)
     return chosen.select(
         "phase", "role", "original_id", F.length("raw_content").alias("content_length")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import ast
+import sys
 import warnings
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -13,6 +15,9 @@ from snipmill.schemas import SYNTAX_FACTS
 
 _ARROW_TYPE = to_arrow_type(SYNTAX_FACTS)
 
+# Send the functions below to the workers as code: these need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _facts(source: str) -> dict:
     """Counts over one syntax tree, or the reason why there is none."""

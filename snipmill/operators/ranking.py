@@ -93,6 +93,16 @@ def first_per_group(
     )
 
 
+def reaching_buckets(df: DataFrame, keys: Sequence[str], draw: str, n: Column) -> DataFrame:
+    """Per group, the last hash bucket one has to read to find ``n`` rows."""
+    offsets = _offsets(df.withColumn(_BUCKET, hash_bucket(F.col(draw))), keys)
+    return (
+        offsets.where(F.col(_BELOW) < n)
+        .groupBy(*keys)
+        .agg(F.max(_BUCKET).alias("last_bucket"))
+    )
+
+
 def first_by_draw(df: DataFrame, draw: str, n: int, ties: Sequence[str] = ()) -> DataFrame:
     """The ``n`` rows with the smallest ``draw``: a sample without replacement.
 

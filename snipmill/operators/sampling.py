@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snipmill.functions.hashing import draw
@@ -40,7 +40,7 @@ def used_ids(*selections: DataFrame) -> DataFrame:
     return ids.where("snippet_id IS NOT NULL AND snippet_id <> ''").distinct()
 
 
-def _row_key(pool: DataFrame):
+def row_key(pool: DataFrame) -> Column:
     """What a row is drawn by: its id, or where it came from if it has none."""
     origin = [c for c in ("source_config_id", "original_id") if c in pool.columns]
     return F.coalesce(F.col("snippet_id"), F.concat_ws("/", *origin) if origin else F.lit(""))
@@ -48,7 +48,7 @@ def _row_key(pool: DataFrame):
 
 def sample(pool: DataFrame, n: int, salt: str, language: str | None = None) -> DataFrame:
     """Exactly ``min(n, rows)`` rows of a language, or of all languages."""
-    candidates = of_language(pool, language).withColumn("_draw", draw(salt, _row_key(pool)))
+    candidates = of_language(pool, language).withColumn("_draw", draw(salt, row_key(pool)))
     return first_by_draw(candidates, "_draw", n, ties=["snippet_id"]).drop("_draw")
 
 

@@ -10,11 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from snipmill.functions.hashing import draw
+from snipmill.operators.ranking import first_by_draw, hash_bucket, reaching_buckets
 from snipmill.operators.sampling import (
     REPLAY_LANGUAGE,
     exclude_used,
     replay_quota,
     replay_sample,
+    row_key,
     sample,
     shuffled,
     used_ids,
@@ -36,6 +39,21 @@ class Phase:
     warmup_ratio: float = 0.1
     replay_rows: int = 0
 
+    def most_replay_rows(self, replay_language: str) -> int:
+        """Replay rows if there are as many main rows as asked for."""
+        return replay_quota(
+            self.num_samples, self.language, self.replay_ratio, self.replay_rows, replay_language
+        )
+
+    def replay_quota(self, main: DataFrame, replay_language: str) -> int:
+        """Replay rows that go with the main rows there are."""
+        if not self.most_replay_rows(replay_language):
+            return 0
+        rows = main.count() if self.replay_ratio > 0 else 0
+        return replay_quota(
+            rows, self.language, self.replay_ratio, self.replay_rows, replay_language
+        )
+
 
 # The phases of one cycle.
 PHASES = (
@@ -45,6 +63,9 @@ PHASES = (
     Phase("Final_Mixed_Tune", None, 250, 2, 0.20),
 )
 
+# Most rows that one task sorts to take the smallest of them.
+ROWS_FOR_ONE_TASK = 100_000
+
 SELECTION = struct(
     phase=TEXT, role=TEXT, snippet_id=TEXT, language=TEXT, position=LongType()
 )
@@ -53,38 +74,94 @@ SELECTION = struct(
 def select_phase(
     pool: DataFrame,
     phase: Phase,
-    used: DataFrame | None,
-    at_most_used: int = 0,
+    used: DataFrame | None = None,
+    at_most_used: int | None = None,
     replay_language: str = REPLAY_LANGUAGE,
 ) -> DataFrame:
-    """Main and replay rows of one phase, as a written table with a ``role``.
+    """Main and replay rows of one phase, with their ``role``.
 
-    ``used`` holds the ids of earlier phases, at most ``at_most_used`` many.
+    ``used`` holds the ids of earlier phases, ``at_most_used`` a bound on them.
     """
     free = pool if used is None else exclude_used(pool, used, at_most_used)
     drawn = sample(free, phase.num_samples, phase.name, phase.language)
     main = materialise(drawn.withColumn("role", F.lit("main")), "main-selection")
-    quota = replay_quota(
-        main.count() if phase.replay_ratio > 0 else 0,
-        phase.language,
-        phase.replay_ratio,
-        phase.replay_rows,
-        replay_language,
-    )
+    quota = phase.replay_quota(main, replay_language)
     if not quota:
         return main
     taken = used_ids(main) if used is None else used_ids(main, used)
-    replay = replay_sample(
-        pool,
-        taken,
-        quota,
-        f"{phase.name} replay",
-        replay_language,
-        at_most_used + phase.num_samples,
+    bound = None if at_most_used is None else at_most_used + phase.num_samples
+    salt = f"{phase.name} replay"
+    replay = replay_sample(pool, taken, quota, salt, replay_language, bound)
+    return main.unionByName(replay.withColumn("role", F.lit("replay")))
+
+
+@dataclass(frozen=True)
+class _Request:
+    """One draw of a phase: at most ``rows`` of a language, when at most
+    ``used_before`` ids are taken already."""
+
+    phase: Phase
+    role: str
+    language: str | None
+    rows: int
+    used_before: int
+
+    @property
+    def salt(self) -> str:
+        return self.phase.name if self.role == "main" else f"{self.phase.name} replay"
+
+
+def _requests(phases: Sequence[Phase], replay_language: str) -> list[_Request]:
+    requests, used = [], 0
+    for phase in phases:
+        for role, language, rows in (
+            ("main", phase.language, phase.num_samples),
+            ("replay", replay_language, phase.most_replay_rows(replay_language)),
+        ):
+            if rows:
+                requests.append(_Request(phase, role, language, rows, used))
+                used += rows
+    return requests
+
+
+def _candidates(pool: DataFrame, requests: Sequence[_Request]) -> DataFrame:
+    """Rows that can be drawn by a request: its smallest draws, as many as it
+    asks for and as could be taken before. All others are out of reach, so the
+    phases need not look at the pool again.
+
+    Two scans of ids and languages serve all requests: one counts the draws per
+    bucket, the other keeps the buckets within reach.
+    """
+    draws = F.array(
+        *(
+            F.when(
+                F.col("language") == r.language if r.language else F.lit(True),
+                F.struct(F.lit(i).alias("request"), draw(r.salt, row_key(pool)).alias("draw")),
+            )
+            for i, r in enumerate(requests)
+        )
+    )
+    drawn = pool.select("snippet_id", "language", F.explode(draws).alias("d")).select(
+        "snippet_id", "language", "d.request", "d.draw"
+    ).where("request IS NOT NULL")
+    needs = F.element_at(
+        F.array(*(F.lit(r.rows + r.used_before) for r in requests)), F.col("request") + 1
     )
-    return main.unionByName(
-        materialise(replay.withColumn("role", F.lit("replay")), "replay-selection")
+    # One row per request comes to the driver.
+    reach = {
+        row["request"]: row["last_bucket"]
+        for row in reaching_buckets(drawn, ["request"], "draw", needs).collect()
+    }
+    last = F.element_at(
+        F.array(*(F.lit(reach.get(i)) for i in range(len(requests)))), F.col("request") + 1
     )
+    return materialise(drawn.where(hash_bucket(F.col("draw")) <= last), "candidates")
+
+
+def _smallest_draws(candidates: DataFrame, n: int) -> DataFrame:
+    if n <= ROWS_FOR_ONE_TASK:
+        return candidates.orderBy("draw", "snippet_id").limit(n)
+    return first_by_draw(candidates, "draw", n, ["snippet_id"])
 
 
 def select_phases(
@@ -94,21 +171,34 @@ def select_phases(
 ) -> DataFrame:
     """Selections of all phases in order, none of them sharing an id.
 
-    Only ids and languages of the pool are read, once to count and once to draw
-    per phase; contents are joined at the end by :func:`with_contents`. What a
-    phase has drawn is a written table, so the plan of the next does not repeat
-    it. The ids used so far are as many as the phases ask for at most, and that
-    bound says whether they may be broadcast.
+    The same rows as :func:`select_phase` phase after phase, but from the small
+    table of candidates. What a draw takes is a written table, so the plan of
+    the next does not repeat it. Contents are joined at the end by
+    :func:`with_contents`.
     """
-    narrow = pool.select("snippet_id", "language")
-    done, bound = [], 0
-    for phase in phases:
-        used = used_ids(*done) if done else None
-        chosen = select_phase(narrow, phase, used, bound, replay_language)
-        bound += phase.num_samples + max(
-            int(phase.num_samples * phase.replay_ratio), phase.replay_rows
+    requests = _requests(phases, replay_language)
+    candidates = _candidates(pool, requests)
+    done: list[DataFrame] = []
+    for i, request in enumerate(requests):
+        rows = request.rows
+        if request.role == "replay":
+            rows = request.phase.replay_quota(main, replay_language)
+        free = candidates.where(F.col("request") == i)
+        if done:
+            taken = reduce(DataFrame.unionByName, done)
+            free = exclude_used(free, taken, request.used_before)
+        picked = materialise(
+            _smallest_draws(free, rows).select(
+                F.lit(request.phase.name).alias("phase"),
+                F.lit(request.role).alias("role"),
+                "snippet_id",
+                "language",
+            ),
+            "picked",
         )
-        done.append(chosen.withColumn("phase", F.lit(phase.name)))
+        if request.role == "main":
+            main = picked
+        done.append(picked)
     union = reduce(DataFrame.unionByName, done)
     salt = F.concat(F.col("phase"), F.lit(" order"))
     return shuffled(union, salt, "phase").select(*SELECTION.names)

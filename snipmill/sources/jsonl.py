@@ -6,15 +6,19 @@ or a folder of part files. Both are read the same way.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import ArrayType, LongType
 
-from snipmill.schemas import CHARACTERISTICS, POOL, RECORD, TEXT, struct
+from snipmill.functions.text import strip
+from snipmill.schemas import CHARACTERISTICS, POOL, RECORD, TEXT, TEXTS, struct
 from snipmill.sources.scans import is_missing, line_place
 
-CORRUPT = "_corrupt"
+# Follows the object of a line when it is parsed, to show that it was all there.
+_END = "_end"
 
 
 def write_records(records: DataFrame, root: str, language: str, source_id: str) -> str:
@@ -24,32 +28,46 @@ def write_records(records: DataFrame, root: str, language: str, source_id: str)
     return path
 
 
-def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All lines, good and bad, with the place they come from."""
-    rows = (
-        spark.read.schema(StructType([*schema.fields, *struct(**{CORRUPT: TEXT}).fields]))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("ignoreCorruptFiles", "true")
+def _parsed_lines(spark: SparkSession, path: str, fields: Sequence[str]) -> DataFrame:
+    """Lines with their place, and the list of objects that they hold.
+
+    Fields are read as text whatever they hold, so a line is bad only if it is
+    not one JSON object. Parsing a list of the line and an end mark finds junk
+    behind the object, which the parser would skip.
+    """
+    entry = struct(**{name: TEXT for name in (*fields, _END)})
+    lines = (
+        spark.read.option("ignoreCorruptFiles", "true")
         .option("ignoreMissingFiles", "true")
-        .json(path)
+        .text(path)
     )
-    return rows.select(
-        *rows.columns,
-        F.struct(*(c.alias(n.lstrip("_")) for n, c in line_place().items())).alias("place"),
+    place = F.struct(*(c.alias(n.lstrip("_")) for n, c in line_place().items()))
+    framed = F.concat(F.lit("["), F.col("value"), F.lit(f',{{"{_END}":"1"}}]'))
+    return lines.select(
+        F.col("value").alias("line"),
+        place.alias("place"),
+        F.from_json(framed, ArrayType(entry), {"allowSingleQuotes": "false"}).alias("parsed"),
     )
 
 
-def _good(rows: DataFrame) -> DataFrame:
-    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+def _is_object() -> Column:
+    """Whether a line is one object with nothing behind it; never null."""
+    parsed = F.col("parsed")
+    whole = (F.size(parsed) == 2) & F.get(parsed, F.lit(0)).isNotNull()
+    return F.coalesce(whole & F.get(parsed, F.lit(1))[_END].isNotNull(), F.lit(False))
+
+
+def _good(lines: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """The objects as rows. Exploding keeps the parsed list in one place, where
+    a filter on it would be pushed down and parse every line again."""
+    found = F.explode(F.when(_is_object(), F.slice("parsed", 1, 1))).alias("entry")
+    return lines.select("place", found).select(*(f"entry.{f}" for f in fields), "place")
 
 
-def _bad(rows: DataFrame) -> DataFrame:
-    """Quarantine: lines that are not JSON objects, by place in their file."""
-    return rows.where(F.col(CORRUPT).isNotNull()).select(
-        F.col("place.file").alias("file"),
-        F.col("place.start").alias("slice"),
-        F.col(CORRUPT).alias("line"),
+def _bad(lines: DataFrame) -> DataFrame:
+    """Quarantine: lines that are not JSON objects, by place. Blank ones vanish."""
+    return lines.where(~_is_object() & (strip(F.col("line")) != "")).select(
+        F.col("place.file").alias("file"), F.col("place.start").alias("slice"), "line"
     )
 
 
@@ -60,8 +78,9 @@ def read_records(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     ``ord`` where files written elsewhere have none. A missing root raises
     ``AnalysisException`` before any job starts.
     """
-    rows = _read(spark, f"{root.rstrip('/')}/*/*.jsonl", RECORD)
-    return _good(rows), _bad(rows)
+    lines = _parsed_lines(spark, f"{root.rstrip('/')}/*/*.jsonl", RECORD.names)
+    records = _good(lines, RECORD.names)
+    return records.withColumn("ord", F.col("ord").try_cast("bigint")), _bad(lines)
 
 
 # Names in the export, per language. Its "imports" are names for Python and a
@@ -115,30 +134,28 @@ def export_pool(pool: DataFrame, path: str) -> None:
 
 
 def _metrics_from_text() -> Column:
-    """Struct with all metrics, from one in which ``imports`` is raw JSON."""
-    raw = F.col("characteristics.imports")
-    names = F.from_json(raw, "array<string>")
+    """Struct with all metrics, from JSON in which ``imports`` may be either."""
+    types = {f.name: f.dataType for f in CHARACTERISTICS} | {"imports": TEXT}
+    written = F.from_json("characteristics", struct(**types))
+    raw = written["imports"]
     own = {
-        "imports": F.when(raw.startswith("["), names),
-        "num_imports": F.coalesce(F.col("characteristics.num_imports"), raw.try_cast("int")),
+        "imports": F.when(raw.startswith("["), F.from_json(raw, TEXTS)),
+        "num_imports": F.coalesce(written["num_imports"], raw.try_cast("int")),
     }
-    return F.struct(
-        *(own.get(n, F.col(f"characteristics.{n}")).alias(n) for n in CHARACTERISTICS.names)
-    )
+    fields = (own.get(name, written[name]).alias(name) for name in CHARACTERISTICS.names)
+    return F.when(F.col("characteristics").isNotNull(), F.struct(*fields))
 
 
 def read_pool(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Pool from JSON Lines, and the lines left out. No file: an empty pool."""
-    types = {f.name: f.dataType for f in CHARACTERISTICS} | {"imports": TEXT}
-    schema = struct(
-        **{f.name: f.dataType for f in POOL} | {"characteristics": struct(**types)}
-    )
     try:
-        rows = _read(spark, path, schema)
+        lines = _parsed_lines(spark, path, POOL.names)
     except AnalysisException as error:
         if not is_missing(error):
             raise
-        nothing = spark.createDataFrame([], struct(file=TEXT, slice=LongType(), line=TEXT))
-        return spark.createDataFrame([], POOL), nothing
-    pool = _good(rows).withColumn("characteristics", _metrics_from_text())
-    return pool.select(*POOL.names), _bad(rows)
+        quarantine = struct(file=TEXT, slice=LongType(), line=TEXT)
+        return spark.createDataFrame([], POOL), spark.createDataFrame([], quarantine)
+    pool = _good(lines, POOL.names).withColumns(
+        {"ord": F.col("ord").try_cast("bigint"), "characteristics": _metrics_from_text()}
+    )
+    return pool.select(*POOL.names), _bad(lines)
