@@ -149,10 +149,11 @@ def id_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with token ids: words hashed into a vocabulary. Some have no
-    token, and for some the ids are missing."""
+    """Documents with token ids, made of the length, first and last letter of
+    each word. Some have no token, and for some the ids are missing."""
     token = (
-        f"CAST(conv(substr(md5(w), 1, 8), 16, 10) AS BIGINT) % {VOCABULARY} + 1"
+        "(length(w) * 1009 + ascii(w) * 31 + ascii(substr(w, -1))) "
+        f"% {VOCABULARY} + 1"
     )
     return table(spark, sf_dir, "documents").selectExpr(
         "doc_id",
@@ -165,7 +166,7 @@ def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One batch per document: the sequence is the label, and a prediction is
-    right where a hash of document and place starts with a digit."""
+    right in six places out of ten."""
     sequences = with_sequences(document_tokens(spark, sf_dir), PAD, EOS)
     return sequences.selectExpr(
         "lang AS phase",
@@ -173,7 +174,6 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN token_ids IS NOT NULL THEN size(token_ids) / 100D END AS loss",
         "input_ids AS label",
         "transform(input_ids, (t, i) -> "
-        "CASE WHEN substr(md5(concat(doc_id, '-', i)), 1, 1) < 'a' THEN t ELSE t + 1 END"
-        ") AS pred",
+        "CASE WHEN (doc_id + t * 7 + i) % 10 < 6 THEN t ELSE t + 1 END) AS pred",
         "attention_mask AS attention",
     )

@@ -216,8 +216,8 @@ def zero_yield_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- metrics --------------------------------------------------------------
 
 
-def _metrics(records: DataFrame, *names: str) -> DataFrame:
-    return with_characteristics(records).select(
+def _metrics(records: DataFrame, languages: tuple[str, ...], *names: str) -> DataFrame:
+    return with_characteristics(records, languages=languages).select(
         "original_id", "language", *(f"characteristics.{n}" for n in names)
     )
 
@@ -231,13 +231,13 @@ def char_generic(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = inputs.document_records(spark, sf_dir).unionByName(
         inputs.page_records(spark, sf_dir)
     )
-    return _metrics(records, "loc", "avg_line_length")
+    return _metrics(records, (), "loc", "avg_line_length")
 
 
 @registered
 def char_python_ast(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = _metrics(
-        _snippets_in(spark, sf_dir, "python"),
+        _snippets_in(spark, sf_dir, "python"), ("python",),
         "num_functions", "num_classes", "imports", "ast_parse_success", "syntax_error_detail",
     )
     return metrics.withColumn("imports", F.array_join("imports", ",")).withColumn(
@@ -248,7 +248,8 @@ def char_python_ast(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def char_python_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metrics(
-        _snippets_in(spark, sf_dir, "python"), "loc", "avg_line_length", "num_comments"
+        _snippets_in(spark, sf_dir, "python"), ("python",),
+        "loc", "avg_line_length", "num_comments",
     )
 
 
@@ -264,7 +265,7 @@ def viable_python(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def char_c_cpp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metrics(
-        _snippets_in(spark, sf_dir, "c", "cpp"),
+        _snippets_in(spark, sf_dir, "c", "cpp"), ("c", "cpp"),
         "loc", "avg_line_length", "includes", "main_function", "function_defs",
         "num_comments_sl", "num_comments_ml_lines",
     )
@@ -273,7 +274,7 @@ def char_c_cpp(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def char_java(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metrics(
-        _snippets_in(spark, sf_dir, "java"),
+        _snippets_in(spark, sf_dir, "java"), ("java",),
         "loc", "avg_line_length", "num_imports", "class_defs", "main_method",
         "num_comments_sl", "num_comments_ml_lines",
     )
@@ -282,7 +283,7 @@ def char_java(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def char_rust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metrics(
-        _snippets_in(spark, sf_dir, "rust"),
+        _snippets_in(spark, sf_dir, "rust"), ("rust",),
         "loc", "avg_line_length", "uses", "fn_defs", "struct_defs", "impl_blocks",
         "main_function", "num_comments_sl",
     )
@@ -293,7 +294,7 @@ def char_web_pages_as_c(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The C heuristics on long real lines: web pages with style sheets and scripts."""
     pages = inputs.page_records(spark, sf_dir).withColumn("language", F.lit("C"))
     return _metrics(
-        pages, "loc", "includes", "main_function", "function_defs",
+        pages, ("c",), "loc", "includes", "main_function", "function_defs",
         "num_comments_sl", "num_comments_ml_lines",
     )
 

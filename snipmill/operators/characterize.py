@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -107,7 +107,7 @@ METRICS: dict[str, Callable[[], dict[str, Column]]] = {
 }
 
 
-def _characteristics(content: Column) -> Column:
+def _characteristics(content: Column, metrics: dict) -> Column:
     # The average takes line ends into account as they were written.
     per_field: dict[str, Column] = {
         "loc": F.size(_LINES),
@@ -115,33 +115,41 @@ def _characteristics(content: Column) -> Column:
             F.size(_LINES) > 0, F.length(content) / F.size(_LINES)
         ).otherwise(0.0),
     }
-    for metric_set in dict.fromkeys(METRICS.values()):
-        languages = [name for name, its in METRICS.items() if its is metric_set]
+    for metric_set in dict.fromkeys(metrics.values()):
+        languages = [name for name, its in metrics.items() if its is metric_set]
         applies = F.col(_LANGUAGE).isin(languages)
         for field, value in metric_set().items():
             others = per_field.get(field, F.lit(None))
             per_field[field] = F.when(applies, value).otherwise(others)
+    absent = F.lit(None)
     return F.struct(
-        *(per_field[f.name].cast(f.dataType).alias(f.name) for f in CHARACTERISTICS)
+        *(per_field.get(f.name, absent).cast(f.dataType).alias(f.name) for f in CHARACTERISTICS)
     )
 
 
 def with_characteristics(
-    records: DataFrame, content: str = "raw_content", language: str = "language"
+    records: DataFrame,
+    content: str = "raw_content",
+    language: str = "language",
+    languages: Collection[str] | None = None,
 ) -> DataFrame:
     """Add ``characteristics``. The stored language keeps its spelling.
 
     The text is split once, in a projection of its own. The Python UDF gets
     null for all rows of other languages, so their texts never leave the JVM;
-    that keeps one scan where a union of languages would need two.
+    that keeps one scan where a union of languages would need two. Where the
+    ``languages`` of the records are known and Python is not among them, no
+    UDF is planned at all.
     """
+    metrics = {k: v for k, v in METRICS.items() if languages is None or k in languages}
     key = F.lower(F.coalesce(F.col(language), F.lit("unknown")))
-    sources = F.when(key == "python", F.col(content))
+    if "python" in metrics:
+        sources = F.when(key == "python", F.col(content))
+        records = records.withColumn(_SYNTAX, python_syntax(sources))
     return (
-        records.withColumn(_SYNTAX, python_syntax(sources))
-        .withColumns({_LANGUAGE: key, _TEXT: unify_line_ends(F.col(content))})
+        records.withColumns({_LANGUAGE: key, _TEXT: unify_line_ends(F.col(content))})
         .withColumn(_LINES, unified_lines(F.col(_TEXT)))
-        .withColumn("characteristics", _characteristics(F.col(content)))
+        .withColumn("characteristics", _characteristics(F.col(content), metrics))
         .drop(_SYNTAX, _LANGUAGE, _TEXT, _LINES)
     )
 

@@ -15,7 +15,7 @@ KEEP_ORDER = ("language", "source_config_id", "ord")
 
 def drop_empty(records: DataFrame, content: str = "raw_content") -> DataFrame:
     """Records that have content."""
-    return records.where(F.col(content).isNotNull() & (F.col(content) != ""))
+    return records.where(F.col(content) != "")
 
 
 def keep_first(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,15 +16,14 @@ def evaluation_summary(
     would multiply the table. A batch without a loss adds nothing to the sum
     but counts as a batch. No batches: infinite loss; no tokens: accuracy 0.
     """
-    late = {
-        name: F.slice(name, F.lit(1 + shift), F.greatest(F.size(name) - shift, F.lit(0)))
-        for name in ("label", "attention")
-    }
-    tokens = F.arrays_zip(
-        late["label"].alias("label"), F.col("pred"), late["attention"].alias("attention")
+
+    def at(name: str, place: Column) -> Column:
+        return F.get(name, place + shift)
+
+    target = F.filter("attention", lambda a, place: (a == 1) & (place >= shift))
+    correct = F.filter(
+        "pred", lambda p, place: (at("label", place) == p) & (at("attention", place) == 1)
     )
-    target = F.filter(tokens, lambda t: t["attention"] == 1)
-    correct = F.filter(target, lambda t: t["label"] == t["pred"])
     counted = predictions.select(
         *keys, "loss", F.size(target).alias("_target"), F.size(correct).alias("_correct")
     )

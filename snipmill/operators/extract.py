@@ -169,7 +169,7 @@ def records_of(rows: DataFrame, source: Source) -> DataFrame:
 
 def is_long_enough(content: Column, minimum: int = MIN_CONTENT_LENGTH) -> Column:
     """Whether there is content of at least ``minimum`` characters; never null."""
-    return F.coalesce((content != "") & (F.length(content) >= minimum), F.lit(False))
+    return F.coalesce(F.length(content) >= max(minimum, 1), F.lit(False))
 
 
 def long_enough(records: DataFrame, minimum: int = MIN_CONTENT_LENGTH) -> DataFrame:
