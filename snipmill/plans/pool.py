@@ -24,8 +24,9 @@ def pool_from_jsonl(
 ) -> tuple[DataFrame, DataFrame]:
     """Build the pool from the records below ``root`` and write it to ``out``.
 
-    Parquet by language is the working form; ``export`` names a place for JSON
-    Lines as well. Returns the duplicate report and the quarantined lines.
+    Parquet is the working form, of which later stages read only the columns
+    they need; ``export`` names a place for JSON Lines as well. Returns the
+    duplicate report and the quarantined lines.
     """
     records, left_out = read_records(spark, root)
     build_pool(records, (*KEEP_ORDER, "place")).write.mode("overwrite").parquet(out)
