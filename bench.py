@@ -17,12 +17,12 @@ from snipmill.session import SETTINGS
 HEADLINE = (
     "pool_summary",
     "exact_dedup_keep_first",
-    "dedup_report_documents",
+    "dedup_report",
     "extract_first_field",
     "extract_list_field",
     "extract_nested_solution",
     "extract_json_solutions",
-    "yield_report_documents",
+    "yield_report",
     "first_n_per_source",
     "char_generic",
     "char_python_ast",
@@ -31,11 +31,11 @@ HEADLINE = (
     "char_rust",
     "char_unified",
     "sample_language",
-    "exclude_used_ids",
+    "exclude_used",
     "phase_selection_snippets",
     "plan_summary",
     "train_val_split",
-    "epoch_batch_plan",
+    "epoch_batches",
     "sequence_shape",
     "eval_summary",
     "jsonl_round_trip",

@@ -460,7 +460,7 @@ SELECT language, count(*) AS n, CAST(sum(len(lines)) AS BIGINT) AS sum_loc,
 FROM lined GROUP BY language""",
     "exact_dedup_keep_first": f"WITH {DOCUMENTS} SELECT {_RECORD_COLUMNS} FROM doc_pool",
     "dedup_across_languages": f"WITH {SNIPPETS} SELECT {_RECORD_COLUMNS} FROM snippet_pool",
-    "dedup_report_documents": f"WITH {DOCUMENTS} {_report('docs')}",
+    "dedup_report": f"WITH {DOCUMENTS} {_report('docs')}",
     "dedup_report_snippets": f"WITH {SNIPPETS} {_report('snippets')}",
     "extract_first_field": f"""WITH {_TWO}, records AS (
   SELECT *, CASE WHEN prompt <> '' THEN prompt ELSE answer END AS raw_content FROM two)
@@ -495,7 +495,7 @@ FROM docs WHERE length(raw_content) >= 20""",
   SELECT source, doc_id, n_chars,
     row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rank FROM documents)
 WHERE rank <= 25""",
-    "yield_report_documents": f"""WITH {DOCUMENTS}
+    "yield_report": f"""WITH {DOCUMENTS}
 SELECT source_config_id, count(*) AS processed,
   count(*) FILTER (WHERE length(raw_content) >= 20) AS written,
   CAST(grouping(source_config_id) AS INTEGER) AS is_total
@@ -531,16 +531,16 @@ FROM part WHERE {templates.LANGUAGE} = 'python' AND {_PARSED}""",
 {_lined('texts')}
 SELECT original_id, language, {_LOC}, {_named(_C)} FROM lined""",
     "char_unified": _UNIFIED,
-    "pool_language_distribution": f"""WITH {DOCUMENTS}
+    "language_distribution": f"""WITH {DOCUMENTS}
 SELECT language, count(*) AS n FROM doc_pool GROUP BY language""",
     "sample_language": (
         f"WITH {DOCUMENTS} {_first('doc_pool', "language = 'de'", 'sample', '30')}"
     ),
     "sample_any": f"WITH {DOCUMENTS} {_first('doc_pool', 'true', 'sample', '400')}",
-    "exclude_used_ids": f"""WITH {DOCUMENTS}, {_USED}
+    "exclude_used": f"""WITH {DOCUMENTS}, {_USED}
 SELECT snippet_id, language FROM doc_pool
 WHERE snippet_id NOT IN (SELECT snippet_id FROM used)""",
-    "replay_candidates_sample": f"""WITH {DOCUMENTS}, {_USED},
+    "replay_sample": f"""WITH {DOCUMENTS}, {_USED},
 free AS (SELECT * FROM doc_pool WHERE snippet_id NOT IN (SELECT snippet_id FROM used)),
 main AS MATERIALIZED ({_first('free', "language = 'fr'", 'main', '60')})
 {_first('free', "language = 'de' AND snippet_id NOT IN (SELECT snippet_id FROM main)",
@@ -564,7 +564,7 @@ FROM counted""",
 SELECT phase, role, original_id, CAST(length(raw_content) AS INTEGER) AS content_length
 FROM selection JOIN doc_pool USING (snippet_id)""",
     "train_val_split": f"{_DOCUMENT_SPLIT} SELECT phase, snippet_id, part, place FROM split",
-    "epoch_batch_plan": f"""{_DOCUMENT_SPLIT},
+    "epoch_batches": f"""{_DOCUMENT_SPLIT},
 epochs AS (SELECT *, unnest([1, 2, 3]) AS epoch FROM split),
 placed AS (
   SELECT *, CASE WHEN part = 'val' THEN place ELSE row_number() OVER (

@@ -45,7 +45,9 @@ REGISTERED: dict[str, Query] = {}
 
 
 def registered(query: Query) -> Query:
-    REGISTERED[query.__name__] = query
+    """Register a query under its name, without an underscore that sets it apart
+    from the operator of that name."""
+    REGISTERED[query.__name__.rstrip("_")] = query
     return query
 
 
@@ -84,7 +86,7 @@ def dedup_across_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered
-def dedup_report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dedup_report_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_report(inputs.document_records(spark, sf_dir))
 
 
@@ -198,7 +200,7 @@ def first_n_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered
-def yield_report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def yield_report_(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = inputs.document_records(spark, sf_dir)
     return yield_report(records, is_long_enough(F.col("raw_content")))
 
@@ -340,34 +342,35 @@ def _used(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered
-def pool_language_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+def language_distribution_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_distribution(document_pool(spark, sf_dir))
 
 
 @registered
 def sample_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pool = document_pool(spark, sf_dir).select("snippet_id", "language")
+    pool = _stored(document_pool(spark, sf_dir).select("snippet_id", "language"))
     return sample(pool, 30, "sample", "de")
 
 
 @registered
 def sample_any(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pool = document_pool(spark, sf_dir).select("snippet_id", "language")
+    pool = _stored(document_pool(spark, sf_dir).select("snippet_id", "language"))
     return sample(pool, 400, "sample")
 
 
 @registered
-def exclude_used_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+def exclude_used_(spark: SparkSession, sf_dir: str) -> DataFrame:
     pool = document_pool(spark, sf_dir).select("snippet_id", "language")
     return exclude_used(pool, _used(spark, sf_dir))
 
 
 @registered
-def replay_candidates_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+def replay_sample_(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A replay share of German documents beside a main sample of French ones."""
-    pool = document_pool(spark, sf_dir).select("snippet_id", "language")
-    main = sample(exclude_used(pool, _used(spark, sf_dir)), 60, "main", "fr")
-    taken = used_ids(main, _used(spark, sf_dir))
+    pool = _stored(document_pool(spark, sf_dir).select("snippet_id", "language"))
+    used = materialise(_used(spark, sf_dir), "used")
+    main = materialise(sample(exclude_used(pool, used), 60, "main", "fr"), "main")
+    taken = used_ids(main, used)
     quota = replay_quota(main.count(), "fr", 0.29, replay_language="de")
     return replay_sample(pool, taken, quota, "replay", "de")
 
@@ -423,7 +426,7 @@ def selection_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _document_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     pool = document_pool(spark, sf_dir).select(F.col("language").alias("phase"), "snippet_id")
-    return split_train_validation(pool)
+    return split_train_validation(_stored(pool))
 
 
 @registered
@@ -432,7 +435,7 @@ def train_val_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered
-def epoch_batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def epoch_batches_(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches = epoch_batches(_document_split(spark, sf_dir), 3, 8)
     return batches.select("phase", "snippet_id", "part", "epoch", "batch")
 

@@ -8,6 +8,10 @@ numbered only inside their bucket.
 Buckets must be small by construction. Two kinds are: the leading hex digits of
 a hash (:func:`hash_bucket`), which split any group evenly, and runs of
 positions that are unique in their group (:func:`position_bucket`).
+
+A bucket is identified by one struct of keys and place. Structs compare equal
+where both hold a null, so a null key makes a group like any other, and the
+window and the join that follow share one shuffle on that struct.
 """
 
 from __future__ import annotations
@@ -21,7 +25,8 @@ from snipmill.session import materialise
 
 POSITION_BITS = 16
 
-_BUCKET, _COUNT, _BELOW, _WITHIN = "_bucket", "_in_bucket", "_below", "_within"
+_BUCKET, _PLACE, _COUNT = "_bucket", "_place", "_in_bucket"
+_BELOW, _TOTAL, _WITHIN = "_below", "_total", "_within"
 
 
 def hash_bucket(draw: Column) -> Column:
@@ -34,72 +39,74 @@ def position_bucket(position: Column) -> Column:
     return F.shiftright(position.cast("bigint"), POSITION_BITS)
 
 
+def _bucketed(df: DataFrame, keys: Sequence[str], place: Column) -> DataFrame:
+    return df.withColumn(_BUCKET, F.struct(*keys, place.alias(_PLACE)))
+
+
 def _offsets(bucketed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows per bucket, and rows of the group in all buckets before it."""
-    before = (
-        Window.partitionBy(*keys)
-        .orderBy(_BUCKET)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return (
-        bucketed.groupBy(*keys, _BUCKET)
-        .agg(F.count("*").alias(_COUNT))
-        .withColumn(_BELOW, F.coalesce(F.sum(_COUNT).over(before), F.lit(0)))
+    """Per bucket: its rows, the rows of its group before it, and in all."""
+    group = Window.partitionBy(*(F.col(_BUCKET)[k] for k in keys))
+    before = group.orderBy(F.col(_BUCKET)[_PLACE]).rowsBetween(Window.unboundedPreceding, -1)
+    counts = bucketed.groupBy(_BUCKET).agg(F.count("*").alias(_COUNT))
+    return counts.select(
+        _BUCKET,
+        _COUNT,
+        F.coalesce(F.sum(_COUNT).over(before), F.lit(0)).alias(_BELOW),
+        F.sum(_COUNT).over(group).alias(_TOTAL),
     )
 
 
-def _rank(bucketed: DataFrame, offsets: DataFrame, keys: Sequence[str], order: Sequence[str]):
-    """Join offsets and number the rows: both work on one (keys, bucket) shuffle."""
-    within = Window.partitionBy(*keys, _BUCKET).orderBy(*order)
-    numbered = bucketed.withColumn(_WITHIN, F.row_number().over(within)).alias("rows")
-    matches = [F.col(f"rows.{k}").eqNullSafe(F.col(f"at.{k}")) for k in (*keys, _BUCKET)]
-    return numbered.join(offsets.alias("at"), matches).select(
-        *(F.col(f"rows.{c}") for c in bucketed.columns if c != _BUCKET),
-        (F.col(_BELOW) + F.col(_WITHIN)).alias("rank"),
-    )
+def _within(order: Sequence[str]) -> Column:
+    return F.row_number().over(Window.partitionBy(_BUCKET).orderBy(*order))
 
 
 def with_rank(
-    df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[str]
+    df: DataFrame,
+    keys: Sequence[str],
+    place: Column,
+    order: Sequence[str],
+    size: str | None = None,
 ) -> DataFrame:
-    """Add ``rank``, the 1-based position of a row in its group, to every row."""
-    bucketed = df.withColumn(_BUCKET, bucket)
-    return _rank(bucketed, _offsets(bucketed, keys), keys, order)
+    """Add ``rank``, the 1-based position of a row in its group, to every row,
+    and the size of the group under the name ``size``."""
+    bucketed = _bucketed(df, keys, place)
+    numbered = bucketed.withColumn(_WITHIN, _within(order))
+    ranked = numbered.join(_offsets(bucketed, keys), _BUCKET)
+    return ranked.select(
+        *df.columns,
+        (F.col(_BELOW) + F.col(_WITHIN)).alias("rank"),
+        *([F.col(_TOTAL).alias(size)] if size else []),
+    )
 
 
 def first_per_group(
-    df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[str], n: Column
+    df: DataFrame, keys: Sequence[str], place: Column, order: Sequence[str], n: Column
 ) -> DataFrame:
     """The first ``n`` rows of each group, with their ``rank``.
 
-    ``n`` may depend on the keys. Buckets that lie wholly behind the n-th row
-    are dropped by a join with the list of the others before anything wide is
-    shuffled. That list is written first, so its true size decides whether
-    Spark broadcasts it.
+    Buckets that lie wholly behind the n-th row are dropped by a join with the
+    list of the others before anything wide is shuffled. That list is written
+    first, so its true size decides whether Spark broadcasts it.
     """
-    bucketed = df.withColumn(_BUCKET, bucket)
+    bucketed = _bucketed(df, keys, place)
     reached = materialise(
         _offsets(bucketed, keys).where(F.col(_BELOW) < n), "reached-buckets"
     )
-    rows, at = bucketed.alias("rows"), reached.alias("at")
-    matches = [F.col(f"rows.{k}").eqNullSafe(F.col(f"at.{k}")) for k in (*keys, _BUCKET)]
-    within = Window.partitionBy(*keys, _BUCKET).orderBy(*order)
-    return (
-        rows.join(at, matches)
-        .select("rows.*", _BELOW)
-        .withColumn("rank", F.col(_BELOW) + F.row_number().over(within))
-        .where(F.col("rank") <= n)
-        .drop(_BUCKET, _BELOW)
+    ranked = bucketed.join(reached, _BUCKET).withColumn(
+        "rank", F.col(_BELOW) + _within(order)
     )
+    return ranked.where(F.col("rank") <= n).select(*df.columns, "rank")
 
 
 def reaching_buckets(df: DataFrame, keys: Sequence[str], draw: str, n: Column) -> DataFrame:
     """Per group, the last hash bucket one has to read to find ``n`` rows."""
-    offsets = _offsets(df.withColumn(_BUCKET, hash_bucket(F.col(draw))), keys)
+    offsets = _offsets(_bucketed(df, keys, hash_bucket(F.col(draw))), keys)
+    fields = [F.col(_BUCKET)[k].alias(k) for k in keys]
     return (
-        offsets.where(F.col(_BELOW) < n)
+        offsets.select(*fields, F.col(_BUCKET)[_PLACE].alias(_PLACE), _BELOW)
+        .where(F.col(_BELOW) < n)
         .groupBy(*keys)
-        .agg(F.max(_BUCKET).alias("last_bucket"))
+        .agg(F.max(_PLACE).alias("last_bucket"))
     )
 
 
@@ -107,18 +114,18 @@ def first_by_draw(df: DataFrame, draw: str, n: int, ties: Sequence[str] = ()) ->
     """The ``n`` rows with the smallest ``draw``: a sample without replacement.
 
     One scan counts the rows per slice of the draw and finds the slice that
-    holds the n-th row. A second scan keeps what lies before it, and numbers
-    only the rows of that last slice.
+    holds the n-th row; a single row comes to the driver. A second scan keeps
+    what lies before it, and numbers only the rows inside their slice.
     """
-    bucketed = df.withColumn(_BUCKET, hash_bucket(F.col(draw)))
-    reached = _offsets(bucketed, []).where(F.col(_BELOW) < n)
-    last = reached.agg(
-        F.max(F.struct(_BUCKET, (n - F.col(_BELOW)).alias("open"))).alias("last")
-    ).scalar()
-    within = Window.partitionBy(_BUCKET).orderBy(draw, *ties)
+    bucketed = _bucketed(df, [], hash_bucket(F.col(draw)))
+    place = F.col(_BUCKET)[_PLACE]
+    reached = _offsets(bucketed, []).select(place.alias(_PLACE), (n - F.col(_BELOW)).alias("open"))
+    last = reached.where("open > 0").agg(F.max(F.struct(_PLACE, "open")).alias("last")).head().last
+    if last is None:
+        return df.limit(0)
     return (
-        bucketed.where(F.col(_BUCKET) <= last[_BUCKET])
-        .withColumn(_WITHIN, F.row_number().over(within))
-        .where((F.col(_BUCKET) < last[_BUCKET]) | (F.col(_WITHIN) <= last["open"]))
-        .drop(_BUCKET, _WITHIN)
+        bucketed.where(place <= last[_PLACE])
+        .withColumn(_WITHIN, _within([draw, *ties]))
+        .where((place < last[_PLACE]) | (F.col(_WITHIN) <= last["open"]))
+        .select(*df.columns)
     )

@@ -37,18 +37,15 @@ def split_train_validation(
 ) -> DataFrame:
     """Add ``part`` (train or val), exact in size per group, and the ``place`` in it."""
     drawn = selection.withColumn("_draw", draw(seed, F.col("snippet_id")))
-    ranked = with_rank(drawn, keys, hash_bucket(F.col("_draw")), ["_draw", "snippet_id"])
-    sizes = selection.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    val = validation_rows(F.col("_rows"), ratio)
+    ranked = with_rank(
+        drawn, keys, hash_bucket(F.col("_draw")), ["_draw", "snippet_id"], size="_rows"
+    )
+    held_out = F.col("rank") <= F.col("_val")
     return (
-        ranked.join(sizes, list(keys))
-        .withColumn("_val", val)
-        .withColumn("part", F.when(F.col("rank") <= F.col("_val"), "val").otherwise("train"))
+        ranked.withColumn("_val", validation_rows(F.col("_rows"), ratio))
+        .withColumn("part", F.when(held_out, "val").otherwise("train"))
         .withColumn(
-            "place",
-            F.when(F.col("part") == "val", F.col("rank")).otherwise(
-                F.col("rank") - F.col("_val")
-            ),
+            "place", F.when(held_out, F.col("rank")).otherwise(F.col("rank") - F.col("_val"))
         )
         .drop("_draw", "_rows", "_val", "rank")
     )
@@ -70,18 +67,14 @@ def epoch_batches(
     drawn = per_epoch.withColumn(
         "_draw", draw(F.col("epoch").cast("string"), F.col("snippet_id"))
     )
-    train = with_rank(
-        drawn.where("part = 'train'"),
-        [*keys, "epoch"],
+    ranked = with_rank(
+        drawn,
+        [*keys, "epoch", "part"],
         hash_bucket(F.col("_draw")),
         ["_draw", "snippet_id"],
     )
-    val = drawn.where("part = 'val'").withColumn("rank", F.col("place"))
-    return (
-        train.unionByName(val)
-        .withColumn("batch", F.floor((F.col("rank") - 1) / batch_size))
-        .drop("_draw", "rank")
-    )
+    place = F.when(F.col("part") == "train", F.col("rank")).otherwise(F.col("place"))
+    return ranked.withColumn("batch", F.floor((place - 1) / batch_size)).drop("_draw", "rank")
 
 
 def step_plan(

@@ -174,7 +174,7 @@ def select_phases(
     The same rows as :func:`select_phase` phase after phase, but from the small
     table of candidates. What a draw takes is a written table, so the plan of
     the next does not repeat it. Contents are joined at the end by
-    :func:`with_contents`.
+    :func:`with_contents`, for which the result is a written table too.
     """
     requests = _requests(phases, replay_language)
     candidates = _candidates(pool, requests)
@@ -201,11 +201,15 @@ def select_phases(
         done.append(picked)
     union = reduce(DataFrame.unionByName, done)
     salt = F.concat(F.col("phase"), F.lit(" order"))
-    return shuffled(union, salt, "phase").select(*SELECTION.names)
+    return materialise(shuffled(union, salt, "phase").select(*SELECTION.names), "selection")
 
 
 def with_contents(selection: DataFrame, pool: DataFrame) -> DataFrame:
-    """Selected rows with everything the pool knows of them."""
+    """Selected rows with everything the pool knows of them.
+
+    ``selection`` should be a written table: Spark then knows that it is small,
+    and finds its rows without moving the pool.
+    """
     return selection.join(pool.drop("language"), "snippet_id")
 
 

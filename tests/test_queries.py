@@ -45,7 +45,7 @@ def test_copies_are_dropped_before_the_shuffle(spark):
 
 
 @pytest.mark.parametrize(
-    "name", ["exclude_used_ids", "selection_contents", "train_val_split", "sample_any"]
+    "name", ["exclude_used", "selection_contents", "train_val_split", "sample_any"]
 )
 def test_no_pairs_of_all_rows(spark, name):
     plan = plan_of(spark, name)
