@@ -68,13 +68,18 @@ def with_rank(
     size: str | None = None,
 ) -> DataFrame:
     """Add ``rank``, the 1-based position of a row in its group, to every row,
-    and the size of the group under the name ``size``."""
+    and the size of the group under the name ``size``.
+
+    Rows are read twice, to count and to number them. If the second time a row
+    falls into a bucket that was not counted, the job fails; no row is lost.
+    """
     bucketed = _bucketed(df, keys, place)
     numbered = bucketed.withColumn(_WITHIN, _within(order))
-    ranked = numbered.join(_offsets(bucketed, keys), _BUCKET)
+    ranked = numbered.join(_offsets(bucketed, keys), _BUCKET, "left")
+    below = F.coalesce(F.col(_BELOW), F.raise_error(F.lit("input changed while it was ranked")))
     return ranked.select(
         *df.columns,
-        (F.col(_BELOW) + F.col(_WITHIN)).alias("rank"),
+        (below + F.col(_WITHIN)).alias("rank"),
         *([F.col(_TOTAL).alias(size)] if size else []),
     )
 

@@ -12,11 +12,19 @@ from pyspark.sql import functions as F
 from snipmill.operators.extract import is_long_enough, long_enough, records_of
 from snipmill.sources.jsonl import write_records
 from snipmill.sources.registry import SOURCES, Source
-from snipmill.sources.scans import missing_paths, scan
+from snipmill.sources.scans import (
+    missing_paths,
+    open_source,
+    parquet_positions,
+    with_positions,
+)
 from snipmill.streaming.bounded import take
 
 log = logging.getLogger(__name__)
 
+# Spark counts the rows that a stream lets through in 32 bits.
+MOST_STREAMED = (1 << 31) - 1
+
 
 @dataclass(frozen=True)
 class SourceStatus:
@@ -33,25 +41,26 @@ class SourceStatus:
         return self.processed > 0 and self.written == 0
 
 
-def read_source(spark: SparkSession, source: Source, root: str) -> DataFrame:
-    """Rows of a source with ``ord``, as a batch or as a bounded stream."""
-    if not source.streamed:
-        return scan(spark, source, root)
+def _stream(spark: SparkSession, source: Source, root: str) -> DataFrame:
+    """A source read as a bounded stream, as the table that it leaves."""
     path = source.path(root)
     schema = source.schema or spark.read.format(source.format).load(path).schema
-    rows = take(spark, path, schema, source.max_samples or (1 << 31) - 1, source.format)
-    return rows.withColumn("ord", F.monotonically_increasing_id())
+    return take(spark, path, schema, source.max_samples or MOST_STREAMED, source.format)
 
 
 def _extract_one(spark: SparkSession, source: Source, root: str, out: str) -> SourceStatus:
-    rows = read_source(spark, source, root)
+    if source.streamed:
+        rows = _stream(spark, source, root)
+    else:
+        rows = open_source(spark, source, root)
     missing = missing_paths(rows.schema, source)
     if missing:
         return SourceStatus(source.id, "missing fields", detail=", ".join(missing))
     if rows.isEmpty():
         return SourceStatus(source.id, "empty")
+    numbered = parquet_positions(rows) if source.streamed else with_positions(rows, source)
     counts = Observation()
-    records = records_of(rows, source).observe(
+    records = records_of(numbered, source).observe(
         counts,
         F.count(F.lit(1)).alias("processed"),
         F.count_if(is_long_enough(F.col("raw_content"))).alias("written"),

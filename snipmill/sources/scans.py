@@ -7,11 +7,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
-from snipmill.operators.ranking import first_per_group, with_rank
+from snipmill.operators.ranking import with_rank
 from snipmill.session import materialise
 from snipmill.sources.registry import TAGGED_SOLUTIONS, Source
 
-_FILE, _START, _ROW = "_file", "_start", "_row"
+_FILE, _START, _ROW, _BEFORE = "_file", "_start", "_row", "_before"
 
 
 def missing_paths(schema: StructType, source: Source) -> list[str]:
@@ -42,31 +42,33 @@ def missing_paths(schema: StructType, source: Source) -> list[str]:
     return missing
 
 
-def _parquet_with_positions(rows: DataFrame, first: int | None) -> DataFrame:
-    """Position = rows in all files before, by file name, + row index in the file.
+def _with_rows_before(rows: DataFrame, first: int | None) -> DataFrame:
+    """Add the number of rows in all files before the file of a row.
 
     The sum runs over one row per file. Those are written first, so Spark knows
-    their true size when it picks the join.
+    their true size when it picks the join. Files that begin behind the first
+    ``first`` rows are left out.
     """
     before = Window.orderBy(_FILE).rowsBetween(Window.unboundedPreceding, -1)
     files = materialise(
-        rows.select(F.col("_metadata.file_path").alias(_FILE))
-        .groupBy(_FILE)
+        rows.groupBy(_FILE)
         .agg(F.count("*").alias("_rows"))
-        .select(_FILE, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")),
+        .select(_FILE, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias(_BEFORE)),
         "files",
     )
     if first is not None:
-        files = files.where(F.col("_before") < first)
-    placed = (
-        rows.withColumns(
-            {_FILE: F.col("_metadata.file_path"), _ROW: F.col("_metadata.row_index")}
-        )
-        .join(files, _FILE)
-        .withColumn("ord", F.col("_before") + F.col(_ROW))
-        .drop(_FILE, _ROW, "_before")
+        files = files.where(F.col(_BEFORE) < first)
+    return rows.join(files, _FILE)
+
+
+def parquet_positions(rows: DataFrame, first: int | None = None) -> DataFrame:
+    """Add ``ord``, by file name and row index, to the first rows of Parquet files."""
+    placed = rows.withColumns(
+        {_FILE: F.col("_metadata.file_path"), _ROW: F.col("_metadata.row_index")}
     )
-    return placed if first is None else placed.where(F.col("ord") < first)
+    numbered = _with_rows_before(placed, first).withColumn("ord", F.col(_BEFORE) + F.col(_ROW))
+    kept = numbered if first is None else numbered.where(F.col("ord") < first)
+    return kept.drop(_FILE, _ROW, _BEFORE)
 
 
 def line_place() -> dict[str, Column]:
@@ -82,27 +84,44 @@ def line_place() -> dict[str, Column]:
     }
 
 
-def _lines_with_positions(rows: DataFrame, first: int | None) -> DataFrame:
-    """Position by file name, slice and line; a slice is the unit of counting."""
+def line_positions(rows: DataFrame, first: int | None = None) -> DataFrame:
+    """Add ``ord``, by file name and line, to the first rows of JSON files.
+
+    Text files have no row index, so the lines are numbered per slice of a
+    file. The rows of one slice fit in a task by the way files are read.
+    """
     placed = rows.withColumns(line_place())
-    slices = F.struct(_FILE, _START)
-    if first is None:
-        ranked = with_rank(placed, [], slices, [_ROW])
+    if first is not None:
+        placed = _with_rows_before(placed, first)
+        ranked = with_rank(placed, [_FILE], F.col(_START), [_ROW])
+        numbered = ranked.withColumn("ord", F.col(_BEFORE) + F.col("rank") - 1).where(
+            F.col("ord") < first
+        )
     else:
-        ranked = first_per_group(placed, [], slices, [_ROW], F.lit(first))
-    return ranked.withColumn("ord", F.col("rank") - 1).drop(_FILE, _START, _ROW, "rank")
+        ranked = with_rank(placed, [], F.struct(_FILE, _START), [_ROW])
+        numbered = ranked.withColumn("ord", F.col("rank") - 1)
+    return numbered.drop(_FILE, _START, _ROW, _BEFORE, "rank")
 
 
-def scan(spark: SparkSession, source: Source, root: str) -> DataFrame:
-    """Rows of a source, found by name, subset and split, with their ``ord``.
-
-    Only the first ``max_samples`` rows are kept, before any other filter.
-    """
-    path, first = source.path(root), source.max_samples
+def open_source(spark: SparkSession, source: Source, root: str) -> DataFrame:
+    """All rows of a source, found by name, subset and split."""
+    path = source.path(root)
     if source.format == "parquet":
-        return _parquet_with_positions(spark.read.parquet(path), first)
+        return spark.read.parquet(path)
     reader = spark.read.option("ignoreCorruptFiles", "true").schema(source.schema)
-    return _lines_with_positions(reader.json(path), first)
+    return reader.json(path)
+
+
+def with_positions(rows: DataFrame, source: Source) -> DataFrame:
+    """Add ``ord``; of a capped source, keep only the first ``max_samples`` rows,
+    before any other filter."""
+    number = parquet_positions if source.format == "parquet" else line_positions
+    return number(rows, source.max_samples)
+
+
+def scan(spark: SparkSession, source: Source, root: str) -> DataFrame:
+    """Rows of a source with their ``ord``, up to its cap."""
+    return with_positions(open_source(spark, source, root), source)
 
 
 def is_missing(error: Exception) -> bool:

@@ -6,7 +6,7 @@ from dataclasses import replace
 import pytest
 from pyspark.errors import AnalysisException
 
-from snipmill.plans.extraction import extract_all, read_source, yield_totals
+from snipmill.plans.extraction import extract_all, yield_totals
 from snipmill.plans.pool import build_pool, pool_from_jsonl
 from snipmill.schemas import CHARACTERISTICS, POOL, RECORD
 from snipmill.session import new_path, shared_folder
@@ -56,12 +56,17 @@ def test_stream_takes_exactly_n(spark, tmp_path):
     for n, wanted in ((137, 137), (5000, 1000)):
         rows = take(spark, path, "code string", n, maxFilesPerTrigger="2")
         assert rows.count() == rows.distinct().count() == wanted
+
+
+def test_streamed_source(spark, tmp_path):
     source = replace(CODE, stream=True, format="json", schema="code string", max_samples=50)
-    spark.range(99).selectExpr("CAST(id AS STRING) AS code").write.json(
-        source.path(f"{tmp_path}/root")
+    spark.range(99).selectExpr("concat('this is the code number ', id) AS code").write.json(
+        source.path(str(tmp_path))
     )
-    rows = read_source(spark, source, f"{tmp_path}/root")
-    assert rows.count() == rows.select("ord").distinct().count() == 50
+    (status,) = extract_all(spark, str(tmp_path), f"{tmp_path}/out", [source])
+    assert (status.status, status.processed, status.written) == ("done", 50, 50)
+    records, _ = read_records(spark, f"{tmp_path}/out")
+    assert sorted(r.ord for r in records.collect()) == list(range(50))
 
 
 def test_json_lines_quarantine(spark, tmp_path):
