@@ -45,9 +45,14 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITE_SPACE))
 
 
+def is_visible(text: Column) -> Column:
+    """Whether there is anything but white space; stops at the first such character."""
+    return F.ltrim(text, F.lit(WHITE_SPACE)) != ""
+
+
 def non_blank(text: Column) -> Column:
     """Stripped text, or null when nothing but white space is left."""
-    return F.nullif(strip(text), F.lit(""))
+    return F.when(is_visible(text), strip(text))
 
 
 def unify_line_ends(text: Column) -> Column:
@@ -60,16 +65,21 @@ def unify_line_ends(text: Column) -> Column:
     return F.when(unusual, F.regexp_replace(text, _ANY_LINE_END, "\n")).otherwise(text)
 
 
-def unified_lines(text: Column) -> Column:
-    """Lines of a text that went through :func:`unify_line_ends`.
+def pieces(text: Column) -> Column:
+    """What lies between the line ends of a text with unified ones.
 
-    A final line end opens no further line, and the empty text has no line.
+    These are its lines, and an empty piece more if the text :func:`is_closed`.
     """
-    pieces = F.split(text, "\n", -1)
-    closed = (text == "") | text.endswith("\n")
-    return F.when(closed, F.slice(pieces, F.lit(1), F.size(pieces) - 1)).otherwise(pieces)
+    return F.split(text, "\n", -1)
+
+
+def is_closed(text: Column) -> Column:
+    """Whether no line is left open: a final line end opens no further line."""
+    return (text == "") | text.endswith("\n")
 
 
 def lines(text: Column) -> Column:
-    """Array of lines without their ends."""
-    return unified_lines(unify_line_ends(text))
+    """Array of lines without their ends; none for the empty text."""
+    unified = unify_line_ends(text)
+    split = pieces(unified)
+    return F.when(is_closed(unified), F.slice(split, 1, F.size(split) - 1)).otherwise(split)

@@ -9,20 +9,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snipmill.functions.python_syntax import python_syntax
-from snipmill.functions.text import strip, unified_lines, unify_line_ends
+from snipmill.functions.text import is_closed, pieces, strip, unify_line_ends
 from snipmill.schemas import CHARACTERISTICS
 
-_TEXT, _LINES, _SYNTAX, _LANGUAGE = "_text", "_lines", "_syntax", "_language"
+# The pieces of a text are its lines, and maybe an empty piece that no line test
+# passes.
+_TEXT, _PIECES, _SYNTAX, _LANGUAGE = "_text", "_pieces", "_syntax", "_language"
 
 
 def _count(line_test: Callable[[Column], Column]) -> Column:
-    return F.size(F.filter(_LINES, line_test))
+    return F.size(F.filter(_PIECES, line_test))
 
 
 def _starting(prefix: str) -> Callable[[Column], Column]:
     """Test of a stripped line. A prefix may end in a space: a line that holds
-    nothing after it loses that space and does not pass."""
-    return lambda line: strip(line).startswith(prefix)
+    nothing after it loses that space and does not pass. Most lines do not hold
+    the prefix anywhere, and need not be stripped."""
+    return lambda line: line.contains(prefix) & strip(line).startswith(prefix)
 
 
 def _holding(*needles: str) -> Callable[[Column], Column]:
@@ -109,11 +112,10 @@ METRICS: dict[str, Callable[[], dict[str, Column]]] = {
 
 def _characteristics(content: Column, metrics: dict) -> Column:
     # The average takes line ends into account as they were written.
+    loc = F.size(_PIECES) - is_closed(F.col(_TEXT)).cast("int")
     per_field: dict[str, Column] = {
-        "loc": F.size(_LINES),
-        "avg_line_length": F.when(
-            F.size(_LINES) > 0, F.length(content) / F.size(_LINES)
-        ).otherwise(0.0),
+        "loc": loc,
+        "avg_line_length": F.when(loc > 0, F.length(content) / loc).otherwise(0.0),
     }
     for metric_set in dict.fromkeys(metrics.values()):
         languages = [name for name, its in metrics.items() if its is metric_set]
@@ -148,9 +150,9 @@ def with_characteristics(
         records = records.withColumn(_SYNTAX, python_syntax(sources))
     return (
         records.withColumns({_LANGUAGE: key, _TEXT: unify_line_ends(F.col(content))})
-        .withColumn(_LINES, unified_lines(F.col(_TEXT)))
+        .withColumn(_PIECES, pieces(F.col(_TEXT)))
         .withColumn("characteristics", _characteristics(F.col(content), metrics))
-        .drop(_SYNTAX, _LANGUAGE, _TEXT, _LINES)
+        .drop(_SYNTAX, _LANGUAGE, _TEXT, _PIECES)
     )
 
 

@@ -16,7 +16,7 @@ from pyspark.sql.types import (
 )
 
 from snipmill.functions.json_lists import json_string_items
-from snipmill.functions.text import non_blank, strip
+from snipmill.functions.text import is_visible, non_blank, strip
 from snipmill.sources.registry import SOLUTION_LISTS, TAGGED_SOLUTIONS, Source
 
 # Shortest content kept, and what joins several solutions.
@@ -45,7 +45,7 @@ def joined_items(items: Column) -> Column:
     Null when the list is null or holds a null: such a list does not count as
     present. A list with nothing but blanks counts, and gives the empty text.
     """
-    kept = F.filter(F.transform(items, strip), lambda item: item != "")
+    kept = F.transform(F.filter(items, is_visible), strip)
     return F.when(F.forall(items, lambda item: item.isNotNull()), F.array_join(kept, "\n"))
 
 
@@ -92,7 +92,7 @@ def first_tagged_solution(schema: StructType, source: Source) -> Column:
             named = F.exists(label, matches)
         else:
             named = matches(label)
-        return named & non_blank(entry[source.code_key]).isNotNull()
+        return named & is_visible(entry[source.code_key])
 
     found = F.get(F.filter(source.solutions_field, wanted_code), F.lit(0))
     return strip(found[source.code_key])

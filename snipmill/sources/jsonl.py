@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from snipmill.functions.text import strip
+from snipmill.functions.text import is_visible
 from snipmill.schemas import CHARACTERISTICS, POOL, RECORD, TEXT, TEXTS, struct
 from snipmill.sources.scans import is_missing, line_place
 
@@ -66,7 +66,7 @@ def _good(lines: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 def _bad(lines: DataFrame) -> DataFrame:
     """Quarantine: lines that are not JSON objects, by place. Blank ones vanish."""
-    return lines.where(~_is_object() & (strip(F.col("line")) != "")).select(
+    return lines.where(~_is_object() & is_visible(F.col("line"))).select(
         F.col("place.file").alias("file"), F.col("place.start").alias("slice"), "line"
     )
 

@@ -54,5 +54,5 @@ def test_no_pairs_of_all_rows(spark, name):
 
 def test_text_is_split_once(spark):
     plan = plan_of(spark, "char_c_cpp")
-    assert plan.count("AS _lines") == 1
+    assert plan.count("AS _pieces") == 1
     assert "ArrowEvalPython" not in plan

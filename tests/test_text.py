@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from snipmill.functions.hashing import draw, fingerprint
 from snipmill.functions.json_lists import json_string_items
-from snipmill.functions.text import lines, non_blank, strip, unified_lines, unify_line_ends
+from snipmill.functions.text import (
+    is_closed,
+    is_visible,
+    lines,
+    non_blank,
+    pieces,
+    strip,
+    unify_line_ends,
+)
 
 ALPHABET = [
     *(chr(c) for c in range(0x09, 0x0E)), *(chr(c) for c in range(0x1C, 0x21)),
@@ -28,12 +36,14 @@ def test_lines_and_strip_match_python(column):
     texts = random_texts()
     found = column(
         [(t,) for t in texts], "t string",
-        lines(F.col("t")), strip(F.col("t")), non_blank(F.col("t")),
+        lines(F.col("t")), strip(F.col("t")),
+        non_blank(F.col("t")), is_visible(F.col("t")),
     )
-    for text, (its_lines, stripped, visible) in zip(texts, found):
+    for text, (its_lines, stripped, something, visible) in zip(texts, found):
         assert its_lines == text.splitlines(), repr(text)
         assert stripped == text.strip(), repr(text)
-        assert visible == (text.strip() or None), repr(text)
+        assert something == (text.strip() or None), repr(text)
+        assert visible == bool(text.strip()), repr(text)
 
 
 def test_every_character_of_the_basic_plane(column):
@@ -49,10 +59,9 @@ def test_every_character_of_the_basic_plane(column):
 def test_unified_text_has_the_same_lines(column):
     texts = random_texts(500, seed=3)
     unified = unify_line_ends(F.col("t"))
-    found = column([(t,) for t in texts], "t string", unified, unified_lines(unified))
-    for text, (whole, its_lines) in zip(texts, found):
-        assert its_lines == text.splitlines()
-        assert len(whole.splitlines()) == len(whole.split("\n")) - (whole[-1:] in ("", "\n"))
+    found = column([(t,) for t in texts], "t string", pieces(unified), is_closed(unified))
+    for text, (its_pieces, closed) in zip(texts, found):
+        assert its_pieces == text.splitlines() + [""] * closed
 
 
 def test_null_stays_null(column):
