@@ -1,4 +1,4 @@
-"""The stages as commands, for spark-submit or ``python -m snipmill``.
+"""The stages as commands of ``python -m snipmill``.
 
     extract ROOT RECORDS            sources below ROOT to JSON Lines
     pool RECORDS POOL [--export F]  records to a pool in Parquet, and JSON Lines

@@ -20,7 +20,7 @@ SETTINGS = {
 
 
 def build_session(name: str = "snipmill", **more: str) -> SparkSession:
-    """Session with the settings above; the master comes from spark-submit."""
+    """Session with the settings above; the master comes from Spark's configuration."""
     builder = SparkSession.builder.appName(name)
     for key, value in (SETTINGS | more).items():
         builder = builder.config(key, value)
