@@ -19,12 +19,13 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # White space as the tokenizers library sees it, and how byte-level
@@ -39,8 +40,9 @@ PIECE = (
 # text can be cut there first, and what a cut-out word becomes can be kept.
 CHUNK = rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
-KEPT_CHUNKS = 500_000  # per Python worker; twice as many with those of the last round
+KEPT_CHUNKS = 300_000  # per Python worker; twice as many with those of the last round
 LONGEST_KEPT = 48  # characters
+SMALL_BATCH = 500  # rows
 
 ENCODED = "n_tokens bigint, ids array<int>"
 
@@ -52,36 +54,42 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(odd)) for b in range(256)]
 
 
+NONE = 1 << 62  # above every (rank, position)
+
+
 class MergeTree:
-    """Segment tree of the smallest (rank, position) over adjacent pairs."""
+    """Segment tree of the smallest (rank, position) over adjacent pairs.
+
+    Both are held as one number, rank times the number of pairs plus position.
+    """
 
     def __init__(self, ranks: list[int | None]):
-        self.n = len(ranks)
-        self.size = 1 << max(self.n - 1, 0).bit_length()
-        self.none = float("inf")
-        nodes = [self.none] * self.size
-        nodes += [self.none if r is None else r * self.n + i for i, r in enumerate(ranks)]
-        nodes += [self.none] * (self.size - self.n)
-        for i in range(self.size - 1, 0, -1):
+        n = self.n = len(ranks)
+        size = self.size = 1 << (n - 1).bit_length()
+        nodes = [NONE] * size + [NONE if r is None else r * n + i for i, r in enumerate(ranks)]
+        nodes += [NONE] * (size - n)
+        for i in range(size - 1, 0, -1):
             a, b = nodes[2 * i], nodes[2 * i + 1]
-            nodes[i] = a if a <= b else b
+            nodes[i] = a if a < b else b
         self.nodes = nodes
 
-    def lowest(self) -> int | None:
-        """Position of the leftmost pair of lowest rank; none if no pair has a rank."""
+    def lowest(self) -> int:
+        """Position of the leftmost pair of lowest rank; -1 if no pair has a rank."""
         root = self.nodes[1]
-        return None if root == self.none else root % self.n
+        return -1 if root == NONE else root % self.n
 
     def put(self, position: int, rank: int | None) -> None:
+        """Set a rank; its path is climbed until a node stays as it is."""
         nodes, i = self.nodes, self.size + position
-        value = self.none if rank is None else rank * self.n + position
-        while i:
+        value = nodes[i] = NONE if rank is None else rank * self.n + position
+        while i > 1:
+            other = nodes[i ^ 1]
+            if other < value:
+                value = other
+            i >>= 1
             if nodes[i] == value:
                 return
             nodes[i] = value
-            other = nodes[i ^ 1] if i > 1 else value
-            value = value if value <= other else other
-            i >>= 1
 
 
 class Vocabulary:
@@ -128,7 +136,7 @@ class Vocabulary:
         tree = MergeTree([f and f[0] for f in found])
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         alive = [True] * n
-        while (i := tree.lowest()) is not None:
+        while (i := tree.lowest()) >= 0:
             j = after[i]
             symbols[i] = found[i][1]
             alive[j] = False
@@ -148,29 +156,31 @@ class Vocabulary:
 
     def __call__(self, chunk: str) -> bytes:
         """Ids of a chunk, as the bytes of 32-bit numbers."""
-        ids = array("i")
-        for piece in self.piece(chunk):
-            ids.extend(self.merged(piece.encode()))
-        return ids.tobytes()
+        pieces = self.piece(chunk)
+        if len(pieces) == 1:
+            return array("i", self.merged(chunk.encode())).tobytes()
+        return b"".join(map(self.kept_or_new, pieces))
+
+    def kept_or_new(self, chunk: str) -> bytes:
+        """Ids of a chunk, kept for the next time if it is short."""
+        ids = self.kept.get(chunk)
+        if ids is None:
+            ids = self.older.get(chunk)
+            if ids is None:
+                ids = self(chunk)
+            if len(chunk) <= LONGEST_KEPT:
+                if len(self.kept) >= KEPT_CHUNKS:
+                    self.older, self.kept = self.kept, {}
+                self.kept[chunk] = ids
+        return ids
 
     def encode(self, text: str) -> bytes:
-        kept, parts = self.kept, []
+        parts = []
         for i, segment in enumerate(self.cut.split(text) if self.cut else (text,)):
             if i % 2:
                 parts.append(self.special[segment])
-                continue
-            for chunk in self.chunks(segment):
-                ids = kept.get(chunk)
-                if ids is None:
-                    ids = self.older.get(chunk)
-                    if ids is None:
-                        ids = self(chunk)
-                    if len(chunk) <= LONGEST_KEPT:
-                        if len(kept) >= KEPT_CHUNKS:
-                            self.older, self.kept = kept, {}
-                            kept = self.kept
-                        kept[chunk] = ids
-                parts.append(ids)
+            else:
+                parts.extend(map(self.kept_or_new, self.chunks(segment)))
         return b"".join(parts)
 
     def decode(self, ids: list[int]) -> str:
@@ -232,6 +242,35 @@ def decoder(spark: SparkSession, path: str):
     return lambda ids: decoded(ids.cast("array<int>"))
 
 
+def round_trip(
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Per row: ``doc_id``, ``n_tokens``, ``ids`` and the text they decode to, ``decoded``.
+
+    One pass does both; it hands on results in small batches, as ids take more
+    room than their texts.
+    """
+    source = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = vocabulary(source.value)
+        for batch in batches:
+            for at in range(0, len(batch), SMALL_BATCH):
+                part = batch.slice(at, SMALL_BATCH)
+                coded = [words.encode(t or "") for t in part.column(1).to_pylist()]
+                ids = _lists(coded)
+                n = ids.value_lengths().cast(pa.int64())
+                texts = [words.decode(np.frombuffer(c, np.int32).tolist()) for c in coded]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), n, ids, pa.array(texts, pa.string())],
+                    names=["doc_id", "n_tokens", "ids", "decoded"],
+                )
+
+    return rows.mapInArrow(both, f"doc_id {kind}, {ENCODED}, decoded string")
+
+
 def ids_digest(ids: Column) -> Column:
     """Hex SHA-256 of decimal ids joined by commas."""
     return F.sha2(F.concat_ws(",", ids.cast("array<string>")).cast("binary"), 256)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snipmill.llm import bpe
+from snipmill.llm import bpe, compression, minhash
 from snipmill.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -14,17 +14,29 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text they decode to, as digests."""
-    encode, decode = bpe.encoder(spark, VOCABULARY), bpe.decoder(spark, VOCABULARY)
-    encoded = table(spark, sf_dir, "documents").select("doc_id", encode(F.col("text")).alias("e"))
-    ids = F.col("e.ids")
-    return encoded.select(
+    coded = bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
+    return coded.select(
         "doc_id",
-        F.col("e.n_tokens").alias("n_tokens"),
-        bpe.ids_digest(ids).alias("ids_sha256"),
-        bpe.text_digest(decode(ids)).alias("decoded_sha256"),
+        "n_tokens",
+        bpe.ids_digest(F.col("ids")).alias("ids_sha256"),
+        bpe.text_digest(F.col("decoded")).alias("decoded_sha256"),
     )
 
 
+def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures and verdict of every document."""
+    docs = table(spark, sf_dir, "documents")
+    judged = docs.select("doc_id", compression.quality()(F.col("text")).alias("q"))
+    return judged.select("doc_id", "q.*")
+
+
+def op4_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 REGISTERED = {
+    "op2_compression_bands": op2_compression_bands,
+    "op4_bbit_minhash": op4_bbit_minhash,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }

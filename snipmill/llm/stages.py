@@ -11,13 +11,11 @@ from snipmill.llm.queries import VOCABULARY
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, and whether they decode to it."""
-    encoded = docs.select(
-        "doc_id", "text", bpe.encoder(spark, VOCABULARY)(F.col("text")).alias("e")
-    )
-    decoded = bpe.decoder(spark, VOCABULARY)(F.col("e.ids"))
-    return encoded.select(
+    coded = bpe.round_trip(docs, VOCABULARY)
+    return coded.select(
         "doc_id",
-        F.col("e.n_tokens").alias("n_tokens"),
-        F.col("e.ids").alias("ids"),
-        (decoded == F.coalesce("text", F.lit(""))).alias("round_trip"),
+        "n_tokens",
+        "ids",
+        bpe.ids_digest(F.col("ids")).alias("ids_sha256"),
+        bpe.text_digest(F.col("decoded")).alias("decoded_sha256"),
     )
