@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snipmill.llm import bpe, compression, minhash
-from snipmill.llm.common import table
+from snipmill.llm import bpe, compression, language_model, minhash
+from snipmill.llm.common import fold, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -23,6 +23,12 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and mixture score of every document; a fifth is never learned from."""
+    docs = table(spark, sf_dir, "documents")
+    return language_model.deleted_interpolation(docs, fold(F.col("doc_id")) == 1)
+
+
 def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Figures and verdict of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -36,6 +42,7 @@ def op4_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED = {
+    "op1_deleted_interpolation": op1_deleted_interpolation,
     "op2_compression_bands": op2_compression_bands,
     "op4_bbit_minhash": op4_bbit_minhash,
     "op10_bpe_round_trip": op10_bpe_round_trip,
