@@ -6,12 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snipmill.llm import bpe, compression, language_model, minhash
+from snipmill.llm import bpe, compression, language_model, minhash, toxicity
 from snipmill.llm.common import fold, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op8_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; a fifth is never learned from."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id")) != 0)
+    score = F.coalesce(toxicity.scorer(spark, model)(F.col("text")), F.lit(0.0))
+    scored = docs.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text they decode to, as digests."""
     coded = bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
@@ -45,5 +54,6 @@ REGISTERED = {
     "op1_deleted_interpolation": op1_deleted_interpolation,
     "op2_compression_bands": op2_compression_bands,
     "op4_bbit_minhash": op4_bbit_minhash,
+    "op8_factorization_machine": op8_factorization_machine,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
