@@ -38,7 +38,7 @@ from snipmill.llm.common import Numbering, hashes, mixed, texts_of
 from snipmill.session import materialise
 
 RETAINED, DELETED, SCORED = 0, 1, 2  # what a block is for
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 1_500_000
 RANGE_TOKENS = 2_000_000  # tokens of the corpus per hash range, on average
 FREQUENCIES = 24  # buckets of context frequencies: unseen, 1, 2-3, 4-7 and so on
 STEPS = 8  # held-out probabilities are told apart by so many steps per power of e
@@ -135,6 +135,12 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made += 1
 
 
+def _one_by_one(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows of a batch, of which each is large."""
+    for i in range(len(batch)):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 class _Grams:
     """N-grams of a block. Two more words stand for the end and the begin of a text."""
 
@@ -145,17 +151,17 @@ class _Grams:
         self.ends = np.cumsum(lengths + 1) - 1
         self.starts = self.ends - lengths
         n, end = int(self.ends[-1]) + 1, len(own)
-        self.word = np.full(n, end, np.int64)
+        self.word = np.full(n, end, np.int32)
         inside = np.ones(n, bool)
         inside[self.ends] = False
         self.word[inside] = unpack(row["tokens"]).view(np.int64)
-        self.before = np.empty(n, np.int64)
+        self.before = np.empty(n, np.int32)
         self.before[1:] = self.word[:-1]
         self.before[self.starts] = end + 1
 
     def bigrams(self, inverse: bool = False):
         """Sorted keys of distinct bigrams, and their counts or where each token's is."""
-        codes = self.before * len(self.keys) + self.word
+        codes = self.before.astype(np.int64) * len(self.keys) + self.word
         if inverse:
             codes, where = np.unique(codes, return_inverse=True)
         else:
@@ -175,7 +181,7 @@ def _asked(bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 grams = _Grams(row)
                 order = np.argsort(grams.keys)
                 single = np.bincount(grams.word, minlength=len(order))
@@ -257,7 +263,7 @@ def _held_out_events(tokens: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 _, word, context, pair = _found(row, "retained")
                 q1 = rounded(word / max(tokens, 1))
                 q2 = rounded(pair / np.maximum(context, 1))
@@ -308,15 +314,15 @@ def learned_weights(events: np.ndarray, types: int) -> np.ndarray:
 def _scored(types: int, tokens: int, weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 grams, word, context, pair = _found(row, "counts")
                 base = np.log10((word + 0.5) / (tokens + 0.5 * (types + 1)))
                 if tokens:
-                    mix = weights[bucket(context)]
-                    p = mix[:, 0] / (types + 1) + mix[:, 1] * word / tokens
-                    p += mix[:, 2] * pair / np.maximum(context, 1)
+                    uniform, unigram, bigram = (w[bucket(context)] for w in weights.T)
                     # A context that was never seen leaves its bigram's share to the unigram.
-                    p += (context == 0) * mix[:, 2] * word / tokens
+                    unigram += bigram * (context == 0)
+                    p = uniform / (types + 1) + unigram * word / tokens
+                    p += bigram * pair / np.maximum(context, 1)
                 else:
                     p = np.ones(len(word))
                 at = grams.starts

@@ -6,12 +6,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snipmill.llm import bpe, compression, language_model, minhash, toxicity
+from snipmill.llm import attribution, bpe, compression, html_text, language_model, minhash, toxicity, warc
 from snipmill.llm.common import fold, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op5_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record, written to bundles and read back from them."""
+    pages = table(spark, sf_dir, "pages")
+    folder = warc.archive_folder(pages)
+    index = warc.write_bundles(pages, folder)
+    return warc.read_records(index, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op6_boosted_dom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    found = html_text.main_text(pages, html_text.train(pages))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op8_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; a fifth is never learned from."""
     docs = table(spark, sf_dir, "documents")
@@ -21,6 +38,13 @@ def op8_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op9_offset_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document."""
+    docs = table(spark, sf_dir, "documents")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return attribution.section_tokens(docs, ranks, public_tokenizers.PATTERN)
+
+
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text they decode to, as digests."""
     coded = bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
@@ -54,6 +78,9 @@ REGISTERED = {
     "op1_deleted_interpolation": op1_deleted_interpolation,
     "op2_compression_bands": op2_compression_bands,
     "op4_bbit_minhash": op4_bbit_minhash,
+    "op5_seekable_warc": op5_seekable_warc,
+    "op6_boosted_dom": op6_boosted_dom,
     "op8_factorization_machine": op8_factorization_machine,
+    "op9_offset_attribution": op9_offset_attribution,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
