@@ -2,18 +2,23 @@
 
 1. A document is its set of distinct 5-word shingles. Documents with equal sets
    form a class, which goes on as one node, its smallest id.
-2. Of 280 minima, every five in a row make a band key: two sets of similarity
-   0.75 miss all 56 bands with a chance of 3e-7. The lowest two bits of all
-   minima are packed into nine longs. Only keys and packed bits are kept.
-3. Members of a band are compared with its smallest id first: agreeing groups of
-   two bits are counted by XOR and bit counts, the share is corrected for chance
-   agreement (one in four), and pairs six standard deviations below the wanted
-   similarity go. The others are confirmed on full sets and give components.
+2. Of 160 minima, every four in a row make a band key: two sets of similarity
+   0.75 miss all 40 bands with a chance of 3e-7. The lowest two bits of all
+   minima are packed into five longs. Only keys and packed bits are kept.
+3. Each node is compared with the smallest of the ids that lead its bands:
+   agreeing groups of two bits are counted by XOR and bit counts, the share is
+   corrected for chance agreement (one in four), and pairs six standard deviations
+   below the wanted similarity go. The others are confirmed on full sets, and
+   give components.
 4. Only then are the remaining pairs of a band compared, and only those of two
    different components. So a band full of copies costs one comparison per copy,
    and no link between components is lost; bands have no cap. Large bands are
    dealt over blocks, so that no task meets one whole.
 
+Joins that move texts or sets are always sort-merge joins, which split hot keys and
+make the same plan at every size. Sets are compared by the first 48 bits of their
+shingles' hashes.
+
 Ids are whole numbers. Results, defined for every input: a null text is an empty
 text; a text without words has an empty set and is linked with nothing. Rows
 without id are linked with nothing and kept; their component is null. Rows that
@@ -29,16 +34,16 @@ from operator import add
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
 
 from snipmill.llm.common import Numbering, hashes, mixed, texts_of
 from snipmill.llm.graph import components
 from snipmill.session import materialise
 
 SHINGLE = 5  # words
-BANDS, ROWS, BITS = 56, 5, 2
+BANDS, ROWS, BITS = 40, 4, 2
 MINIMA = BANDS * ROWS
 LONGS = -(-MINIMA * BITS // 64)
 BLOCK = 512  # members of a band that meet in one block
@@ -150,10 +155,59 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = stop
 
 
-@F.arrow_udf(ArrayType(LongType()))
-def shingles(texts: pa.Array) -> pa.Array:
-    """Distinct shingle hashes of a text."""
-    return _lists(list(shingle_sets(texts_of(texts))))
+def packed_set(hashes: np.ndarray) -> bytes:
+    """The first 48 bits of sorted hashes, as gaps in byte planes."""
+    gaps = np.diff(hashes >> np.uint64(16), prepend=np.uint64(0))
+    planes = np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 8)[:, :6].T)
+    return zstandard.compress(planes.tobytes(), 1)
+
+
+def unpacked_set(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(6, -1)
+    gaps = np.zeros((planes.shape[1], 8), np.uint8)
+    gaps[:, :6] = planes.T
+    return np.cumsum(gaps.view(np.uint64).ravel())
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed set of each text; of equal rows that follow each other only one."""
+    last = None
+    for batch in batches:
+        for at in range(0, len(batch), 1000):
+            part = batch.slice(at, 1000)
+            ids, texts, rows = [], [], []
+            for i, text in zip(part.column(0).to_pylist(), texts_of(part.column(1))):
+                if (i, text) != last:
+                    ids.append(i)
+                    texts.append(text)
+                last = (i, text)
+            rows = [(i, packed_set(s)) for i, s in zip(ids, shingle_sets(texts)) if len(s)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([r[0] for r in rows], pa.int64()),
+                    pa.array([r[1] for r in rows], pa.binary()),
+                ],
+                names=["doc_id", "set"],
+            )
+
+
+def _similar(percent: int):
+    """Pairs whose sets are similar enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known, keep = (None, None), []
+            columns = (batch.column(i).to_pylist() for i in range(4))
+            for a, _, set_a, set_b in zip(*columns):
+                if known[0] != set_a:
+                    known = (set_a, unpacked_set(set_a))
+                x, y = known[1], unpacked_set(set_b)
+                at = np.minimum(np.searchsorted(x, y), len(x) - 1)
+                shared = int((x[at] == y).sum())
+                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
 
 
 def agreeing(a: Column, b: Column) -> Column:
@@ -181,27 +235,16 @@ def lowest_estimate(threshold: float) -> float:
     return (p - 6 * (p * (1 - p) / MINIMA) ** 0.5 - chance) / (1 - chance)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full sets are similar enough. ``texts`` has ``doc_id`` and ``text``."""
-    second = texts.join(pairs, texts.doc_id == pairs.b).select(
-        "a", "b", shingles("text").alias("set_b")
-    )
-    firsts = pairs.select("a").distinct()
-    first = texts.join(firsts, texts.doc_id == firsts.a, "left_semi").select(
-        F.col("doc_id").alias("a"), shingles("text").alias("set_a")
-    )
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    union = F.size("set_a") + F.size("set_b") - shared
-    return (
-        second.join(first, "a")
-        .where((100 * shared >= percent * union) & (union > 0))
-        .select("a", "b")
-    )
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose full sets are similar enough. ``sets`` has ``doc_id`` and ``set``."""
+    of = lambda x: sets.select(F.col("doc_id").alias(x), F.col("set").alias(f"set_{x}")).hint("merge")
+    both = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "set_a", "set_b")
+    return both.mapInArrow(_similar(percent), "a bigint, b bigint")
 
 
 def estimated(pairs: DataFrame, bits: DataFrame, threshold: float) -> DataFrame:
     """Pairs whose packed bits leave them possible."""
-    named = lambda x: bits.select(F.col("doc_id").alias(x), F.col("bits").alias(f"bits_{x}"))
+    named = lambda x: bits.select(F.col("doc_id").alias(x), F.col("bits").alias(f"bits_{x}")).hint("merge")
     agree = agreeing(F.col("bits_a"), F.col("bits_b"))
     return (
         pairs.join(named("a"), "a")
@@ -223,7 +266,7 @@ def _within_bands(members: DataFrame, bits: DataFrame, labels: DataFrame, thresh
         .where("x <> y")
         .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
-    rows = labelled.join(open_bands, "band").join(bits, "doc_id")
+    rows = labelled.join(open_bands, "band").join(bits.hint("merge"), "doc_id")
     rows = materialise(rows, "open-bands")
     left = rows.select(
         "band",
@@ -260,7 +303,6 @@ def near_duplicates(
     texts = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text")
     )
-    with_id = texts.where("doc_id IS NOT NULL")
     features = materialise(texts.mapInArrow(_features, BANDED), "features")
     known = features.where("doc_id IS NOT NULL AND n_shingles > 0")
 
@@ -278,14 +320,19 @@ def near_duplicates(
         .where("leader <> last")
         .drop("last")
     )
-    members = materialise(banded.join(shared, "band"), "members")
+    members = materialise(banded.join(shared.hint("merge"), "band"), "members")
+    involved = members.select("doc_id").distinct()
+    sets = texts.join(involved.hint("merge"), "doc_id").select("doc_id", "text")
+    sets = materialise(sets.mapInArrow(_sets, "doc_id bigint, set binary"), "sets")
+
     stars = (
-        members.where("leader <> doc_id")
-        .select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
-        .distinct()
+        members.groupBy(F.col("doc_id").alias("b"))
+        .agg(F.min("leader").alias("a"))
+        .where("a <> b")
+        .select("a", "b")
     )
     star_pairs = materialise(estimated(stars, bits, threshold), "star-pairs")
-    star_links = confirmed(star_pairs, with_id, percent)
+    star_links = confirmed(star_pairs, sets, percent)
     # An id whose rows have different sets ties the classes of these sets.
     several = known.groupBy("doc_id").agg(F.min("set_key.a").alias("x"), F.max("set_key.a").alias("y"))
     several = several.where("x <> y").select("doc_id")
@@ -297,7 +344,7 @@ def near_duplicates(
     labels = components(star_links.unionByName(tied))
 
     rest = materialise(_within_bands(members, bits, labels, threshold), "rest-pairs")
-    links = confirmed(rest, with_id, percent).unionByName(
+    links = confirmed(rest, sets, percent).unionByName(
         labels.select(F.col("component").alias("a"), F.col("id").alias("b"))
     )
     found = components(links)
