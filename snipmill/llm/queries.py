@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snipmill.llm import attribution, bpe, compression, html_text, language_model, minhash, toxicity, warc
+from snipmill.llm import attribution, bpe, compression, decontaminate, html_text, language_model, minhash, toxicity, warc
 from snipmill.llm.common import fold, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +29,13 @@ def op6_boosted_dom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+def op7_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps of every document with every benchmark item."""
+    return decontaminate.overlaps(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op8_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; a fifth is never learned from."""
     docs = table(spark, sf_dir, "documents")
@@ -80,6 +87,7 @@ REGISTERED = {
     "op4_bbit_minhash": op4_bbit_minhash,
     "op5_seekable_warc": op5_seekable_warc,
     "op6_boosted_dom": op6_boosted_dom,
+    "op7_spaced_seeds": op7_spaced_seeds,
     "op8_factorization_machine": op8_factorization_machine,
     "op9_offset_attribution": op9_offset_attribution,
     "op10_bpe_round_trip": op10_bpe_round_trip,
