@@ -12,6 +12,10 @@ from snipmill.llm import stages
 from snipmill.session import new_path
 
 STAGES = [
+    ("toxicity", stages.drop_toxic),
+    ("quality", stages.drop_low_quality),
+    ("near-duplicates", stages.drop_near_duplicates),
+    ("decontamination", stages.drop_contaminated),
     ("bpe", stages.encode),
 ]
 

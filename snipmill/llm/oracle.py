@@ -1,3 +1,84 @@
 """DuckDB twins of the queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+OP3 = r"""
+WITH captures AS (
+  SELECT page_id, url, 1704067200 + ((page_id * 7654321 % 31536000) + 31536000) % 31536000 AS sec,
+    regexp_replace(lower(regexp_extract(url,
+      '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]*)', 1)), '\.$', '') AS host,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+), domains AS (
+  SELECT regexp_replace(host, '^(www|m|blog)\.', '') AS value, min(page_id) AS first, count(*) AS n
+  FROM captures WHERE host <> '' GROUP BY 1 HAVING min(page_id) % 3 = 0
+), prefixes AS (
+  SELECT rtrim(host || '/' || regexp_extract(path, '^/([^/]+)', 1), '/') AS value, min(page_id) AS first
+  FROM captures WHERE host <> '' GROUP BY 1 HAVING min(page_id) % 5 = 0
+), entries AS (
+  SELECT 'domain' AS kind, value, 1704067200 + first * 104729 % 15768000 AS sec, 'add' AS action
+  FROM domains
+  UNION ALL SELECT 'domain', value, 1704067200 + 60 * 86400 + first * 104729 % 15768000, 'remove'
+  FROM domains WHERE n % 3 <> 0
+  UNION ALL SELECT 'domain', value, 1704067200 + 100 * 86400 + first * 104729 % 15768000, 'add'
+  FROM domains WHERE n % 4 = 1
+  UNION ALL
+  SELECT 'prefix', value, 1704067200 + 30 * 86400 + first * 104729 % 15768000, 'add' FROM prefixes
+), found AS (
+  SELECT c.page_id, c.url, c.sec, e.kind, e.value,
+    arg_max(e.action, (e.sec, e.action)) AS latest
+  FROM captures c JOIN entries e ON e.sec <= c.sec AND c.host <> '' AND (
+    (e.kind = 'domain' AND (c.host = e.value OR ends_with(c.host, '.' || e.value)))
+    OR (e.kind = 'prefix' AND
+        ((c.host || c.path) = e.value OR starts_with(c.host || c.path, e.value || '/'))))
+  GROUP BY ALL
+), active AS (
+  SELECT page_id, url, sec, count(*) AS matches, min((kind, value)) AS first
+  FROM found WHERE latest = 'add' GROUP BY ALL
+)
+SELECT c.page_id, c.url, c.sec AS fetched_second, a.matches IS NOT NULL AS blocked,
+  coalesce(a.matches, 0) AS matches, a.first[1] AS match_kind, a.first[2] AS match_value
+FROM captures c LEFT JOIN active a
+  ON a.page_id = c.page_id AND a.url = c.url AND a.sec = c.sec
+"""
+
+OP7 = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D.,;:!?"''()\[\]]+') AS w
+  FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
+), items AS (
+  SELECT DISTINCT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D.,;:!?"''()\[\]]+') AS v
+  FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
+), masks AS (
+  SELECT * FROM (VALUES (6, [0, 1, 2, 3, 4, 5]), (9, [0, 1, 3, 4, 6, 8]),
+    (10, [0, 2, 3, 7, 8, 9])) AS m(span, marks)
+), doc_words AS (
+  SELECT doc_id, w, unnest(range(0, len(w))) AS p FROM docs
+), doc_seeds AS (
+  SELECT doc_id, w, p, span,
+    list_aggregate(list_transform(marks, lambda i: w[p + i + 1]), 'string_agg', ' ') AS seed
+  FROM doc_words, masks WHERE p + span <= len(w)
+), item_words AS (
+  SELECT item_id, v, unnest(range(0, len(v))) AS q FROM items
+), item_seeds AS (
+  SELECT item_id, v, q, span,
+    list_aggregate(list_transform(marks, lambda i: v[q + i + 1]), 'string_agg', ' ') AS seed
+  FROM item_words, masks WHERE q + span <= len(v)
+), hits AS (
+  SELECT d.doc_id, i.item_id, d.w, i.v, d.p - i.q AS begin,
+    greatest(i.q - 13, 0, i.q - d.p) AS low,
+    least(i.q + d.span + 13, len(i.v), len(d.w) - (d.p - i.q)) AS high,
+    least(13, len(i.v)) AS n
+  FROM doc_seeds d JOIN item_seeds i USING (span, seed)
+), laid AS (
+  SELECT DISTINCT doc_id, item_id, begin, n, list_max(list_transform(range(low, high - n + 1),
+    lambda s: list_sum(list_transform(range(s, s + n),
+      lambda j: CASE WHEN w[j + begin + 1] = v[j + 1] THEN 1 ELSE 0 END)))) AS equal
+  FROM hits WHERE high - low >= n
+)
+SELECT doc_id, item_id, max((equal, n))[1]::INTEGER AS equal_words,
+  max((equal, n))[2]::INTEGER AS of_words, count(DISTINCT begin) AS layings
+FROM laid WHERE 100 * equal >= 75 * n GROUP BY doc_id, item_id
+"""
+
+ORACLE: dict[str, str] = {"op3_temporal_list_join": OP3, "op7_spaced_seeds": OP7}

@@ -2,16 +2,70 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snipmill.llm import attribution, bpe, compression, decontaminate, html_text, language_model, minhash, toxicity, warc
+from snipmill.llm import attribution, bpe, compression, decontaminate, html_text, language_model, minhash, toxicity, url_lists, warc
 from snipmill.llm.common import fold, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+YEAR, SECONDS = 1_704_067_200, 31_536_000  # 2024 in seconds
+
+
+def _captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with a fetch time within 2024, spread by id."""
+    second = F.lit(YEAR) + F.pmod(F.col("page_id") * 7_654_321, F.lit(SECONDS))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return pages.withColumn("fetched_at", F.timestamp_seconds(second))
+
+
+def _list_entries(captures: DataFrame) -> DataFrame:
+    """A log of list entries for some hosts and first folders of the pages: domains
+    are added, often removed two months later, and some are added again."""
+    host = F.regexp_replace(url_lists.host_of(F.col("url")), r"^(www|m|blog)\.", "")
+    folder = F.regexp_extract(url_lists.path_of(F.col("url")), "^/([^/]+)", 1)
+    known = captures.select(
+        "page_id",
+        host.alias("host"),
+        F.concat_ws("/", url_lists.host_of(F.col("url")), folder).alias("folder"),
+    ).where("host <> ''")
+    time = lambda days: F.timestamp_seconds(
+        F.lit(YEAR + days * 86_400) + F.pmod(F.col("first") * 104_729, F.lit(SECONDS // 2))
+    )
+    numbers = [F.min("page_id").alias("first"), F.count("*").alias("n")]
+    domains = known.groupBy(F.col("host").alias("value")).agg(*numbers).where("first % 3 = 0")
+    prefixes = known.groupBy(F.col("folder").alias("value")).agg(*numbers).where("first % 5 = 0")
+    steps = ((domains, "domain", 0, "add", "true"), (domains, "domain", 60, "remove", "n % 3 <> 0"),
+             (domains, "domain", 100, "add", "n % 4 = 1"), (prefixes, "prefix", 30, "add", "true"))
+    parts = [
+        rows.where(condition).select(
+            F.lit("derived").alias("list"), F.lit(kind).alias("kind"), "value",
+            time(days).alias("at"), F.lit(action).alias("action"),
+        )
+        for rows, kind, days, action, condition in steps
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def op3_temporal_list_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by the list entries that were active when it was fetched."""
+    captures = _captures(spark, sf_dir)
+    return url_lists.judged(captures, _list_entries(captures)).select(
+        "page_id",
+        "url",
+        F.unix_timestamp("fetched_at").alias("fetched_second"),
+        "blocked",
+        "matches",
+        F.col("match.kind").alias("match_kind"),
+        F.col("match.value").alias("match_value"),
+    )
+
+
 def op5_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a record, written to bundles and read back from them."""
     pages = table(spark, sf_dir, "pages")
@@ -84,6 +138,7 @@ def op4_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTERED = {
     "op1_deleted_interpolation": op1_deleted_interpolation,
     "op2_compression_bands": op2_compression_bands,
+    "op3_temporal_list_join": op3_temporal_list_join,
     "op4_bbit_minhash": op4_bbit_minhash,
     "op5_seekable_warc": op5_seekable_warc,
     "op6_boosted_dom": op6_boosted_dom,

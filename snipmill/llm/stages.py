@@ -1,16 +1,49 @@
-"""The stages of the training-data pipeline."""
+"""The stages of the training-data pipeline.
+
+A stage keeps all columns and all clean rows of what it gets. Rows with null or empty
+texts are judged like others; rows without id cannot be told apart as copies or found
+in the benchmark, and pass these two stages.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snipmill.llm import bpe
+from snipmill.llm import bpe, compression, decontaminate, minhash, toxicity
+from snipmill.llm.common import fold, table
 from snipmill.llm.queries import VOCABULARY
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below one half by a model of four fifths of the labels."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id")) != 0)
+    return docs.where(toxicity.scorer(spark, model)(F.col("text")) < 0.5)
+
+
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and whose ratios lie in their bands."""
+    return docs.where(compression.quality()(F.col("text"))["kept"])
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: the one with the smallest id. Of rows that share
+    this id, one with the smallest text."""
+    found = minhash.near_duplicates(docs)
+    kept = found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    row = F.min_by(F.struct(*docs.columns), F.struct("text")).alias("row")
+    chosen = docs.join(kept.hint("merge"), "doc_id", "left_semi").groupBy("doc_id").agg(row)
+    without = docs.where("doc_id IS NULL")
+    return chosen.select("row.*").unionByName(without)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap with no benchmark item."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each text, and whether they decode to it."""
+    """Ids of each text, and digests of them and of the text they decode to."""
     coded = bpe.round_trip(docs, VOCABULARY)
     return coded.select(
         "doc_id",
