@@ -10,10 +10,16 @@
    corrected for chance agreement (one in four), and pairs six standard deviations
    below the wanted similarity go. The others are confirmed on full sets, and
    give components.
-4. Only then are the remaining pairs of a band compared, and only those of two
-   different components. So a band full of copies costs one comparison per copy,
-   and no link between components is lost; bands have no cap. Large bands are
-   dealt over blocks, so that no task meets one whole.
+4. Bands that hold several components stay open. In a few rounds, every node of an
+   open band is compared with one node of another component that leads the band in
+   this round. In a group of copies, each round links a good part of what is left,
+   at the cost of one comparison per node.
+5. What is still apart is compared pair by pair, but only across components: nodes
+   of open bands get 2048 further minima of one bit, and only pairs within five
+   standard deviations of the wanted similarity leave the join, to be confirmed.
+   So no link between components is lost, and a group of copies does not make all
+   its pairs. Bands have no cap; large ones are dealt over blocks, so that no task
+   meets one whole.
 
 Joins that move texts or sets are always sort-merge joins, which split hot keys and
 make the same plan at every size. Sets are compared by the first 48 bits of their
@@ -47,6 +53,8 @@ BANDS, ROWS, BITS = 40, 4, 2
 MINIMA = BANDS * ROWS
 LONGS = -(-MINIMA * BITS // 64)
 BLOCK = 512  # members of a band that meet in one block
+CLOSER = 2048  # further minima, of which one bit is kept
+TRIES = 4  # rounds of step 4
 
 _RANDOM = np.random.default_rng(20240229)
 _MULTIPLY = _RANDOM.integers(0, 1 << 32, MINIMA, np.uint32) | np.uint32(1)
@@ -77,6 +85,22 @@ def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> Iterator[np.ndarray
             yield own
 
 
+_CLOSER_MULTIPLY = _RANDOM.integers(0, 1 << 32, CLOSER, np.uint32) | np.uint32(1)
+_CLOSER_FLIP = _RANDOM.integers(0, 1 << 32, CLOSER, np.uint32)
+
+
+def sketch(hashes48: np.ndarray) -> np.ndarray:
+    """The lowest bits of further minima of a set, as longs."""
+    values = (hashes48 >> np.uint64(16)).astype(np.uint32)
+    least = np.full(CLOSER, 0xFFFFFFFF, np.uint32)
+    for at in range(0, len(values), 256):
+        part = (values[at : at + 256, None] ^ _CLOSER_FLIP) * _CLOSER_MULTIPLY
+        np.minimum(least, part.min(axis=0), out=least)
+    # The lowest bit of a product with an odd factor is that of the value; take a middle one.
+    bits = (least >> np.uint32(7) & np.uint32(1)).astype(np.uint8)
+    return np.packbits(bits).view(np.int64)
+
+
 def minima(sets: list[np.ndarray]) -> np.ndarray:
     """One row of minima per non-empty set."""
     values = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
@@ -212,27 +236,25 @@ def _similar(percent: int):
 
 def agreeing(a: Column, b: Column) -> Column:
     """Groups of bits in which two packed signatures agree."""
-    low = sum(1 << i for i in range(0, 64, BITS))
+    low = F.lit(sum(1 << i for i in range(0, 64, BITS)))
     wrong = []
     for i in range(LONGS):
         x = a[i].bitwiseXOR(b[i])
-        for shift in range(1, BITS):
-            x = x.bitwiseOR(F.shiftrightunsigned(a[i].bitwiseXOR(b[i]), shift))
-        wrong.append(F.bit_count(x.bitwiseAND(F.lit(low))))
+        wrong.append(F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(low)))
     return F.lit(MINIMA) - reduce(add, wrong)
 
 
-def similarity(agree: Column) -> Column:
-    """Estimated similarity, corrected for groups that agree by chance."""
-    chance = 1 / (1 << BITS)
-    return (agree / MINIMA - chance) / (1 - chance)
+def agreeing_closer(a: Column, b: Column) -> Column:
+    """Bits in which two sketches agree."""
+    wrong = (F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(CLOSER // 64))
+    return F.lit(CLOSER) - reduce(add, wrong)
 
 
-def lowest_estimate(threshold: float) -> float:
-    """Estimate that a pair at the threshold only misses by six standard deviations."""
-    chance = 1 / (1 << BITS)
-    p = threshold + (1 - threshold) * chance
-    return (p - 6 * (p * (1 - p) / MINIMA) ** 0.5 - chance) / (1 - chance)
+def least_agreeing(threshold: float, n: int, bits: int, deviations: float) -> int:
+    """How many of ``n`` values agree at least, where equal minima and chance leave some
+    standard deviations below what a pair at the threshold has."""
+    p = threshold + (1 - threshold) / (1 << bits)
+    return int(n * p - deviations * (n * p * (1 - p)) ** 0.5)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -249,45 +271,84 @@ def estimated(pairs: DataFrame, bits: DataFrame, threshold: float) -> DataFrame:
     return (
         pairs.join(named("a"), "a")
         .join(named("b"), "b")
-        .where(similarity(agree) >= lowest_estimate(threshold))
+        .where(agree >= least_agreeing(threshold, MINIMA, BITS, 6))
         .select("a", "b")
         .distinct()
     )
 
 
-def _within_bands(members: DataFrame, bits: DataFrame, labels: DataFrame, threshold: float):
-    """Possible pairs of two components that meet in a band."""
-    labelled = members.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        "band", "doc_id", F.coalesce("component", "doc_id").alias("component")
-    )
-    open_bands = (
-        labelled.groupBy("band")
+def _open(members: DataFrame) -> DataFrame:
+    """Members of bands with several components, with the number of blocks of the band."""
+    several = (
+        members.groupBy("band")
         .agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
         .where("x <> y")
         .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
-    rows = labelled.join(open_bands, "band").join(bits.hint("merge"), "doc_id")
-    rows = materialise(rows, "open-bands")
+    rows = members.select("band", "doc_id", "component").join(several.hint("merge"), "band")
+    return materialise(rows, "open-bands")
+
+
+def _closer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [sketch(unpacked_set(s)) for s in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), _lists(found)], names=["doc_id", "set", "sketch"]
+        )
+
+
+def _tried(rows: DataFrame, sets: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Links between each node of an open band and a node that leads one in this turn."""
+    node = F.struct(F.xxhash64("doc_id", F.lit(turn)), "doc_id", "component")
+    leaders = rows.groupBy("band").agg(F.min(node).alias("lead"))
+    leaders = leaders.select(
+        "band", F.col("lead.doc_id").alias("a"), F.col("lead.component").alias("of_a")
+    )
+    pairs = (
+        rows.join(leaders.hint("merge"), "band")
+        .where("component <> of_a")
+        .groupBy(F.col("doc_id").alias("b"))
+        .agg(F.min(F.struct(F.xxhash64("a", F.lit(turn)), "a")).alias("first"))
+        .select("first.a", "b")
+    )
+    return materialise(confirmed(pairs, sets, percent), "tried-links")
+
+
+def _relabelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """Open rows after links, which tie whole components."""
+    of = rows.select("doc_id", "component").distinct()
+    tied = (
+        links.join(of.select(F.col("doc_id").alias("a"), F.col("component").alias("x")), "a")
+        .join(of.select(F.col("doc_id").alias("b"), F.col("component").alias("y")), "b")
+        .select(F.col("x").alias("a"), F.col("y").alias("b"))
+    )
+    now = components(tied).select(F.col("id").alias("component"), F.col("component").alias("now"))
+    moved = rows.drop("blocks").join(now, "component", "left")
+    return _open(moved.select("band", "doc_id", F.coalesce("now", "component").alias("component")))
+
+
+def _remaining(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Possible pairs of two components that meet in a band."""
+    rows = rows.join(sets.select("doc_id", "sketch").hint("merge"), "doc_id")
     left = rows.select(
         "band",
         F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block"),
         F.col("doc_id").alias("a"),
         F.col("component").alias("of_a"),
-        F.col("bits").alias("bits_a"),
+        F.col("sketch").alias("sketch_a"),
     )
     right = rows.select(
         "band",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
         F.col("doc_id").alias("b"),
         F.col("component").alias("of_b"),
-        F.col("bits").alias("bits_b"),
+        F.col("sketch").alias("sketch_b"),
     )
-    agree = agreeing(F.col("bits_a"), F.col("bits_b"))
-    near = similarity(agree) >= lowest_estimate(threshold)
+    agree = agreeing_closer(F.col("sketch_a"), F.col("sketch_b"))
+    near = agree >= least_agreeing(threshold, CLOSER, 1, 5)
     met = (left.band == right.band) & (left.block == right.block)
-    return (
-        left.join(right, met & (F.col("of_a") < F.col("of_b")) & near).select("a", "b").distinct()
-    )
+    pairs = left.join(right.hint("merge"), met & (F.col("of_a") < F.col("of_b")) & near)
+    return pairs.select("a", "b").distinct()
 
 
 def near_duplicates(
@@ -343,10 +404,19 @@ def near_duplicates(
     )
     labels = components(star_links.unionByName(tied))
 
-    rest = materialise(_within_bands(members, bits, labels, threshold), "rest-pairs")
-    links = confirmed(rest, sets, percent).unionByName(
-        labels.select(F.col("component").alias("a"), F.col("id").alias("b"))
-    )
+    labelled = members.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    rows = _open(labelled.withColumn("component", F.coalesce("component", "doc_id")))
+    nodes_left = rows.select("doc_id").distinct()
+    closer = sets.join(nodes_left.hint("merge"), "doc_id").select("doc_id", "set")
+    closer = closer.mapInArrow(_closer, "doc_id bigint, set binary, sketch array<bigint>")
+    closer = materialise(closer, "open-sets")
+    links = labels.select(F.col("component").alias("a"), F.col("id").alias("b"))
+    for turn in range(TRIES):
+        tried = _tried(rows, closer, percent, turn)
+        links = links.unionByName(tried)
+        rows = _relabelled(rows, tried)
+    rest = materialise(_remaining(rows, closer, threshold), "rest-pairs")
+    links = links.unionByName(confirmed(rest, closer, percent))
     found = components(links)
     of_class = classes.join(found.withColumnRenamed("id", "first"), "first", "left").select(
         "set_key", F.coalesce("component", "first").alias("component_id")
