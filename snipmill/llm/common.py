@@ -30,6 +30,18 @@ def fold(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0))
 
 
+def sampled(df: DataFrame, draw: str, n: int) -> DataFrame:
+    """At most ``n`` rows, those with the smallest ``draw``, a 64-bit hash.
+
+    Only draws below a bound that leaves about twice as many are sorted, so that
+    the one task that picks the last rows gets no more from a larger table.
+    """
+    rows = df.count()
+    share = min(1.0, 2 * n / rows + 1e-9) if rows else 1.0
+    bound = min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
+    return df.where(F.col(draw) <= bound).orderBy(draw).limit(n)
+
+
 def texts_of(array: pa.Array) -> list[bytes]:
     """Texts of an Arrow array as bytes; a null is an empty text."""
     return [x or b"" for x in array.cast(pa.binary()).to_pylist()]

@@ -45,12 +45,12 @@ class Bands:
 
     whole: tuple[tuple[int, float, float], ...] = (
         (0, 0.0, 2.6),
-        (256, 1.05, 3.0),
-        (512, 1.1, 3.3),
-        (2048, 1.15, 3.6),
-        (8192, 1.2, 4.5),
+        (256, 1.1, 3.0),
+        (512, 1.2, 3.3),
+        (2048, 1.4, 3.6),
+        (8192, 1.5, 4.5),
     )
-    chunk: tuple[float, float] = (1.15, 4.0)
+    chunk: tuple[float, float] = (1.3, 4.0)
     chunk_bytes: int = 2048
     most_outside: float = 0.25
     level: int = 3

@@ -17,8 +17,8 @@ that name themselves as something else. Each such page is learned from three tim
 as it is, with these marks hidden from the features, so that the trees learn what
 such blocks look like, and with text of its article grafted into blocks that name
 themselves as something else, so that a name counts where the look does not tell.
-Training takes a bounded sample (``Forest.sample_pages``, smallest hashes of the
-url); every page is extracted from its whole html.
+Training takes a bounded sample (``Forest.sample_pages``, smallest hashes of url
+and html); every page is extracted from its whole html.
 
 Results, defined for every input: a null or empty page has an empty text. Broken
 markup never fails: unclosed elements end with what they stand in, stray end tags
@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snipmill.llm.common import texts_of
+from snipmill.llm.common import sampled, texts_of
 
 # Elements whose text is never shown as text of the page, and those without content.
 RAW = "script style template noscript iframe object svg canvas title textarea".split()
@@ -400,12 +400,10 @@ def train(
                 [pa.array(x.tolist(), pa.list_(pa.float32())), pa.array(y)], names=["x", "y"]
             )
 
-    drawn = (
-        pages.where(F.octet_length(html_col) > 0)
-        .select(F.col(html_col).alias("html"), F.xxhash64(url_col).alias("draw"))
-        .orderBy("draw", "html")
-        .limit(forest.sample_pages)
+    some = pages.where(F.octet_length(html_col) > 0).select(
+        F.col(html_col).alias("html"), F.xxhash64(url_col, html_col).alias("draw")
     )
+    drawn = sampled(some, "draw", forest.sample_pages)
     table = drawn.select("html").mapInArrow(rows, "x array<float>, y boolean").toArrow()
     y = table["y"].to_numpy().astype(np.float64)
     if not len(y) or not 0 < y.mean() < 1:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from snipmill.llm.common import Numbering, texts_of
+from snipmill.llm.common import Numbering, sampled, texts_of
 
 SLOT_BITS = 30
 BEGINS = range(3, 8)  # lengths of the begins of words that are terms too
@@ -182,9 +182,9 @@ def train(
         .agg(F.max("label").alias("label"))
     )
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    order = F.xxhash64("doc_id")
     # At most ``sample_rows`` rows of an id and a label: small enough for every executor.
-    sample = labelled.orderBy(order, "doc_id").limit(machine.sample_rows)
+    labelled = labelled.withColumn("draw", F.xxhash64("doc_id"))
+    sample = sampled(labelled, "draw", machine.sample_rows).drop("draw")
     rows = (
         texts.join(F.broadcast(sample), "doc_id")
         .groupBy("doc_id", "label")

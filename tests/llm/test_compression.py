@@ -3,13 +3,15 @@ import re
 from collections import Counter
 
 import pytest
-import zstandard
 from pyspark.sql import functions as F
 
 from snipmill.llm import compression
 from snipmill.llm.compression import Bands
 
 
+LETTERS = [chr(i) for i in range(0xA1, 0x7FF) if chr(i).isalpha()]
+
+
 def prose(seed, n=400):
     draw = random.Random(seed)
     words = ["".join(draw.choice("etaoinshrdlu") for _ in range(draw.randrange(2, 9))) for _ in range(300)]
@@ -52,11 +54,12 @@ def verdict(spark, documents, text):
 
 def test_prose_stays_and_extremes_go(spark, documents):
     draw = random.Random(2)
-    noise = " ".join("".join(chr(draw.randrange(33, 0x2FFF)) for _ in range(9)) for _ in range(300))
+    noise = " ".join("".join(draw.choice(LETTERS) for _ in range(9)) for _ in range(300))
     distinct = " ".join(f"{i:05d}" for i in range(3000))
     assert verdict(spark, documents, prose(1)).kept
     assert verdict(spark, documents, prose(2, 60)).kept
-    assert not verdict(spark, documents, noise).kept or zstandard
+    # Too many different letters to compress at all.
+    assert not verdict(spark, documents, noise).kept
     assert not verdict(spark, documents, "same words again and again " * 200).kept
     # No repeated window, yet far too regular.
     regular = verdict(spark, documents, distinct)
@@ -73,7 +76,7 @@ def test_junk_inside_a_long_text(spark, documents):
 
 def test_bands_depend_on_length():
     bands = Bands()
-    assert bands.of_length(0) == (0.0, 2.6) and bands.of_length(10**9) == (1.2, 4.5)
+    assert bands.of_length(0) == (0.0, 2.6) and bands.of_length(10**9) == (1.5, 4.5)
     with pytest.raises(ValueError):
         Bands(whole=((5, 0, 1),))
 

@@ -1,0 +1,125 @@
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from snipmill.llm import language_model as lm
+from snipmill.llm.common import fold
+
+
+def held(i):
+    return i is not None and zlib.crc32(str(i).encode()) % 5 == 1
+
+
+def words(text):
+    return (text or "").encode().lower().split() + [None]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    draw = random.Random(4)
+    out = [(i, " ".join(draw.choice(["the cat", "a dog", f"w{draw.randrange(40)}", "sat on"])
+                        for _ in range(draw.randrange(60)))) for i in range(150)]
+    return [*out, (7, out[7][1]), (None, "the cat"), (200, None), (201, ""), (202, "THE Çat\x0bÇAT")]
+
+
+def scored(documents, rows):
+    df = documents(rows)
+    return lm.deleted_interpolation(df, fold(F.col("doc_id")) == 1).collect()
+
+
+def test_base_and_counts_equal_brute_force(spark, documents, rows):
+    counts = Counter()
+    for i, t in rows:
+        if not held(i):
+            counts.update(words(t))
+    n, v = sum(counts.values()), len(counts)
+
+    def wanted(i, t):
+        w = words(t)
+        base = sum(math.log10((counts[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w)
+        return (i or -1, held(i), len(w), sum(counts[x] > 0 for x in w), n, round(base, 6))
+
+    found = scored(documents, rows)
+    key = lambda r: (r.doc_id or -1, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6))
+    assert sorted(map(key, found)) == sorted(wanted(*r) for r in rows)
+    assert all(r.score < 0 for r in found)
+    late = [r for r in found if r.held_out]
+    assert sum(r.score for r in late) > sum(r.base_score for r in late)
+
+
+def test_small_blocks_change_nothing(spark, documents, rows, monkeypatch):
+    whole = {(r.doc_id, r.n_tokens): r.score for r in scored(documents, rows)}
+    monkeypatch.setattr(lm, "RANGE_TOKENS", 50)
+    ranges = {(r.doc_id, r.n_tokens): r.score for r in scored(documents, rows)}
+    assert whole.keys() == ranges.keys()
+    assert all(abs(whole[k] - ranges[k]) < 1e-9 for k in whole)
+
+
+def mixture(rows, weights):
+    """Brute-force probability of a word after another."""
+    single, pair, begin = Counter(), Counter(), 0
+    for i, t in rows:
+        if not held(i):
+            w = [b"<s>", *words(t)]
+            single.update(w)
+            pair.update(zip(w, w[1:]))
+    begin = single.pop(b"<s>")
+    n, v = sum(single.values()), len(single)
+    single_of = lambda u: begin if u == b"<s>" else single[u]
+
+    def p(u, x):
+        c = single_of(u)
+        a, b, g = weights[int(lm.bucket(np.array([float(c)]))[0])]
+        if c == 0:
+            b, g = b + g, 0
+        return a / (v + 1) + b * single[x] / n + (g * pair[u, x] / c if c else 0)
+
+    return p, list(single)
+
+
+def test_scores_equal_brute_force(spark, documents, rows, monkeypatch):
+    weights = np.tile([0.1, 0.3, 0.6], (lm.FREQUENCIES, 1))
+    monkeypatch.setattr(lm, "learned_weights", lambda events, types: weights)
+    p, vocabulary = mixture(rows, weights)
+    found = {(r.doc_id, r.n_tokens): r.score for r in scored(documents, rows)}
+    for i, t in rows:
+        w = [b"<s>", *words(t)]
+        wanted = sum(math.log10(p(u, x)) for u, x in zip(w, w[1:]))
+        assert abs(found[i, len(w) - 1] - wanted) < 1e-6
+    # What the mixture gives to known words and one unknown word adds up to one.
+    for u in (b"the", b"never seen", b"<s>"):
+        total = sum(p(u, x) for x in vocabulary) + p(u, b"unknown")
+        assert abs(total - 1) < 1e-9
+
+
+def test_expectation_maximisation_finds_the_best_mixture():
+    draw = np.random.default_rng(5)
+    events = np.column_stack(
+        [np.full(200, 3), -draw.integers(8, 60, 200), -draw.integers(0, 60, 200), draw.integers(1, 9, 200)]
+    )
+    weights = lm.learned_weights(events, 1000)
+    p = np.column_stack([np.full(200, 1 / 1001), np.exp(events[:, 1:3] / lm.STEPS)])
+    like = lambda w: (np.log(p @ w) * events[:, 3]).sum()
+    best = like(weights[3])
+    for _ in range(300):
+        assert like(draw.dirichlet([1, 1, 1])) <= best + 0.02 * abs(best)
+    assert np.allclose(weights.sum(axis=1), 1)
+
+
+def test_tables_without_training_texts(spark, documents):
+    late = next(i for i in range(100) if held(i))
+    (row,) = scored(documents, [(late, "a b")])
+    assert (row.n_tokens, row.n_known, row.train_tokens) == (3, 0, 0)
+    assert row.score == 0 and abs(row.base_score) < 1e-9
+    assert scored(documents, []) == []
+
+
+def test_packed_numbers():
+    values = np.random.default_rng(6).integers(0, 1 << 63, 77, np.uint64)
+    assert (lm.unpack(lm.pack(values)) == values).all()
+    assert len(lm.unpack(lm.pack(np.empty(0, np.uint64)))) == 0
