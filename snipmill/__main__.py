@@ -2,7 +2,7 @@
 
     extract ROOT RECORDS            sources below ROOT to JSON Lines
     pool RECORDS POOL [--export F]  records to a pool in Parquet, and JSON Lines
-    select POOL OUT                 pool to phases, batches and the step plan
+    select POOL OUT                 pool to phases, their languages, batches and the step plan
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from snipmill.operators.reports import language_distribution
 from snipmill.operators.splits import BATCH_SIZE, epoch_batches, split_train_validation, step_plan
 from snipmill.plans.extraction import extract_all, yield_totals
 from snipmill.plans.phases import PHASES, per_phase, select_phases, with_contents
@@ -45,6 +46,8 @@ def select(spark: SparkSession, pool_path: str, out: str, batch_size: int = BATC
     split = split_train_validation(chosen)
     split.write.mode("overwrite").parquet(f"{out}/selection")
     split = spark.read.schema(split.schema).parquet(f"{out}/selection")
+    languages = language_distribution(split, "phase")
+    languages.write.mode("overwrite").parquet(f"{out}/languages")
     with_contents(split, snippets).write.mode("overwrite").parquet(f"{out}/contents")
     epochs = per_phase(PHASES, "epochs")
     epoch_batches(split, epochs, batch_size).write.mode("overwrite").parquet(f"{out}/batches")

@@ -566,6 +566,15 @@ FROM selection JOIN doc_pool USING (snippet_id)""",
     "train_val_split": f"{_DOCUMENT_SPLIT} SELECT phase, snippet_id, part, place FROM split",
     "epoch_batches": f"""{_DOCUMENT_SPLIT},
 epochs AS (SELECT *, unnest([1, 2, 3]) AS epoch FROM split),
+placed AS (
+  SELECT *, CASE WHEN part = 'val' THEN place ELSE row_number() OVER (
+    PARTITION BY phase, epoch, part ORDER BY md5(epoch || '|' || snippet_id), snippet_id)
+    END AS p
+  FROM epochs)
+SELECT phase, snippet_id, part, CAST(epoch AS INTEGER) AS epoch,
+  CAST((p - 1) // 8 AS BIGINT) AS batch FROM placed""",
+    "epoch_batches_zero": f"""{_DOCUMENT_SPLIT},
+epochs AS (SELECT *, unnest([1, 2]) AS epoch FROM split WHERE phase <> 'de'),
 placed AS (
   SELECT *, CASE WHEN part = 'val' THEN place ELSE row_number() OVER (
     PARTITION BY phase, epoch, part ORDER BY md5(epoch || '|' || snippet_id), snippet_id)
@@ -608,5 +617,5 @@ SELECT language, CASE language {" ".join(
 FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS ord FROM documents)
 WHERE length({_strip('text')}) >= 20""",
     "bounded_stream_scan": """SELECT least(count(*), 500) AS n_rows,
-  least(count(*), 500) AS n_documents FROM documents""",
+  least(count(*), 500) AS n_documents, 0::BIGINT AS n_strangers FROM documents""",
 }

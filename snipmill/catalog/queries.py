@@ -62,7 +62,8 @@ def document_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def pool_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: documents to a characterized pool, summed up per language."""
-    pool = build_pool(long_enough(inputs.document_records(spark, sf_dir)))
+    wanted = ("loc", "avg_line_length")
+    pool = with_characteristics(document_pool(spark, sf_dir), wanted=wanted)
     return pool.groupBy("language").agg(
         F.count("*").alias("n"),
         F.sum("characteristics.loc").alias("sum_loc"),
@@ -391,12 +392,12 @@ DOCUMENT_PHASES = (
 @registered
 def phase_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     pool = _stored(document_pool(spark, sf_dir).select("snippet_id", "language"))
-    return select_phases(pool, DOCUMENT_PHASES, "de")
+    return select_phases(pool, DOCUMENT_PHASES, "de").drop("row_key")
 
 
 def _snippet_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     pool = keep_first(inputs.snippet_records(spark, sf_dir))
-    return select_phases(_stored(pool.select("snippet_id", "language")), PHASES)
+    return select_phases(_stored(pool.select("snippet_id", "language")), PHASES).drop("row_key")
 
 
 @registered
@@ -440,6 +441,14 @@ def epoch_batches_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.select("phase", "snippet_id", "part", "epoch", "batch")
 
 
+@registered
+def epoch_batches_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No epochs for German documents, two for the others."""
+    epochs = F.when(F.col("phase") == "de", 0).otherwise(2)
+    batches = epoch_batches(_document_split(spark, sf_dir), epochs, 8)
+    return batches.select("phase", "snippet_id", "part", "epoch", "batch")
+
+
 # --- sequences and evaluation ---------------------------------------------
 
 
@@ -587,6 +596,10 @@ def bounded_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = take(
         spark, sf_dir, schema, 500, "parquet", pathGlobFilter="documents.parquet"
     )
-    return rows.agg(
-        F.count("*").alias("n_rows"), F.countDistinct("doc_id").alias("n_documents")
+    documents = inputs.table(spark, sf_dir, "documents")
+    known = documents.select("doc_id", "text", F.lit(True).alias("known"))
+    return rows.join(known, ["doc_id", "text"], "left").agg(
+        F.count("*").alias("n_rows"),
+        F.countDistinct("doc_id").alias("n_documents"),
+        F.count_if(F.col("known").isNull()).alias("n_strangers"),
     )

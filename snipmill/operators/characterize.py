@@ -63,6 +63,12 @@ def _python() -> dict[str, Column]:
     }
 
 
+# Metrics that need the syntax tree.
+_SYNTAX_METRICS = (
+    "num_functions", "num_classes", "imports", "ast_parse_success", "syntax_error_detail",
+    "num_comments",
+)
+
 # Comment counters that several languages share.
 _SLASH_COMMENTS = {"num_comments_sl": lambda: _count(_starting("//"))}
 _BLOCK_COMMENTS = {
@@ -110,7 +116,7 @@ METRICS: dict[str, Callable[[], dict[str, Column]]] = {
 }
 
 
-def _characteristics(content: Column, metrics: dict) -> Column:
+def _characteristics(content: Column, metrics: dict, wanted: Collection[str] | None) -> Column:
     # The average takes line ends into account as they were written.
     loc = F.size(_PIECES) - is_closed(F.col(_TEXT)).cast("int")
     per_field: dict[str, Column] = {
@@ -121,11 +127,17 @@ def _characteristics(content: Column, metrics: dict) -> Column:
         languages = [name for name, its in metrics.items() if its is metric_set]
         applies = F.col(_LANGUAGE).isin(languages)
         for field, value in metric_set().items():
+            if wanted is not None and field not in wanted:
+                continue
             others = per_field.get(field, F.lit(None))
             per_field[field] = F.when(applies, value).otherwise(others)
     absent = F.lit(None)
     return F.struct(
-        *(per_field.get(f.name, absent).cast(f.dataType).alias(f.name) for f in CHARACTERISTICS)
+        *(
+            per_field.get(f.name, absent).cast(f.dataType).alias(f.name)
+            for f in CHARACTERISTICS
+            if wanted is None or f.name in wanted
+        )
     )
 
 
@@ -134,9 +146,13 @@ def with_characteristics(
     content: str = "raw_content",
     language: str = "language",
     languages: Collection[str] | None = None,
+    wanted: Collection[str] | None = None,
 ) -> DataFrame:
     """Add ``characteristics``. The stored language keeps its spelling.
 
+    With ``wanted``, the struct has only these metrics, and nothing is planned for
+    the others.
+
     The text is split once, in a projection of its own. The Python UDF gets
     null for all rows of other languages, so their texts never leave the JVM;
     that keeps one scan where a union of languages would need two. Where the
@@ -145,13 +161,13 @@ def with_characteristics(
     """
     metrics = {k: v for k, v in METRICS.items() if languages is None or k in languages}
     key = F.lower(F.coalesce(F.col(language), F.lit("unknown")))
-    if "python" in metrics:
+    if "python" in metrics and (wanted is None or set(_SYNTAX_METRICS) & set(wanted)):
         sources = F.when(key == "python", F.col(content))
         records = records.withColumn(_SYNTAX, python_syntax(sources))
     return (
         records.withColumns({_LANGUAGE: key, _TEXT: unify_line_ends(F.col(content))})
         .withColumn(_PIECES, pieces(F.col(_TEXT)))
-        .withColumn("characteristics", _characteristics(F.col(content), metrics))
+        .withColumn("characteristics", _characteristics(F.col(content), metrics, wanted))
         .drop(_SYNTAX, _LANGUAGE, _TEXT, _PIECES)
     )
 

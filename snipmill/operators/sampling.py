@@ -11,24 +11,18 @@ from snipmill.operators.ranking import first_by_draw, hash_bucket, with_rank
 # Language whose snippets are replayed in phases of other languages.
 REPLAY_LANGUAGE = "python"
 
-# Most used ids that are sent to every executor: about 70 bytes each, so 14 MB.
-BROADCAST_IDS = 200_000
-
 
 def of_language(pool: DataFrame, language: str | None) -> DataFrame:
     """Rows of one language, spelled exactly so; all rows when it is not set."""
     return pool.where(F.col("language") == language) if language else pool
 
 
-def exclude_used(pool: DataFrame, used: DataFrame, at_most: int | None = None) -> DataFrame:
+def exclude_used(pool: DataFrame, used: DataFrame) -> DataFrame:
     """Pool rows whose id was not used. Rows without an id always stay.
 
-    ``at_most`` is a proven bound on the number of used ids; only with a small
-    one are they broadcast. Otherwise Spark decides by the size it measures.
+    Spark picks the join by the size of the used ids, which it knows of a written table.
     """
     ids = used.select("snippet_id").where("snippet_id IS NOT NULL")
-    if at_most is not None and at_most <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
     return pool.join(ids, "snippet_id", "left_anti")
 
 
@@ -41,15 +35,21 @@ def used_ids(*selections: DataFrame) -> DataFrame:
 
 
 def row_key(pool: DataFrame) -> Column:
-    """What a row is drawn by: its id, or where it came from if it has none."""
+    """What a row is drawn by: its id, or where it came from if it has none.
+
+    A selection has this key as a column, as it does not know where rows came from.
+    """
+    if "row_key" in pool.columns:
+        return F.col("row_key")
     origin = [c for c in ("source_config_id", "original_id") if c in pool.columns]
     return F.coalesce(F.col("snippet_id"), F.concat_ws("/", *origin) if origin else F.lit(""))
 
 
 def sample(pool: DataFrame, n: int, salt: str, language: str | None = None) -> DataFrame:
     """Exactly ``min(n, rows)`` rows of a language, or of all languages."""
-    candidates = of_language(pool, language).withColumn("_draw", draw(salt, row_key(pool)))
-    return first_by_draw(candidates, "_draw", n, ties=["snippet_id"]).drop("_draw")
+    keyed = of_language(pool, language).withColumn("_key", row_key(pool))
+    candidates = keyed.withColumn("_draw", draw(salt, F.col("_key")))
+    return first_by_draw(candidates, "_draw", n, ties=["_key"]).drop("_draw", "_key")
 
 
 def replay_quota(
@@ -71,16 +71,16 @@ def replay_sample(
     n: int,
     salt: str,
     replay_language: str = REPLAY_LANGUAGE,
-    at_most_used: int | None = None,
 ) -> DataFrame:
     """``n`` rows of the replay language out of those not used yet; ``used`` holds
     the ids of earlier phases and of this phase's main selection."""
-    candidates = exclude_used(of_language(pool, replay_language), used, at_most_used)
+    candidates = exclude_used(of_language(pool, replay_language), used)
     return sample(candidates, n, salt)
 
 
 def shuffled(selection: DataFrame, salt: str, *keys: str) -> DataFrame:
     """Add ``position``, the 1-based place in a random order of each group."""
-    drawn = selection.withColumn("_draw", draw(salt, F.col("snippet_id")))
-    ranked = with_rank(drawn, keys, hash_bucket(F.col("_draw")), ["_draw", "snippet_id"])
-    return ranked.withColumnRenamed("rank", "position").drop("_draw")
+    keyed = selection.withColumn("_key", row_key(selection))
+    drawn = keyed.withColumn("_draw", draw(salt, F.col("_key")))
+    ranked = with_rank(drawn, keys, hash_bucket(F.col("_draw")), ["_draw", "_key"])
+    return ranked.withColumnRenamed("rank", "position").drop("_draw", "_key")

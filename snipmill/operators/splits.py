@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from snipmill.functions.hashing import draw
 from snipmill.operators.ranking import hash_bucket, with_rank
+from snipmill.operators.sampling import row_key
 
 # Fixed values of the training plan.
 VALIDATION_RATIO = 0.15
@@ -36,10 +37,9 @@ def split_train_validation(
     seed: str = SPLIT_SEED,
 ) -> DataFrame:
     """Add ``part`` (train or val), exact in size per group, and the ``place`` in it."""
-    drawn = selection.withColumn("_draw", draw(seed, F.col("snippet_id")))
-    ranked = with_rank(
-        drawn, keys, hash_bucket(F.col("_draw")), ["_draw", "snippet_id"], size="_rows"
-    )
+    keyed = selection.withColumn("_key", row_key(selection))
+    drawn = keyed.withColumn("_draw", draw(seed, F.col("_key")))
+    ranked = with_rank(drawn, keys, hash_bucket(F.col("_draw")), ["_draw", "_key"], size="_rows")
     held_out = F.col("rank") <= F.col("_val")
     return (
         ranked.withColumn("_val", validation_rows(F.col("_rows"), ratio))
@@ -47,7 +47,7 @@ def split_train_validation(
         .withColumn(
             "place", F.when(held_out, F.col("rank")).otherwise(F.col("rank") - F.col("_val"))
         )
-        .drop("_draw", "_rows", "_val", "rank")
+        .drop("_draw", "_key", "_rows", "_val", "rank")
     )
 
 
@@ -60,21 +60,22 @@ def epoch_batches(
     """One row per epoch and snippet, with its 0-based ``batch``.
 
     Training rows come in a new random order each epoch, validation rows always
-    in the order of the split. The last batch may be short.
+    in the order of the split. The last batch may be short. No epochs give no
+    rows; a group whose number of epochs is not known fails the job.
     """
     count = F.lit(epochs) if isinstance(epochs, int) else epochs
-    per_epoch = split.withColumn("epoch", F.explode(F.sequence(F.lit(1), count)))
-    drawn = per_epoch.withColumn(
-        "_draw", draw(F.col("epoch").cast("string"), F.col("snippet_id"))
-    )
+    known = F.coalesce(count, F.raise_error(F.lit("a group has no number of epochs")))
+    numbers = F.when(known >= 1, F.sequence(F.lit(1), known))
+    per_epoch = split.withColumn("epoch", F.explode(numbers)).withColumn("_key", row_key(split))
+    drawn = per_epoch.withColumn("_draw", draw(F.col("epoch").cast("string"), F.col("_key")))
     ranked = with_rank(
         drawn,
         [*keys, "epoch", "part"],
         hash_bucket(F.col("_draw")),
-        ["_draw", "snippet_id"],
+        ["_draw", "_key"],
     )
     place = F.when(F.col("part") == "train", F.col("rank")).otherwise(F.col("place"))
-    return ranked.withColumn("batch", F.floor((place - 1) / batch_size)).drop("_draw", "rank")
+    return ranked.withColumn("batch", F.floor((place - 1) / batch_size)).drop("_draw", "_key", "rank")
 
 
 def step_plan(

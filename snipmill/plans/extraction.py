@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from snipmill.operators.extract import is_long_enough, long_enough, records_of
+from snipmill.session import materialise
 from snipmill.sources.jsonl import write_records
 from snipmill.sources.registry import SOURCES, Source
 from snipmill.sources.scans import (
@@ -22,9 +23,6 @@ from snipmill.streaming.bounded import take
 
 log = logging.getLogger(__name__)
 
-# Spark counts the rows that a stream lets through in 32 bits.
-MOST_STREAMED = (1 << 31) - 1
-
 
 @dataclass(frozen=True)
 class SourceStatus:
@@ -45,7 +43,7 @@ def _stream(spark: SparkSession, source: Source, root: str) -> DataFrame:
     """A source read as a bounded stream, as the table that it leaves."""
     path = source.path(root)
     schema = source.schema or spark.read.format(source.format).load(path).schema
-    return take(spark, path, schema, source.max_samples or MOST_STREAMED, source.format)
+    return take(spark, path, schema, source.max_samples, source.format)
 
 
 def _extract_one(spark: SparkSession, source: Source, root: str, out: str) -> SourceStatus:
@@ -58,7 +56,10 @@ def _extract_one(spark: SparkSession, source: Source, root: str, out: str) -> So
         return SourceStatus(source.id, "missing fields", detail=", ".join(missing))
     if rows.isEmpty():
         return SourceStatus(source.id, "empty")
-    numbered = parquet_positions(rows) if source.streamed else with_positions(rows, source)
+    if source.streamed:
+        numbered = parquet_positions(materialise(rows, "streamed-rows"))
+    else:
+        numbered = with_positions(rows, source)
     counts = Observation()
     records = records_of(numbered, source).observe(
         counts,

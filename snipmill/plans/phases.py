@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -16,13 +16,10 @@ from snipmill.operators.sampling import (
     REPLAY_LANGUAGE,
     exclude_used,
     replay_quota,
-    replay_sample,
     row_key,
-    sample,
     shuffled,
-    used_ids,
 )
-from snipmill.operators.splits import epoch_batches, split_train_validation, step_plan
+from snipmill.operators.splits import split_train_validation, step_plan
 from snipmill.schemas import TEXT, struct
 from snipmill.session import materialise
 
@@ -63,38 +60,11 @@ PHASES = (
     Phase("Final_Mixed_Tune", None, 250, 2, 0.20),
 )
 
-# Most rows that one task sorts to take the smallest of them.
-ROWS_FOR_ONE_TASK = 100_000
-
 SELECTION = struct(
-    phase=TEXT, role=TEXT, snippet_id=TEXT, language=TEXT, position=LongType()
+    phase=TEXT, role=TEXT, snippet_id=TEXT, language=TEXT, row_key=TEXT, position=LongType()
 )
 
 
-def select_phase(
-    pool: DataFrame,
-    phase: Phase,
-    used: DataFrame | None = None,
-    at_most_used: int | None = None,
-    replay_language: str = REPLAY_LANGUAGE,
-) -> DataFrame:
-    """Main and replay rows of one phase, with their ``role``.
-
-    ``used`` holds the ids of earlier phases, ``at_most_used`` a bound on them.
-    """
-    free = pool if used is None else exclude_used(pool, used, at_most_used)
-    drawn = sample(free, phase.num_samples, phase.name, phase.language)
-    main = materialise(drawn.withColumn("role", F.lit("main")), "main-selection")
-    quota = phase.replay_quota(main, replay_language)
-    if not quota:
-        return main
-    taken = used_ids(main) if used is None else used_ids(main, used)
-    bound = None if at_most_used is None else at_most_used + phase.num_samples
-    salt = f"{phase.name} replay"
-    replay = replay_sample(pool, taken, quota, salt, replay_language, bound)
-    return main.unionByName(replay.withColumn("role", F.lit("replay")))
-
-
 @dataclass(frozen=True)
 class _Request:
     """One draw of a phase: at most ``rows`` of a language, when at most
@@ -141,9 +111,12 @@ def _candidates(pool: DataFrame, requests: Sequence[_Request]) -> DataFrame:
             for i, r in enumerate(requests)
         )
     )
-    drawn = pool.select("snippet_id", "language", F.explode(draws).alias("d")).select(
-        "snippet_id", "language", "d.request", "d.draw"
-    ).where("request IS NOT NULL")
+    drawn = pool.select(
+        "snippet_id",
+        "language",
+        row_key(pool).alias("row_key"),
+        F.explode(F.array_compact(draws)).alias("d"),
+    ).select("snippet_id", "language", "row_key", "d.request", "d.draw")
     needs = F.element_at(
         F.array(*(F.lit(r.rows + r.used_before) for r in requests)), F.col("request") + 1
     )
@@ -158,12 +131,6 @@ def _candidates(pool: DataFrame, requests: Sequence[_Request]) -> DataFrame:
     return materialise(drawn.where(hash_bucket(F.col("draw")) <= last), "candidates")
 
 
-def _smallest_draws(candidates: DataFrame, n: int) -> DataFrame:
-    if n <= ROWS_FOR_ONE_TASK:
-        return candidates.orderBy("draw", "snippet_id").limit(n)
-    return first_by_draw(candidates, "draw", n, ["snippet_id"])
-
-
 def select_phases(
     pool: DataFrame,
     phases: Sequence[Phase] = PHASES,
@@ -171,33 +138,36 @@ def select_phases(
 ) -> DataFrame:
     """Selections of all phases in order, none of them sharing an id.
 
-    The same rows as :func:`select_phase` phase after phase, but from the small
-    table of candidates. What a draw takes is a written table, so the plan of
-    the next does not repeat it. Contents are joined at the end by
-    :func:`with_contents`, for which the result is a written table too.
+    The draws of a phase run on the small table of candidates. What a draw takes is
+    a written table, so the plan of the next does not repeat it. Contents are joined
+    at the end by :func:`with_contents`, for which the result is a written table too.
     """
     requests = _requests(phases, replay_language)
+    if not requests:
+        return pool.sparkSession.createDataFrame([], SELECTION)
     candidates = _candidates(pool, requests)
     done: list[DataFrame] = []
+    main_of: dict[str, DataFrame] = {}
     for i, request in enumerate(requests):
-        rows = request.rows
+        rows, name = request.rows, request.phase.name
         if request.role == "replay":
+            main = main_of.get(name, candidates.limit(0))
             rows = request.phase.replay_quota(main, replay_language)
         free = candidates.where(F.col("request") == i)
         if done:
-            taken = reduce(DataFrame.unionByName, done)
-            free = exclude_used(free, taken, request.used_before)
+            free = exclude_used(free, reduce(DataFrame.unionByName, done))
         picked = materialise(
-            _smallest_draws(free, rows).select(
-                F.lit(request.phase.name).alias("phase"),
+            first_by_draw(free, "draw", rows, ["row_key"]).select(
+                F.lit(name).alias("phase"),
                 F.lit(request.role).alias("role"),
                 "snippet_id",
                 "language",
+                "row_key",
             ),
             "picked",
         )
         if request.role == "main":
-            main = picked
+            main_of[name] = picked
         done.append(picked)
     union = reduce(DataFrame.unionByName, done)
     salt = F.concat(F.col("phase"), F.lit(" order"))
@@ -208,15 +178,26 @@ def with_contents(selection: DataFrame, pool: DataFrame) -> DataFrame:
     """Selected rows with everything the pool knows of them.
 
     ``selection`` should be a written table: Spark then knows that it is small,
-    and finds its rows without moving the pool.
+    and finds its rows without moving the pool. Rows meet by id, or by where they
+    came from if they have none. Of pool rows that share an id, a selected row gets
+    the first by source and original id, however often the id is selected.
     """
-    return selection.join(pool.drop("language"), "snippet_id")
+    keyed = pool.withColumn("row_key", row_key(pool)).drop("language", "snippet_id")
+    origin = [c for c in ("source_config_id", "original_id", "ord") if c in pool.columns]
+    found = selection.join(keyed, "row_key")
+    one = Window.partitionBy("phase", "position").orderBy(*(origin or ["row_key"]))
+    return found.withColumn("_nth", F.row_number().over(one)).where("_nth = 1").drop("_nth")
 
 
 def per_phase(phases: Sequence[Phase], value: str) -> Column:
-    """A value of the phase descriptors, by the column ``phase``."""
+    """A value of the phase descriptors, by the column ``phase``. A phase that is not
+    among them fails the job."""
     entries = [F.lit(x) for p in phases for x in (p.name, getattr(p, value))]
-    return F.create_map(*entries)[F.col("phase")]
+    unknown = F.raise_error(F.concat(F.lit("unknown phase: "), F.coalesce("phase", F.lit("null"))))
+    if not entries:
+        return unknown.cast("int")
+    found = F.try_element_at(F.create_map(*entries), F.col("phase"))
+    return F.coalesce(found, unknown)
 
 
 def plan_phases(selection: DataFrame, phases: Sequence[Phase] = PHASES) -> DataFrame:
@@ -226,8 +207,3 @@ def plan_phases(selection: DataFrame, phases: Sequence[Phase] = PHASES) -> DataF
         per_phase(phases, "epochs"),
         per_phase(phases, "warmup_ratio"),
     )
-
-
-def phase_batches(selection: DataFrame, phases: Sequence[Phase] = PHASES) -> DataFrame:
-    """Epoch batches of every phase."""
-    return epoch_batches(split_train_validation(selection), per_phase(phases, "epochs"))

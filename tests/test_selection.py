@@ -19,12 +19,25 @@ from snipmill.operators.splits import epoch_batches, split_train_validation, ste
 from snipmill.plans.phases import (
     PHASES,
     Phase,
-    phase_batches,
+    per_phase,
     plan_phases,
-    select_phase,
     select_phases,
     with_contents,
 )
+from snipmill.session import materialise
+
+
+def select_phase(pool, phase, used=None):
+    """One phase by the plain operators, to compare with."""
+    free = pool if used is None else exclude_used(pool, used)
+    drawn = sample(free, phase.num_samples, phase.name, phase.language)
+    main = materialise(drawn.withColumn("role", F.lit("main")), "main-selection")
+    quota = phase.replay_quota(main, "python")
+    if not quota:
+        return main
+    taken = used_ids(main) if used is None else used_ids(main, used)
+    replay = replay_sample(pool, taken, quota, f"{phase.name} replay")
+    return main.unionByName(replay.withColumn("role", F.lit("replay")))
 
 
 @pytest.fixture(scope="module")
@@ -60,9 +73,8 @@ def test_rows_without_id_are_never_used_up(spark):
         schema,
     )
     used = spark.createDataFrame([("a",), (None,), ("",)], "snippet_id string")
-    for bound in (None, 3, 10**9):
-        left = exclude_used(pool, used, bound)
-        assert sorted(r.original_id for r in left.collect()) == ["2", "3", "4"]
+    left = exclude_used(pool, used)
+    assert sorted(r.original_id for r in left.collect()) == ["2", "3", "4"]
     assert sample(left, 2, "s").count() == 2
     assert [r.snippet_id for r in used_ids(used, used).collect()] == ["a"]
 
@@ -110,7 +122,8 @@ def test_default_phases_give_the_known_plan(pool):
         ("Java_Introduction", 220, 187, 33, 187, 561, 56),
         ("Final_Mixed_Tune", 300, 255, 45, 255, 510, 51),
     }
-    batches = phase_batches(selection).groupBy("phase", "epoch", "part").count().collect()
+    split = split_train_validation(selection)
+    batches = epoch_batches(split, per_phase(PHASES, "epochs")).groupBy("phase", "epoch", "part").count().collect()
     assert {r.epoch for r in batches if r.phase == "Final_Mixed_Tune"} == {1, 2}
     assert {r["count"] for r in batches if r.part == "val"} == {45, 34, 33}
     assert with_contents(selection, pool).where("raw_content LIKE 'text %'").count() == 1050
@@ -181,3 +194,39 @@ def test_step_plan_rounds_up_batches(spark):
     )
     (row,) = step_plan(frame, F.lit(3), 0.1, batch_size=4).collect()
     assert tuple(row) == ("p", 11, 10, 1, 3, 9, 0)
+
+
+def test_phases_without_rows_or_ids(spark):
+    schema = "snippet_id string, language string, source_config_id string, original_id string, raw_content string"
+    rows = [(f"i{k}", "python" if k % 2 else "cpp", "s", str(k), f"t{k}") for k in range(40)]
+    rows += [(None, "rust", "s", f"n{k}", f"without {k}") for k in range(30)]
+    rows += [("i1", "python", "s", "again", "t1")]
+    pool = spark.createDataFrame(rows, schema)
+    assert select_phases(pool, ()).count() == 0
+    assert plan_phases(select_phases(pool, ()), ()).count() == 0
+    phases = (
+        Phase("replay only", "cpp", 0, 1, replay_rows=5),
+        Phase("rust", "rust", 20, 0, replay_rows=3),
+        Phase("none", "go", 5, 2, replay_ratio=0.5),
+    )
+    chosen = select_phases(pool, phases)
+    sizes = Counter((r.phase, r.role) for r in chosen.collect())
+    assert sizes == {("replay only", "replay"): 5, ("rust", "main"): 20, ("rust", "replay"): 3}
+    contents = with_contents(chosen, pool).collect()
+    assert len(contents) == 28
+    without = [r.raw_content for r in contents if r.snippet_id is None]
+    assert len(without) == len(set(without)) == 20
+    split = split_train_validation(chosen)
+    assert split.where("phase = 'rust' AND part = 'val'").count() == 3
+    batches = epoch_batches(split, per_phase(phases, "epochs")).groupBy("phase").count().collect()
+    assert {r.phase: r["count"] for r in batches} == {"replay only": 5}
+
+
+def test_unknown_phases_and_epochs_fail(spark):
+    split = spark.createDataFrame(
+        [("p", "a", "train", 1)], "phase string, snippet_id string, part string, place int"
+    )
+    for epochs in (per_phase(PHASES, "epochs"), F.lit(None).cast("int")):
+        with pytest.raises(Exception, match="unknown phase|number of epochs"):
+            epoch_batches(split, epochs).count()
+    assert epoch_batches(split, 0).count() == 0
