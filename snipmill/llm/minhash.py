@@ -54,7 +54,7 @@ MINIMA = BANDS * ROWS
 LONGS = -(-MINIMA * BITS // 64)
 BLOCK = 512  # members of a band that meet in one block
 CLOSER = 2048  # further minima, of which one bit is kept
-TRIES = 4  # rounds of step 4
+TRIES = 3  # rounds of step 4
 
 _RANDOM = np.random.default_rng(20240229)
 _MULTIPLY = _RANDOM.integers(0, 1 << 32, MINIMA, np.uint32) | np.uint32(1)
@@ -221,15 +221,15 @@ def _similar(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known, keep = (None, None), []
-            columns = (batch.column(i).to_pylist() for i in range(4))
-            for a, _, set_a, set_b in zip(*columns):
+            *rest, a, b = batch.schema.names
+            for set_a, set_b in zip(batch.column(a).to_pylist(), batch.column(b).to_pylist()):
                 if known[0] != set_a:
                     known = (set_a, unpacked_set(set_a))
                 x, y = known[1], unpacked_set(set_b)
                 at = np.minimum(np.searchsorted(x, y), len(x) - 1)
                 shared = int((x[at] == y).sum())
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(rest).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -258,10 +258,31 @@ def least_agreeing(threshold: float, n: int, bits: int, deviations: float) -> in
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full sets are similar enough. ``sets`` has ``doc_id`` and ``set``."""
+    """Pairs ``a`` and ``b`` whose full sets are similar enough, with all their columns.
+    ``sets`` has ``doc_id`` and ``set``."""
     of = lambda x: sets.select(F.col("doc_id").alias(x), F.col("set").alias(f"set_{x}")).hint("merge")
-    both = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "set_a", "set_b")
-    return both.mapInArrow(_similar(percent), "a bigint, b bigint")
+    both = pairs.join(of("b"), "b").join(of("a"), "a").select(*pairs.columns, "set_a", "set_b")
+    return both.mapInArrow(_similar(percent), pairs.schema)
+
+
+def _hooked(links: DataFrame, label: str) -> DataFrame:
+    """Per larger end of a link the smallest of the ends it is linked with, followed
+    to that end's own for up to four links: ``id`` and ``up``.
+
+    Ends that share ``up`` are linked, but not all that are linked share it; this is
+    enough to see which pairs need no comparison. Columns ``a`` and ``b`` are the ends.
+    """
+    up = (
+        links.select(F.greatest("a", "b").alias("id"), F.least("a", "b").alias("up"))
+        .where("id <> up")
+        .groupBy("id")
+        .agg(F.min("up").alias("up"))
+    )
+    for _ in range(2):
+        up = materialise(up, label)
+        above = up.select(F.col("id").alias("up"), F.col("up").alias("upper"))
+        up = up.join(above, "up", "left").select("id", F.coalesce("upper", "up").alias("up"))
+    return up
 
 
 def estimated(pairs: DataFrame, bits: DataFrame, threshold: float) -> DataFrame:
@@ -298,56 +319,52 @@ def _closer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tried(rows: DataFrame, sets: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Links between each node of an open band and a node that leads one in this turn."""
+    """Links between each node of an open band and a node of another component that
+    leads one of its bands in this turn; ``x`` and ``y`` are their components."""
     node = F.struct(F.xxhash64("doc_id", F.lit(turn)), "doc_id", "component")
     leaders = rows.groupBy("band").agg(F.min(node).alias("lead"))
     leaders = leaders.select(
-        "band", F.col("lead.doc_id").alias("a"), F.col("lead.component").alias("of_a")
+        "band", F.col("lead.doc_id").alias("a"), F.col("lead.component").alias("x")
     )
+    first = F.min(F.struct(F.xxhash64("a", F.lit(turn)), "a", "x", "component")).alias("first")
     pairs = (
         rows.join(leaders.hint("merge"), "band")
-        .where("component <> of_a")
+        .where("component <> x")
         .groupBy(F.col("doc_id").alias("b"))
-        .agg(F.min(F.struct(F.xxhash64("a", F.lit(turn)), "a")).alias("first"))
-        .select("first.a", "b")
+        .agg(first)
+        .select("first.a", "b", "first.x", F.col("first.component").alias("y"))
     )
     return materialise(confirmed(pairs, sets, percent), "tried-links")
 
 
 def _relabelled(rows: DataFrame, links: DataFrame) -> DataFrame:
     """Open rows after links, which tie whole components."""
-    of = rows.select("doc_id", "component").distinct()
-    tied = (
-        links.join(of.select(F.col("doc_id").alias("a"), F.col("component").alias("x")), "a")
-        .join(of.select(F.col("doc_id").alias("b"), F.col("component").alias("y")), "b")
-        .select(F.col("x").alias("a"), F.col("y").alias("b"))
-    )
-    now = components(tied).select(F.col("id").alias("component"), F.col("component").alias("now"))
+    tied = _hooked(links.select(F.col("x").alias("a"), F.col("y").alias("b")), "tied-components")
+    now = tied.withColumnRenamed("id", "component")
     moved = rows.drop("blocks").join(now, "component", "left")
-    return _open(moved.select("band", "doc_id", F.coalesce("now", "component").alias("component")))
+    return _open(moved.select("band", "doc_id", F.coalesce("up", "component").alias("component")))
 
 
 def _remaining(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Possible pairs of two components that meet in a band."""
-    rows = rows.join(sets.select("doc_id", "sketch").hint("merge"), "doc_id")
-    left = rows.select(
-        "band",
-        F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("block"),
-        F.col("doc_id").alias("a"),
-        F.col("component").alias("of_a"),
-        F.col("sketch").alias("sketch_a"),
-    )
-    right = rows.select(
-        "band",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        F.col("doc_id").alias("b"),
-        F.col("component").alias("of_b"),
-        F.col("sketch").alias("sketch_b"),
+    """Possible pairs of two components that meet in a band, each in its first one only."""
+    own = rows.groupBy("doc_id").agg(F.sort_array(F.collect_set("band")).alias("bands"))
+    known = own.join(sets.select("doc_id", "sketch").hint("merge"), "doc_id")
+    rows = rows.join(known.hint("merge"), "doc_id")
+    of = lambda x: (
+        F.col("doc_id").alias(x),
+        F.col("component").alias(f"of_{x}"),
+        F.col("sketch").alias(f"sketch_{x}"),
+        F.col("bands").alias(f"bands_{x}"),
     )
+    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = rows.select("band", block.alias("block"), *of("a"))
+    right = rows.select("band", every.alias("block"), *of("b"))
     agree = agreeing_closer(F.col("sketch_a"), F.col("sketch_b"))
     near = agree >= least_agreeing(threshold, CLOSER, 1, 5)
     met = (left.band == right.band) & (left.block == right.block)
-    pairs = left.join(right.hint("merge"), met & (F.col("of_a") < F.col("of_b")) & near)
+    once = F.get(F.array_intersect("bands_a", "bands_b"), F.lit(0)) == left.band
+    pairs = left.join(right.hint("merge"), met & (F.col("of_a") < F.col("of_b")) & near & once)
     return pairs.select("a", "b").distinct()
 
 
@@ -393,7 +410,7 @@ def near_duplicates(
         .select("a", "b")
     )
     star_pairs = materialise(estimated(stars, bits, threshold), "star-pairs")
-    star_links = confirmed(star_pairs, sets, percent)
+    star_links = materialise(confirmed(star_pairs, sets, percent), "star-links")
     # An id whose rows have different sets ties the classes of these sets.
     several = known.groupBy("doc_id").agg(F.min("set_key.a").alias("x"), F.max("set_key.a").alias("y"))
     several = several.where("x <> y").select("doc_id")
@@ -402,18 +419,18 @@ def near_duplicates(
         .join(classes, "set_key")
         .select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
     )
-    labels = components(star_links.unionByName(tied))
+    links = star_links.unionByName(tied)
 
-    labelled = members.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-    rows = _open(labelled.withColumn("component", F.coalesce("component", "doc_id")))
+    labels = _hooked(star_links, "star-labels").withColumnRenamed("id", "doc_id")
+    labelled = members.join(labels, "doc_id", "left")
+    rows = _open(labelled.withColumn("component", F.coalesce("up", "doc_id")))
     nodes_left = rows.select("doc_id").distinct()
     closer = sets.join(nodes_left.hint("merge"), "doc_id").select("doc_id", "set")
     closer = closer.mapInArrow(_closer, "doc_id bigint, set binary, sketch array<bigint>")
     closer = materialise(closer, "open-sets")
-    links = labels.select(F.col("component").alias("a"), F.col("id").alias("b"))
     for turn in range(TRIES):
         tried = _tried(rows, closer, percent, turn)
-        links = links.unionByName(tried)
+        links = links.unionByName(tried.select("a", "b"))
         rows = _relabelled(rows, tried)
     rest = materialise(_remaining(rows, closer, threshold), "rest-pairs")
     links = links.unionByName(confirmed(rest, closer, percent))
