@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,7 +11,8 @@ from snipmill.operators.characterize import with_characteristics
 from snipmill.operators.dedup import KEEP_ORDER, keep_first
 from snipmill.operators.reports import dedup_report
 from snipmill.schemas import POOL
-from snipmill.sources.jsonl import export_pool, read_records
+from snipmill.sources.jsonl import export_pool, read_records, records_path
+from snipmill.sources.readable import UnreadableFile, unreadable_files
 
 
 def build_pool(records: DataFrame, order: Sequence[str] = KEEP_ORDER) -> DataFrame:
@@ -19,17 +21,33 @@ def build_pool(records: DataFrame, order: Sequence[str] = KEEP_ORDER) -> DataFra
     return with_characteristics(keep_first(records, order)).select(*POOL.names)
 
 
+class Stage2(NamedTuple):
+    """What became of the records: the duplicate report, the quarantined lines, and
+    the files left out because they could not be read to their end."""
+
+    report: DataFrame
+    left_out: DataFrame
+    unreadable: list[UnreadableFile]
+
+
 def pool_from_jsonl(
-    spark: SparkSession, root: str, out: str, export: str | None = None
-) -> tuple[DataFrame, DataFrame]:
+    spark: SparkSession,
+    root: str,
+    out: str,
+    export: str | None = None,
+    fail_on_unreadable: bool = False,
+) -> Stage2:
     """Build the pool from the records below ``root`` and write it to ``out``.
 
     Parquet is the working form, of which later stages read only the columns
-    they need; ``export`` names a place for JSON Lines as well. Returns the
-    duplicate report and the quarantined lines.
+    they need; ``export`` names a place for JSON Lines as well. Files that break off
+    are left out as a whole and reported, or fail the stage before it writes.
     """
-    records, left_out = read_records(spark, root)
+    unreadable = unreadable_files(spark, records_path(root))
+    if unreadable and fail_on_unreadable:
+        raise ValueError("unreadable: " + ", ".join(f.path for f in unreadable))
+    records, left_out = read_records(spark, root, unreadable)
     build_pool(records, (*KEEP_ORDER, "place")).write.mode("overwrite").parquet(out)
     if export:
         export_pool(spark.read.schema(POOL).parquet(out), export)
-    return dedup_report(records), left_out
+    return Stage2(dedup_report(records), left_out, unreadable)

@@ -15,6 +15,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from snipmill.functions.text import is_visible
 from snipmill.schemas import CHARACTERISTICS, POOL, RECORD, TEXT, TEXTS, struct
+from snipmill.sources.readable import UnreadableFile, read_lines
 from snipmill.sources.scans import is_missing, line_place
 
 # Follows the object of a line when it is parsed, to show that it was all there.
@@ -28,7 +29,12 @@ def write_records(records: DataFrame, root: str, language: str, source_id: str)
     return path
 
 
-def _parsed_lines(spark: SparkSession, path: str, fields: Sequence[str]) -> DataFrame:
+def _parsed_lines(
+    spark: SparkSession,
+    path: str,
+    fields: Sequence[str],
+    left_out: Sequence[UnreadableFile] = (),
+) -> DataFrame:
     """Lines with their place, and the list of objects that they hold.
 
     Fields are read as text whatever they hold, so a line is bad only if it is
@@ -36,11 +42,7 @@ def _parsed_lines(spark: SparkSession, path: str, fields: Sequence[str]) -> Data
     behind the object, which the parser would skip.
     """
     entry = struct(**{name: TEXT for name in (*fields, _END)})
-    lines = (
-        spark.read.option("ignoreCorruptFiles", "true")
-        .option("ignoreMissingFiles", "true")
-        .text(path)
-    )
+    lines = read_lines(spark, path, left_out)
     place = F.struct(*(c.alias(n.lstrip("_")) for n, c in line_place().items()))
     framed = F.concat(F.lit("["), F.col("value"), F.lit(f',{{"{_END}":"1"}}]'))
     return lines.select(
@@ -71,19 +73,29 @@ def _bad(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_records(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+def records_path(root: str) -> str:
+    """Record files lie below exactly one level of folders."""
+    return f"{root.rstrip('/')}/*/*.jsonl"
+
+
+def read_records(
+    spark: SparkSession, root: str, left_out: Sequence[UnreadableFile] = ()
+) -> tuple[DataFrame, DataFrame]:
     """Records below exactly one level of folders, and the lines left out.
 
+    A file that cannot be read to its end fails the job that reads it, unless it is
+    among those ``left_out``, which ``unreadable_files`` finds.
+
     Records carry ``place``, which follows file and line. It stands in for
     ``ord`` where files written elsewhere have none. A missing root raises
     ``AnalysisException`` before any job starts.
     """
-    lines = _parsed_lines(spark, f"{root.rstrip('/')}/*/*.jsonl", RECORD.names)
+    lines = _parsed_lines(spark, records_path(root), RECORD.names, left_out)
     records = _good(lines, RECORD.names)
     return records.withColumn("ord", F.col("ord").try_cast("bigint")), _bad(lines)
 
 
-# Names in the export, per language. Its "imports" are names for Python and a
+# Names in the export, per language. Its "imports" are names for Python and a
 # count for Java; the pool keeps the two apart.
 _EXPORTED = {
     "python": (

@@ -108,8 +108,7 @@ def open_source(spark: SparkSession, source: Source, root: str) -> DataFrame:
     path = source.path(root)
     if source.format == "parquet":
         return spark.read.parquet(path)
-    reader = spark.read.option("ignoreCorruptFiles", "true").schema(source.schema)
-    return reader.json(path)
+    return spark.read.schema(source.schema).json(path)
 
 
 def with_positions(rows: DataFrame, source: Source) -> DataFrame:

@@ -1,5 +1,6 @@
 """Scans, JSON Lines and the stages that read and write them."""
 
+import gzip
 import json
 from dataclasses import replace
 
@@ -10,7 +11,8 @@ from snipmill.plans.extraction import extract_all, yield_totals
 from snipmill.plans.pool import build_pool, pool_from_jsonl
 from snipmill.schemas import CHARACTERISTICS, POOL, RECORD
 from snipmill.session import new_path, shared_folder
-from snipmill.sources.jsonl import export_pool, read_pool, read_records
+from snipmill.sources.jsonl import export_pool, read_pool, read_records, records_path
+from snipmill.sources.readable import unreadable_files
 from snipmill.sources.registry import TAGGED_SOLUTIONS, Source, plain_corpus
 from snipmill.sources.scans import scan
 from snipmill.streaming.bounded import take
@@ -100,15 +102,43 @@ def test_missing_places(spark, tmp_path):
     assert pool.schema == POOL and pool.isEmpty() and left_out.isEmpty()
 
 
-def test_unreadable_file_is_skipped(spark, tmp_path):
-    folder = tmp_path / "c"
-    folder.mkdir()
-    (folder / "bad.jsonl.gz").write_bytes(b"\x1f\x8b\x08 not a gzip file")
+def test_unreadable_files_are_left_out_and_reported(spark, tmp_path):
+    folder = tmp_path / "in" / "c"
+    folder.mkdir(parents=True)
+    lines = "".join(json.dumps({"language": "c", "raw_content": f"text {i}"}) + "\n" for i in range(5000))
+    whole = gzip.compress(lines.encode())
     (folder / "bad.jsonl").mkdir()
     (folder / "bad.jsonl" / "x.gz").write_bytes(b"\x1f\x8b\x08 not a gzip file")
-    (folder / "good.jsonl").write_text('{"raw_content": "a"}\n')
-    records, _ = read_records(spark, str(tmp_path))
-    assert [r.raw_content for r in records.collect()] == ["a"]
+    (folder / "half.jsonl").mkdir()
+    (folder / "half.jsonl" / "y.gz").write_bytes(whole[: len(whole) // 2])
+    (folder / "fine.jsonl").mkdir()
+    (folder / "fine.jsonl" / "z.gz").write_bytes(whole)
+    (folder / "good.jsonl").write_text('{"raw_content": "a", "language": "c"}\n')
+    root = f"{tmp_path}/in"
+    found = unreadable_files(spark, records_path(root))
+    assert sorted(f.path.rsplit("/", 1)[1] for f in found) == ["x.gz", "y.gz"]
+    records, _ = read_records(spark, root, found)
+    assert records.count() == 5001
+    with pytest.raises(Exception, match="FAILED_READ_FILE|[Ee]rror"):
+        read_records(spark, root)[0].select("raw_content").collect()
+    stage = pool_from_jsonl(spark, root, f"{tmp_path}/pool")
+    assert {f.path for f in stage.unreadable} == {f.path for f in found}
+    assert spark.read.parquet(f"{tmp_path}/pool").count() == 5001
+    with pytest.raises(ValueError, match="y.gz"):
+        pool_from_jsonl(spark, root, f"{tmp_path}/pool2", fail_on_unreadable=True)
+
+
+def test_streams_without_cap_and_with_cap_zero(spark, tmp_path):
+    path = f"{tmp_path}/lines"
+    spark.range(400).selectExpr("CAST(id AS STRING) AS code").repartition(40).write.json(path)
+    assert take(spark, path, "code string", None).count() == 400
+    assert take(spark, path, "code string", 0).count() == 0
+    source = replace(CODE, stream=True, format="json", schema="code string", max_samples=0)
+    spark.range(9).selectExpr("concat('this is the code number ', id) AS code").write.json(
+        source.path(str(tmp_path))
+    )
+    (status,) = extract_all(spark, str(tmp_path), f"{tmp_path}/out", [source])
+    assert status.status == "empty"
 
 
 def test_first_record_follows_file_and_line(spark, tmp_path):
