@@ -6,12 +6,12 @@ or a folder of part files. Both are read the same way.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
+from pyspark.sql.types import ArrayType, DataType, LongType
 
 from snipmill.functions.text import is_visible
 from snipmill.schemas import CHARACTERISTICS, POOL, RECORD, TEXT, TEXTS, struct
@@ -32,16 +32,16 @@ def write_records(records: DataFrame, root: str, language: str, source_id: str)
 def _parsed_lines(
     spark: SparkSession,
     path: str,
-    fields: Sequence[str],
+    fields: Mapping[str, DataType],
     left_out: Sequence[UnreadableFile] = (),
 ) -> DataFrame:
     """Lines with their place, and the list of objects that they hold.
 
-    Fields are read as text whatever they hold, so a line is bad only if it is
-    not one JSON object. Parsing a list of the line and an end mark finds junk
+    Fields of type text take whatever they hold, so a line is bad only if it is
+    not one JSON object; other fields are null where they hold something else. Parsing a list of the line and an end mark finds junk
     behind the object, which the parser would skip.
     """
-    entry = struct(**{name: TEXT for name in (*fields, _END)})
+    entry = struct(**fields, **{_END: TEXT})
     lines = read_lines(spark, path, left_out)
     place = F.struct(*(c.alias(n.lstrip("_")) for n, c in line_place().items()))
     framed = F.concat(F.lit("["), F.col("value"), F.lit(f',{{"{_END}":"1"}}]'))
@@ -90,7 +90,7 @@ def read_records(
     ``ord`` where files written elsewhere have none. A missing root raises
     ``AnalysisException`` before any job starts.
     """
-    lines = _parsed_lines(spark, records_path(root), RECORD.names, left_out)
+    lines = _parsed_lines(spark, records_path(root), dict.fromkeys(RECORD.names, TEXT), left_out)
     records = _good(lines, RECORD.names)
     return records.withColumn("ord", F.col("ord").try_cast("bigint")), _bad(lines)
 
@@ -145,10 +145,13 @@ def export_pool(pool: DataFrame, path: str) -> None:
     pool.select(pool_json(F.col("language")).alias("value")).write.mode("overwrite").text(path)
 
 
-def _metrics_from_text() -> Column:
-    """Struct with all metrics, from JSON in which ``imports`` may be either."""
-    types = {f.name: f.dataType for f in CHARACTERISTICS} | {"imports": TEXT}
-    written = F.from_json("characteristics", struct(**types))
+# Metrics as they are exported; ``imports`` may be names or a count.
+_WRITTEN = struct(**{f.name: f.dataType for f in CHARACTERISTICS} | {"imports": TEXT})
+
+
+def _metrics_as_in_pool() -> Column:
+    """Struct with all metrics, from the exported ones."""
+    written = F.col("characteristics")
     raw = written["imports"]
     own = {
         "imports": F.when(raw.startswith("["), F.from_json(raw, TEXTS)),
@@ -160,14 +163,15 @@ def _metrics_from_text() -> Column:
 
 def read_pool(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Pool from JSON Lines, and the lines left out. No file: an empty pool."""
+    fields = dict.fromkeys(POOL.names, TEXT) | {"characteristics": _WRITTEN}
     try:
-        lines = _parsed_lines(spark, path, POOL.names)
+        lines = _parsed_lines(spark, path, fields)
     except AnalysisException as error:
         if not is_missing(error):
             raise
         quarantine = struct(file=TEXT, slice=LongType(), line=TEXT)
         return spark.createDataFrame([], POOL), spark.createDataFrame([], quarantine)
     pool = _good(lines, POOL.names).withColumns(
-        {"ord": F.col("ord").try_cast("bigint"), "characteristics": _metrics_from_text()}
+        {"ord": F.col("ord").try_cast("bigint"), "characteristics": _metrics_as_in_pool()}
     )
     return pool.select(*POOL.names), _bad(lines)

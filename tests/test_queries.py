@@ -6,6 +6,7 @@ from compare import difference
 import __spark_entry__ as registered
 from snipmill.catalog.oracle import ORACLE
 from snipmill.catalog.queries import REGISTERED
+from snipmill.sources.jsonl import read_pool
 
 SF = "/root/testdata/sf0.001"
 
@@ -61,3 +62,11 @@ def test_text_is_split_once(spark):
 def test_only_wanted_metrics_are_planned(spark):
     plan = plan_of(spark, "pool_summary")
     assert "ArrowEvalPython" not in plan and "num_comments" not in plan
+
+
+def test_a_pool_line_is_parsed_once(spark, tmp_path):
+    (tmp_path / "pool.jsonl").write_text('{"language": "c", "characteristics": {"loc": 1}}\n')
+    pool, _ = read_pool(spark, f"{tmp_path}/pool.jsonl")
+    plan = pool._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") <= 2
+    assert pool.head().characteristics.loc == 1
