@@ -589,6 +589,9 @@ SELECT doc_id, {_as_text('input_ids')} AS input_ids,
 SELECT doc_id, {_as_text(
         f'list_transform(input_ids, lambda x: CASE WHEN x = {PAD} THEN -100 ELSE x END)'
     )} AS labels FROM sequences""",
+    "label_mask_attended": f"""WITH {_TOKENS}
+SELECT doc_id, {_as_text('list_transform(range(512), lambda i: '
+        'CASE WHEN attention_mask[i + 1] = 1 THEN input_ids[i + 1] ELSE -100 END)')} AS labels FROM sequences""",
     "eval_summary": _evaluation(0),
     "eval_summary_next_token": _evaluation(1),
     "jsonl_round_trip": f"""SELECT CAST(doc_id AS VARCHAR) AS original_id,
@@ -616,6 +619,13 @@ SELECT language, CASE language {" ".join(
   sha256({_strip('text')}) AS content_hash
 FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS ord FROM documents)
 WHERE length({_strip('text')}) >= 20""",
+    "extraction_status": f"""SELECT unnest(['fine', 'streamed', 'odd', 'empty', 'absent']) AS source,
+  unnest(['done', 'done', 'missing fields', 'empty', 'failed']) AS status,
+  unnest([n, n, 0, 0, 0]) AS processed, unnest([long, long, 0, 0, 0]) AS written
+FROM (SELECT count(*) AS n, count(*) FILTER (WHERE length({_strip('text')}) >= 20) AS long
+  FROM documents)""",
+    "compressed_records": f"""SELECT CAST(doc_id AS VARCHAR) AS original_id,
+  sha256({_strip('text')}) AS content_hash, 0 AS n_unreadable FROM documents""",
     "bounded_stream_scan": """SELECT least(count(*), 500) AS n_rows,
   least(count(*), 500) AS n_documents, 0::BIGINT AS n_strangers FROM documents""",
 }

@@ -30,12 +30,21 @@ from snipmill.operators.reports import (
     zero_yield,
 )
 from snipmill.operators.sampling import exclude_used, replay_quota, replay_sample, sample, used_ids
-from snipmill.operators.sequences import labels, with_sequences
+from snipmill.operators.sequences import attended_labels, labels, pad_id, with_sequences
 from snipmill.operators.splits import epoch_batches, split_train_validation
+from snipmill.plans.extraction import extract_all
 from snipmill.plans.phases import PHASES, Phase, plan_phases, select_phases, with_contents
 from snipmill.plans.pool import build_pool
 from snipmill.session import materialise, new_path
-from snipmill.sources.jsonl import export_pool, pool_json, read_pool, read_records, write_records
+from snipmill.sources.jsonl import (
+    export_pool,
+    pool_json,
+    read_pool,
+    read_records,
+    records_path,
+    write_records,
+)
+from snipmill.sources.readable import unreadable_files
 from snipmill.sources.registry import SOLUTION_LISTS, TAGGED_SOLUTIONS, Source, plain_corpus
 from snipmill.sources.scans import scan
 from snipmill.streaming.bounded import take
@@ -477,6 +486,15 @@ def label_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def label_mask_attended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels by attention, of sequences padded with the end token."""
+    pad = pad_id(None, inputs.EOS, inputs.VOCABULARY)
+    rows = with_sequences(inputs.document_tokens(spark, sf_dir), pad, inputs.EOS)
+    own = attended_labels(F.col("input_ids"), F.col("attention_mask"))
+    return rows.select("doc_id", _ids_as_text(own).alias("labels"))
+
+
 def _evaluation(spark: SparkSession, sf_dir: str, shift: int) -> DataFrame:
     summary = evaluation_summary(inputs.predictions(spark, sf_dir), "phase", shift=shift)
     return summary.withColumns(
@@ -589,6 +607,41 @@ def plain_corpus_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def extraction_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of sources that are fine, streamed, faulty, empty or missing."""
+    root = new_path(spark, "sources")
+    documents = inputs.table(spark, sf_dir, "documents")
+    source = Source("fine", "fine", "en", "train", ("text",))
+    streamed = replace(source, id="streamed", hf_name="streamed", language="python", stream=True)
+    odd = replace(source, id="odd", hf_name="odd", content_fields=("text", "nothing"))
+    empty = replace(source, id="empty", hf_name="empty")
+    absent = replace(source, id="absent", hf_name="absent")
+    for one in (source, streamed, odd):
+        documents.select("doc_id", "text").write.parquet(one.path(root))
+    documents.limit(0).write.parquet(empty.path(root))
+    report = extract_all(spark, root, f"{root}-records", (source, streamed, odd, empty, absent))
+    rows = [(s.source, s.status, s.processed, s.written) for s in report]
+    return spark.createDataFrame(
+        rows, "source string, status string, processed bigint, written bigint"
+    )
+
+
+@registered
+def compressed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of compressed files, all of which are checked and read to their end."""
+    root = new_path(spark, "compressed")
+    records = inputs.document_records(spark, sf_dir)
+    records.write.option("compression", "gzip").json(f"{root}/prose/documents.jsonl")
+    found = unreadable_files(spark, records_path(root))
+    readable, _ = read_records(spark, root, found)
+    return readable.select(
+        "original_id",
+        fingerprint(F.col("raw_content")).alias("content_hash"),
+        F.lit(len(found)).alias("n_unreadable"),
+    )
+
+
 @registered
 def bounded_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """500 documents taken from a stream; which ones is not fixed."""

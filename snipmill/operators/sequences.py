@@ -53,3 +53,9 @@ def labels(ids: Column, pad: int) -> Column:
     """Training labels: the ids with every pad id out of the loss. An end token
     with the same id as the pad token is left out too."""
     return F.transform(ids, lambda i: F.when(i == pad, IGNORED_LABEL).otherwise(i))
+
+
+def attended_labels(ids: Column, attention: Column) -> Column:
+    """Training labels: the ids where there is attention, so that an end token counts
+    also where it doubles as the pad token."""
+    return F.zip_with(ids, attention, lambda i, a: F.when(a == 1, i).otherwise(IGNORED_LABEL))
