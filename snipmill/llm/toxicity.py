@@ -33,6 +33,7 @@ from snipmill.llm.common import Numbering, sampled, texts_of
 
 SLOT_BITS = 30
 BEGINS = range(3, 8)  # lengths of the begins of words that are terms too
+PART = 1 << 23
 AROUND = b".,;:!?\"'()[]{}<>*#$%&|-_"
 
 
@@ -97,13 +98,28 @@ def _slots(word: bytes) -> list[int]:
 
 
 def slot_sets(texts: list[bytes], model: Model | None = None) -> list[np.ndarray]:
-    """Distinct slots of each text, or their places in a model."""
+    """Distinct slots of each text, or their places in a model; part by part, so that
+    no more than the words of ``PART`` bytes, or of one text, are held at once."""
+    out, at = [], 0
+    while at < len(texts):
+        stop, size = at, 0
+        while stop < len(texts) and size < PART:
+            size += len(texts[stop])
+            stop += 1
+        out += _slot_sets(texts[at:stop], model)
+        at = stop
+    return out
+
+
+def _slot_sets(texts: list[bytes], model: Model | None) -> list[np.ndarray]:
     numbers = Numbering()
     rows = []
     for text in texts:
         words = text.lower().split()
         rows.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
-    known = np.array([_slots(w) for w in numbers], np.int64).reshape(-1, 1 + len(BEGINS))
+    n = len(numbers) * (1 + len(BEGINS))
+    known = np.fromiter((s for w in numbers for s in _slots(w)), np.int64, n)
+    known = known.reshape(-1, 1 + len(BEGINS))
     if model:
         known = model.places(known)
     some = (known >= 0).any(axis=1)
