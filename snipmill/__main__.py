@@ -19,7 +19,7 @@ from snipmill.plans.extraction import extract_all, yield_totals
 from snipmill.plans.phases import PHASES, per_phase, select_phases, with_contents
 from snipmill.plans.pool import pool_from_jsonl
 from snipmill.schemas import POOL
-from snipmill.session import build_session
+from snipmill.session import build_session, remove_run_folder
 from snipmill.sources.jsonl import read_pool
 
 
@@ -75,7 +75,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
     three.add_argument("--batch-size", type=int, default=BATCH_SIZE)
     chosen = vars(parser.parse_args(arguments))
     stage = {"extract": extract, "pool": pool, "select": select}[chosen.pop("command")]
-    stage(build_session(), **chosen)
+    spark = build_session()
+    stage(spark, **chosen)
+    remove_run_folder(spark)
 
 
 if __name__ == "__main__":

@@ -42,9 +42,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Folder in the shared folder that holds all intermediate tables of this application."""
+    return f"{shared_folder(spark).rstrip('/')}/snipmill/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    """Unused path in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/snipmill/{label}-{uuid.uuid4().hex}"
+    """Unused path in the folder of this application."""
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_run_folder(spark: SparkSession) -> None:
+    """Remove the intermediate tables, when nothing that was derived from them is
+    needed any more. The commands do so at their end; a program that uses the
+    library decides itself."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
