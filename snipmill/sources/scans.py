@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
@@ -103,12 +105,44 @@ def line_positions(rows: DataFrame, first: int | None = None) -> DataFrame:
     return numbered.drop(_FILE, _START, _ROW, _BEFORE, "rank")
 
 
+FIRST_FILES = 8  # files that are counted first for a capped source; then twice as many
+
+
+def _reader(spark: SparkSession, source: Source) -> DataFrameReader:
+    reader = spark.read.format(source.format)
+    return reader.schema(source.schema) if source.schema else reader
+
+
+def leading_files(spark: SparkSession, source: Source, root: str) -> list[str]:
+    """The files of a capped source, by name, that hold its first rows.
+
+    Names come to the driver, as they do whenever Spark lists files, and counts of
+    growing groups of files, until there are enough rows.
+    """
+    path = source.path(root)
+    names = F.col("_metadata.file_path").alias("name")
+    listed = spark.read.format("binaryFile").load(path).select("path", names).collect()
+    files = [r.path for r in sorted(listed, key=lambda r: r.name)]
+    at, rows, group = 0, 0, FIRST_FILES
+    while at < len(files) and rows < source.max_samples:
+        rows += _reader(spark, source).load(files[at : at + group]).count()
+        at, group = at + group, 2 * group
+    return files[:at]
+
+
+def _without_scheme(path: str) -> str:
+    return re.sub("^[a-z][a-z0-9]*:/+", "/", path)
+
+
 def open_source(spark: SparkSession, source: Source, root: str) -> DataFrame:
-    """All rows of a source, found by name, subset and split."""
+    """Rows of a source, found by name, subset and split: all of them, or those of the
+    files that hold the first ``max_samples``."""
     path = source.path(root)
-    if source.format == "parquet":
-        return spark.read.parquet(path)
-    return spark.read.schema(source.schema).json(path)
+    files = leading_files(spark, source, root) if source.max_samples else []
+    reader = _reader(spark, source)
+    if not files or _without_scheme(files[0]) == _without_scheme(path):
+        return reader.load(path)
+    return reader.option("basePath", path).load(files)
 
 
 def with_positions(rows: DataFrame, source: Source) -> DataFrame:

@@ -14,7 +14,7 @@ from snipmill.session import new_path, shared_folder
 from snipmill.sources.jsonl import export_pool, read_pool, read_records, records_path
 from snipmill.sources.readable import unreadable_files
 from snipmill.sources.registry import TAGGED_SOLUTIONS, Source, plain_corpus
-from snipmill.sources.scans import scan
+from snipmill.sources.scans import open_source, scan
 from snipmill.streaming.bounded import take
 
 CODE = Source("src", "data/code", "python", "train", ("code",), max_samples=10_000)
@@ -37,6 +37,19 @@ def test_positions_of_parquet_rows(spark, tmp_path):
         assert sorted((r.ord, r.code) for r in rows) == list(enumerate(wanted))[:cap]
 
 
+@pytest.mark.parametrize("format", ["parquet", "json"])
+def test_capped_sources_read_only_the_files_they_need(spark, tmp_path, format):
+    values = [[f"{i:02}-{j}" for j in range(5)] for i in range(40)]
+    source = replace(CODE, format=format, schema="code string" if format == "json" else None)
+    write_parts(spark, source.path(str(tmp_path)), values, lambda f, p: f.write.format(format).save(p))
+    for cap, files in ((1, 8), (40, 8), (41, 24), (10_000, 40), (None, 40)):
+        rows = open_source(spark, replace(source, max_samples=cap), str(tmp_path))
+        assert len(rows.inputFiles()) == files
+    rows = scan(spark, replace(source, max_samples=7), str(tmp_path))
+    wanted = [v for part in sorted(zip([f"part={i}" for i in range(40)], values)) for v in part[1]]
+    assert [r.code for r in sorted(rows.collect(), key=lambda r: r.ord)] == wanted[:7]
+
+
 def test_positions_of_json_lines_across_slices(spark, tmp_path):
     values = [[f"{i}-{j:05}" for j in range(n)] for i, n in enumerate((4000, 10, 3000))]
     source = replace(CODE, format="json", schema="code string")
@@ -202,7 +215,7 @@ def test_stages_from_sources_to_pool(spark, tmp_path, corpus):
     assert again[0] == report[0]
     records, _ = read_records(spark, out)
     assert records.count() == 4
-    duplicates, left_out = pool_from_jsonl(
+    duplicates, left_out, _ = pool_from_jsonl(
         spark, out, f"{tmp_path}/pool", f"{tmp_path}/pool.jsonl"
     )
     assert duplicates.head().asDict() == {
