@@ -38,7 +38,7 @@ from snipmill.llm.common import Numbering, hashes, mixed, texts_of
 from snipmill.session import materialise
 
 RETAINED, DELETED, SCORED = 0, 1, 2  # what a block is for
-BLOCK_TOKENS = 1_500_000
+BLOCK_TOKENS = 1_000_000
 RANGE_TOKENS = 2_000_000  # tokens of the corpus per hash range, on average
 FREQUENCIES = 24  # buckets of context frequencies: unseen, 1, 2-3, 4-7 and so on
 STEPS = 8  # held-out probabilities are told apart by so many steps per power of e
