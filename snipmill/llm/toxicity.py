@@ -44,6 +44,7 @@ class Machine:
     sample_rows: int = 12_000
     terms: int = 2_048  # slots kept, by chi-square
     least_rows: int = 4  # sample rows in which a kept slot occurs
+    least_chi: float = 10.8  # its chi-square, which chance exceeds once in a thousand slots
     factors: int = 6
     rounds: int = 12
     batch: int = 128
@@ -144,7 +145,7 @@ def chosen_slots(sets: list[np.ndarray], labels: np.ndarray, machine: Machine) -
     chi = np.where(spread > 0, (hit - expected) ** 2 / np.maximum(spread, 1e-12), 0)
     chi[rows < machine.least_rows] = -1
     best = np.argsort(-chi, kind="stable")[: machine.terms]
-    return np.sort(every[best[chi[best] >= 0]])
+    return np.sort(every[best[chi[best] >= machine.least_chi]])
 
 
 def fit(sets: list[np.ndarray], labels: np.ndarray, machine: Machine = Machine()) -> Model:
