@@ -6,7 +6,7 @@ language with a third of all rows costs no more than a small one.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snipmill.functions.hashing import fingerprint
@@ -51,6 +51,16 @@ def dedup_report(records: DataFrame, content: str = "raw_content") -> DataFrame:
     )
 
 
+def counted_report(spark: SparkSession, loaded: int, empty: int, unique: int) -> DataFrame:
+    """The same report from numbers that a stage has counted while it wrote its tables."""
+    removed = loaded - unique
+    return spark.createDataFrame(
+        [(loaded, unique, empty, removed, removed - empty)],
+        "loaded bigint, unique_records bigint, removed_empty bigint, removed bigint, "
+        "removed_duplicates bigint",
+    )
+
+
 def language_distribution(selection: DataFrame, *keys: str) -> DataFrame:
     """Rows per language; a missing language counts as ``unknown``."""
     language = F.coalesce(F.col("language"), F.lit("unknown")).alias("language")

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from snipmill.operators.characterize import with_characteristics
 from snipmill.operators.dedup import KEEP_ORDER, keep_first
-from snipmill.operators.reports import dedup_report
+from snipmill.operators.reports import counted_report
 from snipmill.schemas import POOL
-from snipmill.sources.jsonl import export_pool, read_records, records_path
+from snipmill.sources.jsonl import export_pool, records_path, stored_records
 from snipmill.sources.readable import UnreadableFile, unreadable_files
 
 
@@ -46,8 +46,10 @@ def pool_from_jsonl(
     unreadable = unreadable_files(spark, records_path(root))
     if unreadable and fail_on_unreadable:
         raise ValueError("unreadable: " + ", ".join(f.path for f in unreadable))
-    records, left_out = read_records(spark, root, unreadable)
+    records, left_out, counts = stored_records(spark, root, unreadable)
     build_pool(records, (*KEEP_ORDER, "place")).write.mode("overwrite").parquet(out)
+    unique = spark.read.schema(POOL).parquet(out).count()
     if export:
         export_pool(spark.read.schema(POOL).parquet(out), export)
-    return Stage2(dedup_report(records), left_out, unreadable)
+    report = counted_report(spark, counts["loaded"], counts["empty"], unique)
+    return Stage2(report, left_out, unreadable)

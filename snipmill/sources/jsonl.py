@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, LongType
 
 from snipmill.functions.text import is_visible
 from snipmill.schemas import CHARACTERISTICS, POOL, RECORD, TEXT, TEXTS, struct
+from snipmill.session import materialise
 from snipmill.sources.readable import UnreadableFile, read_lines
 from snipmill.sources.scans import is_missing, line_place
 
@@ -95,6 +96,38 @@ def read_records(
     return records.withColumn("ord", F.col("ord").try_cast("bigint")), _bad(lines)
 
 
+def stored_records(
+    spark: SparkSession, root: str, left_out: Sequence[UnreadableFile] = ()
+) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Like :func:`read_records`, but every line is read and parsed once: both results
+    come from a written table, and the records and those without content are counted
+    while it is written."""
+    lines = _parsed_lines(spark, records_path(root), dict.fromkeys(RECORD.names, TEXT), left_out)
+    rows = lines.where(is_visible(F.col("line"))).select(
+        F.when(_is_object(), F.get("parsed", F.lit(0))).alias("entry"),
+        F.when(~_is_object(), F.col("line")).alias("line"),
+        "place",
+    )
+    counts = Observation()
+    content = F.col("entry.raw_content")
+    stored = materialise(
+        rows.observe(
+            counts,
+            F.count("entry").alias("loaded"),
+            F.count_if(F.col("entry").isNotNull() & (F.coalesce(content, F.lit("")) == "")).alias("empty"),
+        ),
+        "parsed-lines",
+    )
+    records = stored.where("entry IS NOT NULL").select(
+        *(f"entry.{f}" for f in RECORD.names), "place"
+    )
+    records = records.withColumn("ord", F.col("ord").try_cast("bigint"))
+    bad = stored.where("entry IS NULL").select(
+        F.col("place.file").alias("file"), F.col("place.start").alias("slice"), "line"
+    )
+    return records, bad, counts.get
+
+
 # Names in the export, per language. Its "imports" are names for Python and a
 # count for Java; the pool keeps the two apart.
 _EXPORTED = {

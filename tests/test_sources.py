@@ -11,7 +11,14 @@ from snipmill.plans.extraction import extract_all, yield_totals
 from snipmill.plans.pool import build_pool, pool_from_jsonl
 from snipmill.schemas import CHARACTERISTICS, POOL, RECORD
 from snipmill.session import new_path, shared_folder
-from snipmill.sources.jsonl import export_pool, read_pool, read_records, records_path
+from snipmill.operators.reports import dedup_report
+from snipmill.sources.jsonl import (
+    export_pool,
+    read_pool,
+    read_records,
+    records_path,
+    stored_records,
+)
 from snipmill.sources.readable import unreadable_files
 from snipmill.sources.registry import TAGGED_SOLUTIONS, Source, plain_corpus
 from snipmill.sources.scans import open_source, scan
@@ -273,3 +280,18 @@ def test_shared_folder_comes_from_the_session(spark):
     assert spark.conf.get("spark.checkpoint.dir") == folder
     assert new_path(spark, "x").startswith(folder)
     assert new_path(spark, "x") != new_path(spark, "x")
+
+
+def test_stage_two_parses_every_line_once(spark, tmp_path):
+    folder = tmp_path / "in" / "c"
+    folder.mkdir(parents=True)
+    lines = [json.dumps({"language": "c", "raw_content": f"t {i % 3}"}) for i in range(9)]
+    lines += ["", "broken {", json.dumps({"language": "c", "raw_content": ""}), "{}"]
+    (folder / "a.jsonl").write_text("\n".join(lines))
+    records, bad, counts = stored_records(spark, f"{tmp_path}/in")
+    assert counts == {"loaded": 11, "empty": 2}
+    for df in (records, bad):
+        assert "from_json" not in df._jdf.queryExecution().optimizedPlan().toString()
+    stage = pool_from_jsonl(spark, f"{tmp_path}/in", f"{tmp_path}/pool")
+    assert stage.report.head().asDict() == dedup_report(records).head().asDict()
+    assert [r.line for r in stage.left_out.collect()] == ["broken {"]
