@@ -212,7 +212,7 @@ def train(
     )
     lists = rows["slots"].combine_chunks()
     ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))[:-1]
-    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = lists.flatten().to_numpy(zero_copy_only=False)  # 32-bit, as there are many
     sets = np.split(flat, ends) if len(rows) else []
     return fit(sets, (rows["label"].to_numpy() > 0).astype(np.float64), machine)
 
