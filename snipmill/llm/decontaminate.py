@@ -145,7 +145,9 @@ def overlaps(
         F.struct(F.col(item_col).alias("id"), F.xxhash64(item_text_col).alias("text")).alias("item"),
         word_hashes(F.col(item_text_col)).alias("item_words"),
     )
-    items = materialise(items.distinct(), "benchmark-items")
+    # Items that no mask fits have no seed; without them, items are no more than seeds.
+    items = items.where(F.size("item_words") >= min(map(len, masks))).distinct()
+    items = materialise(items, "benchmark-items")
     item_seeds = materialise(_item_seeds(items, masks), "benchmark-seeds")
     if item_seeds.count() <= BROADCAST_HASHES:
         items, item_seeds = F.broadcast(items), F.broadcast(item_seeds)
