@@ -19,7 +19,9 @@ The benchmark's hashes are broadcast only if their counted number is at most
 split where a hash is hot.
 
 Words are runs of anything but ASCII white space and common punctuation, A-Z in
-lower case. Results, defined for every input: null and empty texts have no words
+lower case. Items are not searched from where a mask marks fewer than three distinct
+words: runs of a word or two would hit each other at every position, and tell nothing.
+Results, defined for every input: null and empty texts have no words
 and no overlap. Where an item and a document share fewer words than the stretch or
 the shortest mask, nothing is found. Documents and items without id are left out.
 Of repeated ids every text is searched, and what is found twice is returned once.
@@ -38,6 +40,7 @@ WORD = r"""[^\x20\x09-\x0D.,;:!?"'()\[\]]+"""
 MASKS = ("111111", "110110101", "1011000111")  # six words each
 WINDOW, PERCENT = 13, 75
 PIECE = 64  # word positions of a document that are hashed in one row
+DISTINCT_WORDS = 3  # under a mask, for an item to be searched from there
 BROADCAST_HASHES = 1_000_000  # of about 30 bytes
 
 
@@ -47,22 +50,18 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda w: F.xxhash64(w))
 
 
-def _seeds(words: Column, at: Column, masks: tuple[str, ...]) -> Column:
-    """Per mask: its number and its hash at a position, null where it does not fit."""
-    return F.array(
-        *(
-            F.when(
-                at + len(mask) <= F.size(words),
-                F.struct(
-                    F.lit(len(mask)).alias("span"),
-                    F.xxhash64(
-                        F.lit(k), *(F.get(words, at + i) for i, m in enumerate(mask) if m == "1")
-                    ).alias("seed"),
-                ),
-            )
-            for k, mask in enumerate(masks)
-        )
-    )
+def _seeds(words: Column, at: Column, masks: tuple[str, ...], distinct: int = 1) -> Column:
+    """Per mask: its span and its hash at a position, null where it does not fit or
+    marks fewer distinct words than wanted."""
+    seeds = []
+    for k, mask in enumerate(masks):
+        marked = [F.get(words, at + i) for i, m in enumerate(mask) if m == "1"]
+        fits = at + len(mask) <= F.size(words)
+        if distinct > 1:
+            fits &= F.size(F.array_distinct(F.array(*marked))) >= distinct
+        seed = F.xxhash64(F.lit(k), *marked).alias("seed")
+        seeds.append(F.when(fits, F.struct(F.lit(len(mask)).alias("span"), seed)))
+    return F.array(*seeds)
 
 
 def _positions(n: Column) -> Column:
@@ -72,9 +71,8 @@ def _positions(n: Column) -> Column:
 
 def _item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
     placed = items.select("item", "item_words", _positions(F.size("item_words")).alias("item_at"))
-    seeds = placed.select(
-        "item", "item_at", F.explode(_seeds(F.col("item_words"), F.col("item_at"), masks)).alias("s")
-    )
+    seeds = _seeds(F.col("item_words"), F.col("item_at"), masks, DISTINCT_WORDS)
+    seeds = placed.select("item", "item_at", F.explode(seeds).alias("s"))
     return seeds.where("s IS NOT NULL").select("item", "item_at", "s.seed")
 
 

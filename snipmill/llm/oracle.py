@@ -64,6 +64,7 @@ WITH docs AS (
   SELECT item_id, v, q, span,
     list_aggregate(list_transform(marks, lambda i: v[q + i + 1]), 'string_agg', ' ') AS seed
   FROM item_words, masks WHERE q + span <= len(v)
+    AND len(list_distinct(list_transform(marks, lambda i: v[q + i + 1]))) >= 3
 ), hits AS (
   SELECT d.doc_id, i.item_id, d.w, i.v, d.p - i.q AS begin,
     greatest(i.q - 13, 0, i.q - d.p) AS low,

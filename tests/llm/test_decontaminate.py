@@ -14,12 +14,16 @@ def brute(docs, items, percent=75, window=13):
     split = lambda t: WORD.findall((t or "").lower())
     found = {}
     for i, text in docs:
+        w = split(text)
         for k, item in items:
-            w, v = split(text), split(item)
+            v = split(item)
             n = min(window, len(v))
             for q in range(len(v)):
                 for p in range(len(w)):
                     for mask in d.MASKS:
+                        marked = {x for x, m in zip(v[q:], mask) if m == "1"}
+                        if len(marked) < d.DISTINCT_WORDS:
+                            continue
                         fits = p + len(mask) <= len(w) and q + len(mask) <= len(v)
                         if not fits or any(m == "1" and w[p + j] != v[q + j] for j, m in enumerate(mask)):
                             continue
@@ -40,8 +44,8 @@ def planted():
     draw = random.Random(3)
     items = [(k, " ".join(draw.choice(VOCABULARY) for _ in range(draw.randrange(4, 40)))) for k in range(12)]
     docs = []
-    for i in range(60):
-        words = [draw.choice(VOCABULARY) for _ in range(draw.randrange(0, 150))]
+    for i in range(36):
+        words = [draw.choice(VOCABULARY) for _ in range(draw.randrange(0, 90))]
         if i % 3 == 0:
             passage = draw.choice(items)[1].split()
             for _ in range(draw.randrange(0, 1 + len(passage) // 5)):
@@ -62,7 +66,7 @@ def found(documents, spark, docs, items):
 def test_overlaps_equal_brute_force(spark, documents, planted):
     docs, items = planted
     wanted = brute(docs, items)
-    assert len(wanted) >= 10
+    assert len(wanted) >= 6
     assert found(documents, spark, docs, items) == wanted
 
 
@@ -88,7 +92,7 @@ def test_substitutions_and_clean_documents(spark, documents):
 def test_odd_rows(spark, documents, odd_rows):
     items = items_of(spark, [(1, odd_rows[3][1]), (1, odd_rows[3][1]), (2, "word " * 40)])
     rows = d.overlaps(documents(odd_rows), items).collect()
-    assert sorted((r.doc_id, r.item_id) for r in rows) == [(4, 1), (5, 1), (6, 2), (7, 2)]
+    assert sorted((r.doc_id, r.item_id) for r in rows) == [(4, 1), (5, 1)]
     assert d.overlaps(documents([]), items).count() == 0
     assert d.overlaps(documents(odd_rows), items.limit(0)).count() == 0
 
