@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from snipmill.functions.hashing import draw
-from snipmill.operators.ranking import first_by_draw, hash_bucket, reaching_buckets
+from snipmill.operators.ranking import hash_bucket, reaching_buckets, with_rank
 from snipmill.operators.sampling import (
     REPLAY_LANGUAGE,
     exclude_used,
@@ -156,8 +156,9 @@ def select_phases(
         free = candidates.where(F.col("request") == i)
         if done:
             free = exclude_used(free, reduce(DataFrame.unionByName, done))
+        ranked = with_rank(free, [], hash_bucket(F.col("draw")), ["draw", "row_key"])
         picked = materialise(
-            first_by_draw(free, "draw", rows, ["row_key"]).select(
+            ranked.where(F.col("rank") <= rows).select(
                 F.lit(name).alias("phase"),
                 F.lit(request.role).alias("role"),
                 "snippet_id",
