@@ -7,29 +7,38 @@ under a 1 of one mask often lies under a 0 of another.
 
 1. Texts are cut into words. Each mask is hashed at each word, of the benchmark
    and of the documents, and the hashes are joined.
-2. A hit lays item and document over each other. In the words around it, a hit is
+2. A hit lays item and document over each other. In the words around it, hits are
    verified by the stretch of ``window`` words of the item (or the whole item, if
    it is shorter) of which the most are equal in the document. The overlap counts
    if at least ``percent`` of the stretch are. Words are compared by 64-bit hashes.
 
+The masks lose nothing: whichever words of a stretch are substituted, as long as
+``percent`` are equal, one mask hits inside the stretch. Items shorter than the window
+are stretches of their own length with masks of their own, down to a single word.
+So the result is that of laying every item over every word of every document.
+
 Documents pass through both steps in one stage, piece by piece with the words
 around each piece, so no text is shuffled; only verified hits are, combined before.
+Hits that follow each other in a piece, in the same laying, are verified once, in all
+words around them. Where both sides repeat a single word, their seeds are joined only if
+one of them begins its run, which each laying passes, so the rows are as many as layings.
 The benchmark's hashes are broadcast only if their counted number is at most
 ``BROADCAST_HASHES``; otherwise the sides meet in shuffled joins, which Spark can
 split where a hash is hot.
 
 Words are runs of anything but ASCII white space and common punctuation, A-Z in
-lower case. Items are not searched from where a mask marks fewer than three distinct
-words: runs of a word or two would hit each other at every position, and tell nothing.
-Results, defined for every input: null and empty texts have no words
-and no overlap. Where an item and a document share fewer words than the stretch or
-the shortest mask, nothing is found. Documents and items without id are left out.
+lower case. Results, defined for every input: null and empty texts have no words
+and no overlap. Where an item and a document share fewer words than the stretch,
+nothing is found. Documents and items without id are left out.
 Of repeated ids every text is searched, and what is found twice is returned once.
 Further columns are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, eq, or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +46,25 @@ from snipmill.llm.common import lower_ascii
 from snipmill.session import materialise
 
 WORD = r"""[^\x20\x09-\x0D.,;:!?"'()\[\]]+"""
-MASKS = ("111111", "110110101", "1011000111")  # six words each
 WINDOW, PERCENT = 13, 75
+# By the words of a stretch and how many may be substituted: masks of which one hits in
+# each such stretch. Found by greedy set cover; the tests enumerate all substitutions.
+LOSSLESS = {
+    (13, 3): ("111011", "1100001011", "10001110001"),
+    (12, 3): ("111011", "110100011", "10010111", "111001001"),
+    (11, 2): ("1101011", "11100000101"),
+    (10, 2): ("111011", "11010011", "111001001"),
+    (9, 2): ("11101", "10000111"),
+    (8, 2): ("11011", "11000011", "1111"),
+    (7, 1): ("11011",),
+    (6, 1): ("11101", "10111"),
+    (5, 1): ("111", "1101"),
+    (4, 1): ("111", "1101", "1011"),
+    (3, 0): ("111",),
+    (2, 0): ("11",),
+    (1, 0): ("1",),
+}
+MASKS = tuple(dict.fromkeys(mask for masks in LOSSLESS.values() for mask in masks))
 PIECE = 64  # word positions of a document that are hashed in one row
 DISTINCT_WORDS = 3  # under a mask, for an item to be searched from there
 BROADCAST_HASHES = 1_000_000  # of about 30 bytes
@@ -50,18 +76,29 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda w: F.xxhash64(w))
 
 
-def _seeds(words: Column, at: Column, masks: tuple[str, ...], distinct: int = 1) -> Column:
-    """Per mask: its span and its hash at a position, null where it does not fit or
-    marks fewer distinct words than wanted."""
-    seeds = []
-    for k, mask in enumerate(masks):
-        marked = [F.get(words, at + i) for i, m in enumerate(mask) if m == "1"]
-        fits = at + len(mask) <= F.size(words)
-        if distinct > 1:
-            fits &= F.size(F.array_distinct(F.array(*marked))) >= distinct
-        seed = F.xxhash64(F.lit(k), *marked).alias("seed")
-        seeds.append(F.when(fits, F.struct(F.lit(len(mask)).alias("span"), seed)))
-    return F.array(*seeds)
+def masks_of(length: int, percent: int) -> tuple[str, ...]:
+    """Masks of which one hits in every stretch of this length that passes."""
+    equal = max(-(-percent * length // 100), 1)
+    substituted = length - equal
+    # Of the runs between substituted words, the longest has at least this length.
+    run = "1" * -(-equal // (substituted + 1))
+    return LOSSLESS.get((length, substituted), (run,))
+
+
+def _marked(words: Column, at: Column, mask: str) -> list[Column]:
+    return [F.get(words, at + i) for i, m in enumerate(mask) if m == "1"]
+
+
+def _all(tests: list[Column]) -> Column:
+    return F.coalesce(reduce(and_, tests), F.lit(False))
+
+
+def _seed(k: int, words: Column, at: Column, mask: str) -> tuple[Column, Column, Column]:
+    """Whether a mask fits at a position, its hash, and whether it goes on there with a
+    run of a single word."""
+    marked = _marked(words, at, mask)
+    run = [word == marked[0] for word in marked[1:] + _marked(words, at - 1, mask)]
+    return at + len(mask) <= F.size(words), F.xxhash64(F.lit(k), *marked), _all([at > 0, *run])
 
 
 def _positions(n: Column) -> Column:
@@ -69,15 +106,24 @@ def _positions(n: Column) -> Column:
     return F.explode(F.when(n > 0, F.sequence(F.lit(0), n - 1)))
 
 
-def _item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+def _item_seeds(items: DataFrame, masks: dict[str, list[int]], window: int) -> DataFrame:
+    """Seeds of the items; those within a run of a single word have other hashes."""
     placed = items.select("item", "item_words", _positions(F.size("item_words")).alias("item_at"))
-    seeds = _seeds(F.col("item_words"), F.col("item_at"), masks, DISTINCT_WORDS)
-    seeds = placed.select("item", "item_at", F.explode(seeds).alias("s"))
-    return seeds.where("s IS NOT NULL").select("item", "item_at", "s.seed")
+    seeds = []
+    for k, (mask, lengths) in enumerate(masks.items()):
+        fits, seed, within = _seed(k, F.col("item_words"), F.col("item_at"), mask)
+        fits &= F.least(F.size("item_words"), F.lit(window)).isin(lengths)
+        distinct = F.array_distinct(F.array(*_marked(F.col("item_words"), F.col("item_at"), mask)))
+        fits &= F.size(distinct) >= DISTINCT_WORDS
+        seed = F.when(within, F.bitwise_not(seed)).otherwise(seed).alias("seed")
+        seeds.append(F.when(fits, F.struct(F.lit(k).alias("mask"), seed)))
+    seeds = placed.select("item", "item_at", F.explode(F.array(*seeds)).alias("s"))
+    return seeds.where("s IS NOT NULL").select("item", "item_at", "s.mask", "s.seed")
 
 
-def _doc_seeds(docs: DataFrame, masks: tuple[str, ...], window: int) -> DataFrame:
-    """Seeds of the documents, each with the words around its piece."""
+def _doc_seeds(docs: DataFrame, masks: dict[str, list[int]], window: int) -> DataFrame:
+    """Seeds of the documents, each with the words around its piece. Where a run of a
+    single word begins in the piece, also the hashes of items' seeds within such runs."""
     n = F.size("words")
     starts = F.explode(F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(PIECE))))
     from_word = F.greatest(F.col("piece") - window, F.lit(0))
@@ -94,25 +140,65 @@ def _doc_seeds(docs: DataFrame, masks: tuple[str, ...], window: int) -> DataFram
         _positions(F.least(F.size("around") - before, F.lit(PIECE))).alias("at"), before.alias("before"),
     )
     local = F.col("at") + F.col("before")
-    seeds = placed.select(
-        "doc_id", "from_word", "around", local.alias("local"),
-        F.explode(_seeds(F.col("around"), local, masks)).alias("s"),
+    seeds, begun = [], []
+    for k, mask in enumerate(masks):
+        fits, seed, within = _seed(k, F.col("around"), local, mask)
+        marked = _marked(F.col("around"), local, mask)
+        single = _all([fits, *(word == marked[0] for word in marked[1:])])
+        seeds.append(F.when(fits, seed))
+        begun.append((single & ((F.col("at") == 0) | ~within), seed))
+    both = F.concat(F.array(*seeds), F.array(*(F.when(b, F.bitwise_not(s)) for b, s in begun)))
+    any_begun = reduce(or_, (b for b, _ in begun))
+    found = placed.select(
+        "doc_id", "from_word", "around", "at", local.alias("local"),
+        F.explode(F.when(any_begun, both).otherwise(F.array(*seeds))).alias("seed"),
     )
-    return seeds.where("s IS NOT NULL").select(
-        "doc_id", "from_word", "around", "local", "s.span", "s.seed"
-    )
+    return found.where("seed IS NOT NULL")
+
+
+def _hit(masks: dict[str, list[int]], window: int, step: int) -> list[Column]:
+    """Per mask: whether it hits so many words after a hit."""
+    at, item_at = F.col("local") + step, F.col("item_at") + step
+    around, item = F.col("around"), F.col("item_words")
+    return [
+        _all(
+            [
+                item_at >= 0,
+                item_at + len(mask) <= F.size(item),
+                at + len(mask) <= F.size(around),
+                F.least(F.size(item), F.lit(window)).isin(lengths),
+                *map(eq, _marked(around, at, mask), _marked(item, item_at, mask)),
+            ]
+        )
+        for mask, lengths in masks.items()
+    ]
+
+
+def _first(masks: dict[str, list[int]], window: int) -> Column:
+    """Whether a hit is the first of those that follow each other in its piece and
+    laying: none is at the word before, nor one of an earlier mask at the same word."""
+    before = (F.col("at") > 0) & reduce(or_, _hit(masks, window, -1))
+    earlier = [(F.col("mask") > k) & hit for k, hit in enumerate(_hit(masks, window, 0))]
+    return ~before & ~reduce(or_, earlier)
 
 
-def _most_equal(window: int) -> tuple[Column, Column]:
-    """Most equal words of a stretch near the hit, and the words of a stretch."""
+def _near(masks: dict[str, list[int]], window: int) -> tuple[Column, Column, Column]:
+    """The words of the item around a hit and those that follow it in the piece, and the
+    words of a stretch."""
     diagonal = F.col("local") - F.col("item_at")
-    low = F.greatest(F.col("item_at") - window, F.lit(0), -diagonal)
-    high = F.least(
-        F.col("item_at") + F.col("span") + window,
-        F.size("item_words"),
-        F.size("around") - diagonal,
+    end = F.least(F.size("item_words"), F.size("around") - diagonal)
+    alone = F.least(F.col("item_at") + max(map(len, masks)) + window, end)
+    return (
+        F.greatest(F.col("item_at") - window, F.lit(0), -diagonal),
+        F.when(reduce(or_, _hit(masks, window, 1)), end).otherwise(alone),
+        F.least(F.lit(window), F.size("item_words")),
     )
-    length = F.least(F.lit(window), F.size("item_words"))
+
+
+def _most_equal() -> Column:
+    """Most equal words of a stretch among those near a hit."""
+    low, high, length = F.col("low"), F.col("high"), F.col("of_words")
+    diagonal = F.col("local") - F.col("item_at")
     equal = F.transform(
         F.sequence(low, high - 1),
         lambda j: F.coalesce(
@@ -123,7 +209,7 @@ def _most_equal(window: int) -> tuple[Column, Column]:
         F.sequence(F.lit(0), high - low - length),
         lambda s: F.aggregate(F.slice(equal, s + 1, length), F.lit(0), lambda a, x: a + x),
     )
-    return F.when(high - low >= length, F.array_max(sums)), length
+    return F.when(high - low >= length, F.array_max(sums))
 
 
 def overlaps(
@@ -133,7 +219,6 @@ def overlaps(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
-    masks: tuple[str, ...] = MASKS,
     window: int = WINDOW,
     percent: int = PERCENT,
 ) -> DataFrame:
@@ -143,23 +228,35 @@ def overlaps(
         F.struct(F.col(item_col).alias("id"), F.xxhash64(item_text_col).alias("text")).alias("item"),
         word_hashes(F.col(item_text_col)).alias("item_words"),
     )
-    # Items that no mask fits have no seed; without them, items are no more than seeds.
-    items = items.where(F.size("item_words") >= min(map(len, masks))).distinct()
+    items = items.where(F.size("item_words") >= 6).distinct()
     items = materialise(items, "benchmark-items")
-    item_seeds = materialise(_item_seeds(items, masks), "benchmark-seeds")
+    size = F.size("item_words")
+    counted = items.agg(
+        F.collect_set(F.least(size, F.lit(window))).alias("lengths"), F.sum(size).alias("words")
+    ).first()
+    # Masks of all lengths that occur, each with its lengths.
+    masks: dict[str, list[int]] = {}
+    for length in sorted(counted["lengths"] or [window]):
+        for mask in masks_of(length, percent):
+            masks.setdefault(mask, []).append(length)
+    item_seeds = materialise(_item_seeds(items, masks, window), "benchmark-seeds")
     if item_seeds.count() <= BROADCAST_HASHES:
         items, item_seeds = F.broadcast(items), F.broadcast(item_seeds)
     rows = docs.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("doc_id"), word_hashes(F.col(text_col)).alias("words")
     )
     hits = _doc_seeds(rows, masks, window).join(item_seeds, "seed").join(items, "item")
-    most, length = _most_equal(window)
-    laid = hits.select(
+    low, high, length = _near(masks, window)
+    near = hits.where(_first(masks, window)).select(
+        "doc_id", "item", "from_word", "local", "item_at", "around", "item_words",
+        low.alias("low"), high.alias("high"), length.alias("of_words"),
+    )
+    laid = near.select(
         "doc_id",
         F.col("item.id").alias("item_id"),
         (F.col("from_word") + F.col("local") - F.col("item_at")).alias("item_begin"),
-        most.alias("equal_words"),
-        length.alias("of_words"),
+        _most_equal().alias("equal_words"),
+        "of_words",
     ).where(100 * F.col("equal_words") >= percent * F.col("of_words"))
     best = F.max(F.struct("equal_words", "of_words"))
     return (
