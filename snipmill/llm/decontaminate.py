@@ -66,7 +66,7 @@ LOSSLESS = {
 }
 MASKS = tuple(dict.fromkeys(mask for masks in LOSSLESS.values() for mask in masks))
 PIECE = 64  # word positions of a document that are hashed in one row
-DISTINCT_WORDS = 3  # under a mask, for an item to be searched from there
+DISTINCT_WORDS = 1  # under a mask, for an item to be searched from there: any
 BROADCAST_HASHES = 1_000_000  # of about 30 bytes
 
 
@@ -113,8 +113,6 @@ def _item_seeds(items: DataFrame, masks: dict[str, list[int]], window: int) -> D
     for k, (mask, lengths) in enumerate(masks.items()):
         fits, seed, within = _seed(k, F.col("item_words"), F.col("item_at"), mask)
         fits &= F.least(F.size("item_words"), F.lit(window)).isin(lengths)
-        distinct = F.array_distinct(F.array(*_marked(F.col("item_words"), F.col("item_at"), mask)))
-        fits &= F.size(distinct) >= DISTINCT_WORDS
         seed = F.when(within, F.bitwise_not(seed)).otherwise(seed).alias("seed")
         seeds.append(F.when(fits, F.struct(F.lit(k).alias("mask"), seed)))
     seeds = placed.select("item", "item_at", F.explode(F.array(*seeds)).alias("s"))

@@ -68,3 +68,26 @@ def test_every_way_to_substitute_three_words(spark, documents):
     rows = found(documents, spark, docs, items)
     assert rows == every_laying(docs, items)
     assert len(rows) == 290
+
+
+@pytest.mark.parametrize("hashes", [1_000_000, 0])
+def test_repeated_words_are_found(spark, documents, monkeypatch, hashes):
+    monkeypatch.setattr(d, "BROADCAST_HASHES", hashes)
+    draw = random.Random(5)
+    bits = [" ".join(draw.choice(["yes", "no"]) for _ in range(40)) for _ in range(3)]
+    runs = ["word " * 40, "yes no " * 20, "0 0 0 1 " * 8, "a b c " * 9, "x " * 9 + "y " * 20 + "x " * 7]
+    items = list(enumerate(bits + runs + [" ".join(VOCABULARY[:20])]))
+    docs = [(k, f"{a} start {t} end {t}") for k, (a, t) in enumerate((draw.choice(VOCABULARY), t) for _, t in items)]
+    docs += [(50, "word " * 300), (51, "word " * 150 + "x " + "word " * 100), (52, "x " * 70 + "y " * 90)]
+    docs += [(53, " ".join(draw.choice("ab") for _ in range(200))), (54, "word " * 12), (55, "no yes " * 90)]
+    assert found(documents, spark, docs, items) == every_laying(docs, items)
+
+
+def test_seeds_of_one_word_are_joined_once_per_laying(spark, documents):
+    """The rows grow with the words of document and item, not with their product."""
+    docs = documents([(1, "word " * d.PIECE)]).select("doc_id", d.word_hashes("text").alias("words"))
+    items = spark.createDataFrame([(1, "word " * 500)], "item bigint, text string")
+    items = items.select("item", d.word_hashes("text").alias("item_words"))
+    masks = {mask: [13] for mask in d.masks_of(13, 75)}
+    hits = d._doc_seeds(docs, masks, 13).join(d._item_seeds(items, masks, 13), "seed")
+    assert 0 < hits.count() <= len(masks) * (500 + d.PIECE)
