@@ -226,7 +226,7 @@ def overlaps(
         F.struct(F.col(item_col).alias("id"), F.xxhash64(item_text_col).alias("text")).alias("item"),
         word_hashes(F.col(item_text_col)).alias("item_words"),
     )
-    items = items.where(F.size("item_words") >= 6).distinct()
+    items = items.where(F.size("item_words") > 0).distinct()
     items = materialise(items, "benchmark-items")
     size = F.size("item_words")
     counted = items.agg(

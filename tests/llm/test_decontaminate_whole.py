@@ -91,3 +91,24 @@ def test_seeds_of_one_word_are_joined_once_per_laying(spark, documents):
     masks = {mask: [13] for mask in d.masks_of(13, 75)}
     hits = d._doc_seeds(docs, masks, 13).join(d._item_seeds(items, masks, 13), "seed")
     assert 0 < hits.count() <= len(masks) * (500 + d.PIECE)
+
+
+def test_masks_lose_no_substitutions_in_short_items():
+    for length in range(1, 14):
+        assert not list(missed(length, d.masks_of(length, 75)))
+    for length in range(1, 12):
+        for percent in range(1, 101, 7):
+            assert not list(missed(length, d.masks_of(length, percent), percent))
+
+
+def test_short_items_are_found(spark, documents):
+    items, docs = [], []
+    for n in range(1, 13):
+        words = [f"i{n}x{j}" for j in range(n)]
+        items.append((n, " ".join(words)))
+        for at in combinations(range(n), n - -(-75 * n // 100)):
+            docs.append((len(docs), f"some {substituted(words, at)} words"))
+        docs.append((len(docs), f"some {substituted(words, range(1 + n - -(-75 * n // 100)))} words"))
+    rows = found(documents, spark, docs, items)
+    assert rows == every_laying(docs, items)
+    assert len(rows) == len(docs) - 12
