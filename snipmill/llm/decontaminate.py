@@ -238,7 +238,7 @@ def overlaps(
         for mask in masks_of(length, percent):
             masks.setdefault(mask, []).append(length)
     item_seeds = materialise(_item_seeds(items, masks, window), "benchmark-seeds")
-    if item_seeds.count() <= BROADCAST_HASHES:
+    if max(item_seeds.count(), counted["words"] or 0) <= BROADCAST_HASHES:
         items, item_seeds = F.broadcast(items), F.broadcast(item_seeds)
     rows = docs.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("doc_id"), word_hashes(F.col(text_col)).alias("words")
