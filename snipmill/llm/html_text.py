@@ -92,9 +92,11 @@ FEATURES = (
 ).split()
 HIDEABLE = [FEATURES.index(f) for f in ("own_other", "own_main", "around_other", "around_main")]
 
+# A quote after "=" ends with the next one, however far; elsewhere it may be a stray one.
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']++|\"[^\"]{0,4000}\"|'[^']{0,4000}'|[\"'])*+)>"
+    r"|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')"
+    r"|\"[^\"]{0,4000}\"|'[^']{0,4000}'|[\"'=])*+)>"
     r"|<[!?/][^<>]*>",
     re.S,
 )
