@@ -82,4 +82,78 @@ SELECT doc_id, item_id, max((equal, n))[1]::INTEGER AS equal_words,
 FROM laid WHERE 100 * equal >= 75 * n GROUP BY doc_id, item_id
 """
 
-ORACLE: dict[str, str] = {"op3_temporal_list_join": OP3, "op7_spaced_seeds": OP7}
+
+def _merkle_up(name: str, keys: str, levels: int) -> str:
+    """Levels of trees of 16 children: nodes with the digests beside them in their run."""
+    run = f"PARTITION BY {keys}, pos // 16 ORDER BY pos ROWS BETWEEN"
+    parts = []
+    for k in range(levels):
+        parts.append(f"""{name}_sides{k} AS (
+  SELECT *, coalesce(string_agg(d, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(d, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k}
+), {name}{k + 1} AS (
+  SELECT {keys}, pos // 16 AS pos, (n + 15) // 16 AS n, sha256(string_agg(d, '' ORDER BY pos)) AS d
+  FROM {name}{k} WHERE n > 1 GROUP BY {keys}, pos // 16, n
+)""")
+    return ", ".join(parts)
+
+
+def _merkle_down(name: str, keys: str, rows: str, levels: int) -> str:
+    """Rows of ``rows``, node by node upwards: what they fold to and their siblings."""
+    same = " AND ".join(f"s.{k} IS NOT DISTINCT FROM c.{k}" for k in keys.split(", "))
+    parts = []
+    for k in range(levels):
+        parts.append(f"""{rows}{k + 1} AS (
+  SELECT c.* REPLACE (CASE WHEN c.n > 1 THEN sha256(s.l || c.x || s.r) ELSE c.x END AS x,
+      CASE WHEN c.n > 1 THEN c.proof || s.l || s.r ELSE c.proof END AS proof,
+      c.pos // 16 AS pos, (c.n + 15) // 16 AS n)
+  FROM {rows}{k} c LEFT JOIN {name}_sides{k} s ON s.pos = c.pos AND {same}
+)""")
+    return ", ".join(parts)
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text: per character one step that mixes it in, and eight shifts."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    return f"""xor(4294967295, list_reduce(list_concat([4294967295], {steps}::BIGINT[]), lambda a, b:
+    CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
+
+
+def _field(value: str) -> str:
+    text = f"({value})::VARCHAR"
+    return f"CASE WHEN {text} IS NULL THEN '-' ELSE strlen({text}) || ':' || {text} END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+# Up to 16^6 rows of a source and 16^5 sources.
+_IN_SOURCE, _OF_SOURCES = 6, 5
+OP13 = rf"""
+WITH docs AS (
+  SELECT doc_id, source, {_leaf("text")} AS d,
+    CASE WHEN coalesce({_crc32("doc_id::VARCHAR")} % 5, 0) = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+      ELSE {_leaf("text")} END AS x
+  FROM documents
+), node0 AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, d) - 1 AS pos,
+    count(*) OVER (PARTITION BY source) AS n FROM docs
+), {_merkle_up("node", "source", _IN_SOURCE)}, subroots AS (
+  {" UNION ALL ".join(f"SELECT source, d FROM node{k} WHERE n = 1" for k in range(_IN_SOURCE + 1))}
+), top0 AS (
+  SELECT source, d, 0 AS one, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos,
+    count(*) OVER () AS n FROM subroots
+), {_merkle_up("top", "one", _OF_SOURCES)}, root AS (
+  {" UNION ALL ".join(f"SELECT d FROM top{k} WHERE n = 1" for k in range(_OF_SOURCES + 1))}
+), row0 AS (SELECT *, '' AS proof FROM node0
+), {_merkle_down("node", "source", "row", _IN_SOURCE)}, in_top0 AS (
+  SELECT c.doc_id, c.d AS leaf, c.x, c.proof, t.d AS subroot, t.pos, t.n, 0 AS one
+  FROM row{_IN_SOURCE} c JOIN top0 t ON t.source IS NOT DISTINCT FROM c.source
+), {_merkle_down("top", "one", "in_top", _OF_SOURCES)}
+SELECT doc_id, leaf, subroot, root.d AS root, sha256(proof) AS proof_sha256, x AS folded_root,
+  x = root.d AS verified
+FROM in_top{_OF_SOURCES}, root
+"""
+
+ORACLE: dict[str, str] = {"op3_temporal_list_join": OP3, "op7_spaced_seeds": OP7, "op13_merkle_manifest": OP13}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snipmill.llm import attribution, bpe, compression, decontaminate, html_text, language_model, minhash, toxicity, url_lists, warc
+from snipmill.llm import attribution, bpe, compression, decontaminate, html_text, language_model, merkle, minhash, toxicity, url_lists, warc
 from snipmill.llm.common import fold, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -135,6 +135,14 @@ def op4_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests and proof of every document; in a fifth of them the text is tampered with
+    before it is verified."""
+    tampered = fold(F.col("doc_id")) == 0
+    text = merkle.lowered(F.col("text"), tampered)
+    return merkle.manifest(table(spark, sf_dir, "documents"), changed={"text": text})
+
+
 REGISTERED = {
     "op1_deleted_interpolation": op1_deleted_interpolation,
     "op2_compression_bands": op2_compression_bands,
@@ -146,4 +154,5 @@ REGISTERED = {
     "op8_factorization_machine": op8_factorization_machine,
     "op9_offset_attribution": op9_offset_attribution,
     "op10_bpe_round_trip": op10_bpe_round_trip,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
