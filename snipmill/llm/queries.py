@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snipmill.llm import attribution, bpe, compression, decontaminate, html_text, language_model, merkle, minhash, toxicity, url_lists, warc
+from snipmill.llm import attribution, bpe, compression, decontaminate, html_text, language_model, merkle, minhash, periodic, toxicity, url_lists, warc
 from snipmill.llm.common import fold, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -135,6 +135,15 @@ def op4_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_scale_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document; a tenth of them are made to repeat themselves."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    made = docs.withColumn("text", periodic.with_period(F.col("text"), h))
+    found = periodic.periodic_runs(made, finish=lambda text: F.sha2(text, 256))
+    return periodic.summary(found)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests and proof of every document; in a fifth of them the text is tampered with
     before it is verified."""
@@ -154,5 +163,6 @@ REGISTERED = {
     "op8_factorization_machine": op8_factorization_machine,
     "op9_offset_attribution": op9_offset_attribution,
     "op10_bpe_round_trip": op10_bpe_round_trip,
+    "op11_scale_tiles": op11_scale_tiles,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

@@ -82,7 +82,7 @@ def test_empty_tables_pass_through(spark, tables, tmp_path):
 def test_registered():
     names = registered.queries()
     assert set(REGISTERED) | {"pipeline"} <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in REGISTERED) == [*range(1, 11), 13]
+    assert sorted(int(n[2:].split("_")[0]) for n in REGISTERED) == [*range(1, 12), 13]
     assert 4 <= len(corpus_pipeline.STAGES) <= 5 and "documents" in TABLES
 
 
