@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snipmill.llm import attribution, bpe, compression, decontaminate, html_text, language_model, merkle, minhash, periodic, toxicity, url_lists, warc
+from snipmill.llm import attribution, bpe, compression, decontaminate, html_text, language_model, merkle, minhash, periodic, quality_model, toxicity, url_lists, warc
 from snipmill.llm.common import fold, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -144,6 +144,16 @@ def op11_scale_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.summary(found)
 
 
+def op12_quality_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; a fifth is never learned from."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels")
+    machine = quality_model.train(docs, labels, fold(F.col("doc_id")) != 0)
+    score = quality_model.scorer(spark, machine)(F.col("text"), F.col("n_chars"))
+    scored = docs.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests and proof of every document; in a fifth of them the text is tampered with
     before it is verified."""
@@ -164,5 +174,6 @@ REGISTERED = {
     "op9_offset_attribution": op9_offset_attribution,
     "op10_bpe_round_trip": op10_bpe_round_trip,
     "op11_scale_tiles": op11_scale_tiles,
+    "op12_quality_machine": op12_quality_machine,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
