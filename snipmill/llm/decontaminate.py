@@ -22,9 +22,11 @@ around each piece, so no text is shuffled; only verified hits are, combined befo
 Hits that follow each other in a piece, in the same laying, are verified once, in all
 words around them. Where both sides repeat a single word, their seeds are joined only if
 one of them begins its run, which each laying passes, so the rows are as many as layings.
-The benchmark's hashes are broadcast only if their counted number is at most
-``BROADCAST_HASHES``; otherwise the sides meet in shuffled joins, which Spark can
-split where a hash is hot.
+Only pieces in which a mask sees a single word are looked through for such runs.
+
+The benchmark is dealt into blocks of at most ``BLOCK_WORDS`` words, counted before they are
+broadcast, and each block meets all documents, whatever the size of the benchmark. An
+item that is longer by itself is joined without a broadcast.
 
 Words are runs of anything but ASCII white space and common punctuation, A-Z in
 lower case. Results, defined for every input: null and empty texts have no words
@@ -66,8 +68,7 @@ LOSSLESS = {
 }
 MASKS = tuple(dict.fromkeys(mask for masks in LOSSLESS.values() for mask in masks))
 PIECE = 64  # word positions of a document that are hashed in one row
-DISTINCT_WORDS = 1  # under a mask, for an item to be searched from there: any
-BROADCAST_HASHES = 1_000_000  # of about 30 bytes
+BLOCK_WORDS = 400_000  # of items that are broadcast at once, with a seed per word and mask
 
 
 def word_hashes(text: Column) -> Column:
@@ -133,27 +134,55 @@ def _doc_seeds(docs: DataFrame, masks: dict[str, list[int]], window: int) -> Dat
         F.slice("words", from_word + 1, reach).alias("around"),
     )
     before = F.col("piece") - F.col("from_word")
+    # Before the positions are exploded, so that it is done once per piece.
+    pieces = pieces.withColumn("begun", _begun(masks, before))
     placed = pieces.select(
-        "doc_id", "from_word", "around",
+        "doc_id", "from_word", "around", "begun",
         _positions(F.least(F.size("around") - before, F.lit(PIECE))).alias("at"), before.alias("before"),
     )
     local = F.col("at") + F.col("before")
-    seeds, begun = [], []
+    seeds = []
     for k, mask in enumerate(masks):
-        fits, seed, within = _seed(k, F.col("around"), local, mask)
-        marked = _marked(F.col("around"), local, mask)
-        single = _all([fits, *(word == marked[0] for word in marked[1:])])
+        fits, seed, _ = _seed(k, F.col("around"), local, mask)
         seeds.append(F.when(fits, seed))
-        begun.append((single & ((F.col("at") == 0) | ~within), seed))
-    both = F.concat(F.array(*seeds), F.array(*(F.when(b, F.bitwise_not(s)) for b, s in begun)))
-    any_begun = reduce(or_, (b for b, _ in begun))
+    more = F.coalesce(F.get("begun", F.col("at")), F.array().cast("array<bigint>"))
     found = placed.select(
         "doc_id", "from_word", "around", "at", local.alias("local"),
-        F.explode(F.when(any_begun, both).otherwise(F.array(*seeds))).alias("seed"),
+        F.explode(F.concat(F.array(*seeds), more)).alias("seed"),
     )
     return found.where("seed IS NOT NULL")
 
 
+def _begun(masks: dict[str, list[int]], before: Column) -> Column:
+    """Per position of a piece, the hashes of items' seeds within runs of a single word,
+    where such a run begins; null for pieces in which no mask sees a single word."""
+    around = F.col("around")
+
+    def single(at: Column, mask: str) -> Column:
+        marked = _marked(around, at, mask)
+        return _all([at >= 0, *(word == marked[0] for word in marked[1:])])
+
+    def sees_single(at: Column) -> Column:
+        """Whether some mask sees one word, with its first two marks side by side here;
+        two words that differ, as most do, settle it."""
+        side_by_side = [single(at - mask.index("11"), mask) for mask in masks if "11" in mask]
+        apart = [single(at, mask) for mask in masks if "11" not in mask]
+        follows = F.get(around, at) == F.get(around, at + 1)
+        return reduce(or_, [*apart, follows & reduce(or_, [*side_by_side, F.lit(False)])])
+
+    def seeds(at: Column) -> Column:
+        begun = []
+        for k, mask in enumerate(masks):
+            _, seed, within = _seed(k, around, at + before, mask)
+            begins = single(at + before, mask) & ((at == 0) | ~within)
+            begun.append(F.when(begins, F.bitwise_not(seed)))
+        return F.array(*begun)
+
+    own = F.sequence(F.lit(0), F.least(F.size(around) - before, F.lit(PIECE)) - 1)
+    some = F.exists(F.sequence(F.lit(0), F.size(around) - 1), sees_single)
+    return F.when(F.coalesce(some, F.lit(False)), F.transform(own, seeds))
+
+
 def _hit(masks: dict[str, list[int]], window: int, step: int) -> list[Column]:
     """Per mask: whether it hits so many words after a hit."""
     at, item_at = F.col("local") + step, F.col("item_at") + step
@@ -210,6 +239,25 @@ def _most_equal() -> Column:
     return F.when(high - low >= length, F.array_max(sums))
 
 
+def _blocks(
+    items: DataFrame, masks: dict[str, list[int]], window: int, words: int
+) -> list[tuple[DataFrame, DataFrame]]:
+    """Items and their seeds, block by block. The driver gets a number per block."""
+    n = 1 if words <= BLOCK_WORDS else -(-2 * words // BLOCK_WORDS)
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(n)))
+    dealt = materialise(dealt, "benchmark-blocks")
+    seeds = materialise(
+        _item_seeds(dealt, masks, window).withColumn("block", F.pmod(F.xxhash64("item"), F.lit(n))),
+        "benchmark-seeds",
+    )
+    sizes = dealt.groupBy("block").agg(F.sum(F.size("item_words")).alias("words")).collect()
+    found = []
+    for block, size in sizes or [(0, 0)]:
+        own = [df.where(F.col("block") == block).drop("block") for df in (dealt, seeds)]
+        found.append(tuple(map(F.broadcast, own)) if size <= BLOCK_WORDS else tuple(own))
+    return found
+
+
 def overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -237,13 +285,17 @@ def overlaps(
     for length in sorted(counted["lengths"] or [window]):
         for mask in masks_of(length, percent):
             masks.setdefault(mask, []).append(length)
-    item_seeds = materialise(_item_seeds(items, masks, window), "benchmark-seeds")
-    if max(item_seeds.count(), counted["words"] or 0) <= BROADCAST_HASHES:
-        items, item_seeds = F.broadcast(items), F.broadcast(item_seeds)
     rows = docs.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("doc_id"), word_hashes(F.col(text_col)).alias("words")
     )
-    hits = _doc_seeds(rows, masks, window).join(item_seeds, "seed").join(items, "item")
+    doc_seeds = _doc_seeds(rows, masks, window)
+    hits = reduce(
+        DataFrame.unionByName,
+        (
+            doc_seeds.join(seeds, "seed").join(own, "item")
+            for own, seeds in _blocks(items, masks, window, counted["words"] or 0)
+        ),
+    )
     low, high, length = _near(masks, window)
     near = hits.where(_first(masks, window)).select(
         "doc_id", "item", "from_word", "local", "item_at", "around", "item_words",
@@ -267,6 +319,8 @@ def overlaps(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents without an overlap, with all their columns. Documents without id stay."""
-    found = overlaps(docs, benchmark).select("doc_id").distinct()
-    return docs.join(found.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    """Documents without an overlap, with all their columns. Every text is judged by
+    itself, whether its id is missing or another text has it too."""
+    keyed = docs.withColumn("_key", F.struct("doc_id", F.xxhash64("text").alias("text")))
+    found = overlaps(keyed, benchmark, id_col="_key").select(F.col("doc_id").alias("_key"))
+    return keyed.join(found.distinct().hint("merge"), "_key", "left_anti").select(*docs.columns)

@@ -40,46 +40,41 @@ FROM captures c LEFT JOIN active a
   ON a.page_id = c.page_id AND a.url = c.url AND a.sec = c.sec
 """
 
+# Every item laid over every word of every document: all pairs of equal words, grouped by
+# the word of the document at which the item would begin. The best stretch begins at an
+# equal word, or is the last one that fits.
 OP7 = r"""
 WITH docs AS (
-  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D.,;:!?"''()\[\]]+') AS w
   FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
 ), items AS (
-  SELECT DISTINCT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  SELECT row_number() OVER () AS i, item_id, v, least(13, len(v)) AS n FROM (
+    SELECT DISTINCT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D.,;:!?"''()\[\]]+') AS v
-  FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
-), masks AS (
-  SELECT * FROM (VALUES (6, [0, 1, 2, 3, 4, 5]), (9, [0, 1, 3, 4, 6, 8]),
-    (10, [0, 2, 3, 7, 8, 9])) AS m(span, marks)
+    FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL)
 ), doc_words AS (
-  SELECT doc_id, w, unnest(range(0, len(w))) AS p FROM docs
-), doc_seeds AS (
-  SELECT doc_id, w, p, span,
-    list_aggregate(list_transform(marks, lambda i: w[p + i + 1]), 'string_agg', ' ') AS seed
-  FROM doc_words, masks WHERE p + span <= len(w)
+  SELECT d, len(w) AS size, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS p FROM docs
 ), item_words AS (
-  SELECT item_id, v, unnest(range(0, len(v))) AS q FROM items
-), item_seeds AS (
-  SELECT item_id, v, q, span,
-    list_aggregate(list_transform(marks, lambda i: v[q + i + 1]), 'string_agg', ' ') AS seed
-  FROM item_words, masks WHERE q + span <= len(v)
-    AND len(list_distinct(list_transform(marks, lambda i: v[q + i + 1]))) >= 3
-), hits AS (
-  SELECT d.doc_id, i.item_id, d.w, i.v, d.p - i.q AS begin,
-    greatest(i.q - 13, 0, i.q - d.p) AS low,
-    least(i.q + d.span + 13, len(i.v), len(d.w) - (d.p - i.q)) AS high,
-    least(13, len(i.v)) AS n
-  FROM doc_seeds d JOIN item_seeds i USING (span, seed)
+  SELECT i, n, len(v) AS size, unnest(v) AS word, generate_subscripts(v, 1) - 1 AS q FROM items
+), equal_words AS (
+  SELECT d, i, n, p - q AS begin, q, least(x.size, w.size - (p - q)) - n AS last_start,
+    count(*) OVER (PARTITION BY d, i, p - q) AS in_all
+  FROM doc_words w JOIN item_words x USING (word)
+), counted AS (
+  SELECT d, i, n, begin,
+    CASE WHEN q <= last_start THEN count(*) OVER (PARTITION BY d, i, begin ORDER BY q
+      RANGE BETWEEN CURRENT ROW AND n - 1 FOLLOWING)
+    ELSE count(*) FILTER (q >= last_start) OVER (PARTITION BY d, i, begin) END AS equal
+  FROM equal_words WHERE 100 * in_all >= 75 * n AND last_start >= greatest(0, -begin)
 ), laid AS (
-  SELECT DISTINCT doc_id, item_id, begin, n, list_max(list_transform(range(low, high - n + 1),
-    lambda s: list_sum(list_transform(range(s, s + n),
-      lambda j: CASE WHEN w[j + begin + 1] = v[j + 1] THEN 1 ELSE 0 END)))) AS equal
-  FROM hits WHERE high - low >= n
+  SELECT doc_id, item_id, begin, max((equal, n)) AS best
+  FROM counted JOIN docs USING (d) JOIN items USING (i, n)
+  WHERE 100 * equal >= 75 * n GROUP BY doc_id, item_id, begin
 )
-SELECT doc_id, item_id, max((equal, n))[1]::INTEGER AS equal_words,
-  max((equal, n))[2]::INTEGER AS of_words, count(DISTINCT begin) AS layings
-FROM laid WHERE 100 * equal >= 75 * n GROUP BY doc_id, item_id
+SELECT doc_id, item_id, max(best)[1]::INTEGER AS equal_words, max(best)[2]::INTEGER AS of_words,
+  count(*) AS layings
+FROM laid GROUP BY doc_id, item_id
 """
 
 

@@ -1,8 +1,8 @@
 """The stages of the training-data pipeline.
 
 A stage keeps all columns and all clean rows of what it gets. Rows with null or empty
-texts are judged like others; rows without id cannot be told apart as copies or found
-in the benchmark, and pass these two stages.
+texts are judged like others. Copies and leaks are told by id and text, so a text without
+id, or one that shares its id with others, is judged by itself.
 """
 
 from __future__ import annotations
@@ -27,14 +27,17 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id. Of rows that share
-    this id, one with the smallest text."""
-    found = minhash.near_duplicates(docs)
-    kept = found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    row = F.min_by(F.struct(*docs.columns), F.struct("text")).alias("row")
-    chosen = docs.join(kept.hint("merge"), "doc_id", "left_semi").groupBy("doc_id").agg(row)
-    without = docs.where("doc_id IS NULL")
-    return chosen.select("row.*").unionByName(without)
+    """One document of each group: the one with the smallest id, or any if none has an
+    id. Of rows that are equal in id and text one stays. Rows are known by a 64-bit hash
+    of both."""
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    found = minhash.near_duplicates(keyed, id_col="_key")
+    groups = found.select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    ids = keyed.select("_key", "doc_id").distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")).alias("first")
+    kept = ids.join(groups, "_key").groupBy("component_id").agg(first).select("first._key")
+    chosen = keyed.join(kept.hint("merge"), "_key", "left_semi")
+    return chosen.groupBy("_key").agg(F.first(F.struct(*docs.columns)).alias("row")).select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

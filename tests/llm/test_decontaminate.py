@@ -1,40 +1,16 @@
 import random
 import re
 
+import duckdb
 import pytest
 
+from laying import every_laying
 from snipmill.llm import decontaminate as d
+from snipmill.llm.oracle import ORACLE
 
-WORD = re.compile(d.WORD)
 VOCABULARY = [f"w{i}" for i in range(400)]
 
 
-def brute(docs, items, percent=75, window=13):
-    """Every laying of every item over every document, around spaced seeds."""
-    split = lambda t: WORD.findall((t or "").lower())
-    found = {}
-    for i, text in docs:
-        w = split(text)
-        for k, item in items:
-            v = split(item)
-            n = min(window, len(v))
-            for q in range(len(v)):
-                for p in range(len(w)):
-                    for mask in d.MASKS:
-                        marked = {x for x, m in zip(v[q:], mask) if m == "1"}
-                        if len(marked) < d.DISTINCT_WORDS:
-                            continue
-                        fits = p + len(mask) <= len(w) and q + len(mask) <= len(v)
-                        if not fits or any(m == "1" and w[p + j] != v[q + j] for j, m in enumerate(mask)):
-                            continue
-                        low = max(q - window, 0, q - p)
-                        high = min(q + len(mask) + window, len(v), len(w) - (p - q))
-                        sums = [sum(w[s + j + p - q] == v[s + j] for j in range(n)) for s in range(low, high - n + 1)]
-                        if sums and 100 * max(sums) >= percent * n and i is not None and k is not None:
-                            found.setdefault((i, k), {}).setdefault(p - q, []).append(max(sums))
-    return {key: (max(map(max, at.values())), len(at)) for key, at in found.items()}
-
-
 def items_of(spark, items):
     return spark.createDataFrame([(i, t, 1) for i, t in items], "item_id bigint, text string, doc_id int")
 
@@ -65,15 +41,20 @@ def found(documents, spark, docs, items):
 
 def test_overlaps_equal_brute_force(spark, documents, planted):
     docs, items = planted
-    wanted = brute(docs, items)
+    wanted = every_laying(docs, items)
     assert len(wanted) >= 6
     assert found(documents, spark, docs, items) == wanted
 
 
-def test_shuffled_joins_find_the_same(spark, documents, planted, monkeypatch):
+@pytest.mark.parametrize("words", [60, 8])
+def test_blocks_find_the_same(spark, documents, planted, monkeypatch, words):
+    """Also where items are longer than a block and no join is broadcast."""
     docs, items = planted
-    monkeypatch.setattr(d, "BROADCAST_HASHES", 0)
-    assert found(documents, spark, docs, items) == brute(docs, items)
+    monkeypatch.setattr(d, "BLOCK_WORDS", words)
+    if words == 8:
+        items = items[:4]
+        monkeypatch.setattr(d.F, "broadcast", lambda df: df.hint("merge"))
+    assert found(documents, spark, docs, items) == every_laying(docs, items)
 
 
 def test_substitutions_and_clean_documents(spark, documents):
@@ -86,13 +67,13 @@ def test_substitutions_and_clean_documents(spark, documents):
     assert [(r.doc_id, r.item_id) for r in d.overlaps(df, items).collect()] == [(1, 7)]
     kept = d.clean(df, items)
     assert kept.columns == df.columns
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 2, 3, 4]
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [2, 3, 4]
 
 
 def test_odd_rows(spark, documents, odd_rows):
     items = items_of(spark, [(1, odd_rows[3][1]), (1, odd_rows[3][1]), (2, "word " * 40)])
     rows = d.overlaps(documents(odd_rows), items).collect()
-    assert sorted((r.doc_id, r.item_id) for r in rows) == [(4, 1), (5, 1)]
+    assert sorted((r.doc_id, r.item_id) for r in rows) == [(4, 1), (5, 1), (6, 2), (7, 2)]
     assert d.overlaps(documents([]), items).count() == 0
     assert d.overlaps(documents(odd_rows), items.limit(0)).count() == 0
 
@@ -101,3 +82,28 @@ def test_no_python_in_the_plan(spark, documents, planted):
     docs, items = planted
     plan = d.overlaps(documents(docs), items_of(spark, items))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|CartesianProduct|NestedLoop", plan)
+
+
+def test_texts_under_one_id_are_judged_alone(spark, documents):
+    item = " ".join(VOCABULARY[:20])
+    df = documents([(1, item), (1, "clean text"), (None, item), (None, "clean too"), (None, None)])
+    kept = d.clean(df, items_of(spark, [(7, item)])).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == [(0, ""), (0, "clean too"), (1, "clean text")]
+
+
+def test_twin_finds_short_and_repetitive_items(spark, documents, tmp_path):
+    """The SQL twin and the operator on what the tables hold none of."""
+    draw = random.Random(9)
+    items = [(1, "yes no yes no yes no yes"), (2, "word " * 30), (3, "one two three"), (4, "solo"), (5, " ".join(VOCABULARY[:30]))]
+    docs = [(k, f"start {t} end") for k, (_, t) in enumerate(items)]
+    docs += [(20 + k, " ".join(w if draw.random() > 0.2 else "z" for w in VOCABULARY[:30])) for k in range(12)]
+    docs += [(50, "yes no " * 9), (51, "word " * 99), (51, "x"), (52, ""), (53, None)]
+    for name in ("documents", "benchmark"):
+        table = documents(docs) if name == "documents" else items_of(spark, items)
+        table.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    connection = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    twin = connection.execute(ORACLE["op7_spaced_seeds"]).fetchall()
+    assert {(a, b): (e, n) for a, b, e, _, n in twin} == every_laying(docs, items)
+    assert {(a, b): (e, n) for a, b, e, _, n in twin} == found(documents, spark, docs, items)

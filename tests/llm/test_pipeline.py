@@ -67,6 +67,23 @@ def test_each_stage_rejects_what_it_should(spark, tables):
     assert ids(last) == wanted and all(r.n_tokens == len(r.ids) > 0 for r in last.collect())
 
 
+def test_every_text_is_judged_by_itself(spark, documents, tmp_path):
+    """Texts that share an id, or have none, are no copies of each other."""
+    item = prose("leak", 30)
+    rows = [(1, prose("a")), (1, prose("b")), (None, prose("c")), (None, prose("c") + " end"),
+            (2, prose("d")), (9, prose("d") + " end"), (3, prose("e")), (3, prose("e"))]
+    kept = stages.drop_near_duplicates(spark, documents(rows), "").collect()
+    texts = [(r.doc_id, r.text.split()[0]) for r in kept]
+    first = {k: prose(k).split()[0] for k in "abcde"}
+    assert sorted(texts, key=repr) == sorted(
+        [(1, first["a"]), (1, first["b"]), (None, first["c"]), (2, first["d"]), (3, first["e"])], key=repr
+    )
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, item), (1, item), (1, prose("a")), (None, prose("b"))]
+    kept = stages.drop_contaminated(spark, documents(rows), str(tmp_path)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(1, prose("a")), (0, prose("b"))])
+
+
 def test_run_equals_the_stages(spark, tables):
     found = corpus_pipeline.run(spark, tables)
     ids = [r.doc_id for r in found.collect()]
