@@ -33,7 +33,7 @@ def extract(spark: SparkSession, root: str, records: str) -> None:
 def pool(spark: SparkSession, records: str, out: str, export: str | None = None) -> None:
     report, left_out, unreadable = pool_from_jsonl(spark, records, out, export)
     for file in unreadable:
-        print("left out:", file.path, file.reason)
+        print("not read to its end:", file.path, file.reason, f"({file.reached} bytes read)")
     left_out.write.mode("overwrite").json(f"{out.rstrip('/')}-quarantine")
     report.show()
 

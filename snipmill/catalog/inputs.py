@@ -7,6 +7,10 @@ gathering rows. Each has a twin in :mod:`snipmill.catalog.oracle`.
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -177,3 +181,35 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN (doc_id + t * 7 + i) % 10 < 6 THEN t ELSE t + 1 END) AS pred",
         "attention_mask AS attention",
     )
+
+
+# Fixed value: the first bytes of a member of a gzip file.
+_MEMBER = b"\x1f\x8b\x08"
+
+
+def broken_off(spark: SparkSession, source: str, target: str) -> set[tuple[str, int]]:
+    """Copies of the gzip files of a folder, each with the begin of a further member, which
+    never ends. Returns their names and sizes."""
+    def uri(path: str) -> str:
+        return re.sub("^(file:)?/+", "file:///", path)
+
+    def copy(batches):
+        for batch in batches:
+            names = batch["path"].to_pylist()
+            sizes = []
+            for name in names:
+                system, path = fs.FileSystem.from_uri(uri(name))
+                to, folder = fs.FileSystem.from_uri(uri(target))
+                to.create_dir(folder)
+                copied = f"{folder}/{path.rpartition('/')[2]}"
+                with system.open_input_stream(path, compression=None) as a:
+                    with to.open_output_stream(copied, compression=None) as b:
+                        while piece := a.read(1 << 20):
+                            b.write(piece)
+                        b.write(_MEMBER)
+                sizes.append(to.get_file_info(copied).size)
+            yield pa.RecordBatch.from_pydict({"name": [n.rpartition("/")[2] for n in names], "size": sizes})
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source)
+    made = files.select("path").mapInArrow(copy, "name string, size bigint")
+    return {tuple(r) for r in made.collect()}

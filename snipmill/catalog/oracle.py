@@ -626,6 +626,8 @@ FROM (SELECT count(*) AS n, count(*) FILTER (WHERE length({_strip('text')}) >= 2
   FROM documents)""",
     "compressed_records": f"""SELECT CAST(doc_id AS VARCHAR) AS original_id,
   sha256({_strip('text')}) AS content_hash, 0 AS n_unreadable FROM documents""",
+    "broken_records": f"""SELECT CAST(doc_id AS VARCHAR) AS original_id,
+  sha256({_strip('text')}) AS content_hash, true AS all_reported FROM documents""",
     "bounded_stream_scan": """SELECT least(count(*), 500) AS n_rows,
   least(count(*), 500) AS n_documents, 0::BIGINT AS n_strangers FROM documents""",
 }

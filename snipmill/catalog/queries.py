@@ -41,10 +41,9 @@ from snipmill.sources.jsonl import (
     pool_json,
     read_pool,
     read_records,
-    records_path,
+    stored_records,
     write_records,
 )
-from snipmill.sources.readable import unreadable_files
 from snipmill.sources.registry import SOLUTION_LISTS, TAGGED_SOLUTIONS, Source, plain_corpus
 from snipmill.sources.scans import scan
 from snipmill.streaming.bounded import take
@@ -633,12 +632,31 @@ def compressed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_path(spark, "compressed")
     records = inputs.document_records(spark, sf_dir)
     records.write.option("compression", "gzip").json(f"{root}/prose/documents.jsonl")
-    found = unreadable_files(spark, records_path(root))
-    readable, _ = read_records(spark, root, found)
-    return readable.select(
+    found = stored_records(spark, root)
+    return found.records.select(
         "original_id",
         fingerprint(F.col("raw_content")).alias("content_hash"),
-        F.lit(len(found)).alias("n_unreadable"),
+        F.lit(len(found.unreadable)).alias("n_unreadable"),
+    )
+
+
+@registered
+def broken_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of compressed files, half of which break off in a second member: all whole
+    lines before are read, and each such file is reported with the bytes read."""
+    root = new_path(spark, "broken")
+    records = inputs.document_records(spark, sf_dir)
+    write = lambda df, path: df.write.option("compression", "gzip").json(path)
+    write(records.where("ord % 2 = 0"), f"{root}/prose/whole.jsonl")
+    parts = new_path(spark, "broken-parts")
+    write(records.where("ord % 2 <> 0"), parts)
+    made = inputs.broken_off(spark, parts, f"{root}/prose/broken.jsonl")
+    found = stored_records(spark, root)
+    reported = {(f.path.rpartition("/")[2], f.reached) for f in found.unreadable}
+    return found.records.select(
+        "original_id",
+        fingerprint(F.col("raw_content")).alias("content_hash"),
+        F.lit(reported == made).alias("all_reported"),
     )
 
 

@@ -11,8 +11,8 @@ from snipmill.operators.characterize import with_characteristics
 from snipmill.operators.dedup import KEEP_ORDER, keep_first
 from snipmill.operators.reports import counted_report
 from snipmill.schemas import POOL
-from snipmill.sources.jsonl import export_pool, records_path, stored_records
-from snipmill.sources.readable import UnreadableFile, unreadable_files
+from snipmill.sources.jsonl import export_pool, stored_records
+from snipmill.sources.readable import UnreadableFile
 
 
 def build_pool(records: DataFrame, order: Sequence[str] = KEEP_ORDER) -> DataFrame:
@@ -23,7 +23,7 @@ def build_pool(records: DataFrame, order: Sequence[str] = KEEP_ORDER) -> DataFra
 
 class Stage2(NamedTuple):
     """What became of the records: the duplicate report, the quarantined lines, and
-    the files left out because they could not be read to their end."""
+    the files that could not be read to their end."""
 
     report: DataFrame
     left_out: DataFrame
@@ -40,13 +40,13 @@ def pool_from_jsonl(
     """Build the pool from the records below ``root`` and write it to ``out``.
 
     Parquet is the working form, of which later stages read only the columns
-    they need; ``export`` names a place for JSON Lines as well. Files that break off
-    are left out as a whole and reported, or fail the stage before it writes.
+    they need; ``export`` names a place for JSON Lines as well. Of files that break off
+    the whole lines before are used and the rest is reported, or they fail the stage
+    before it writes the pool.
     """
-    unreadable = unreadable_files(spark, records_path(root))
+    records, left_out, counts, unreadable = stored_records(spark, root)
     if unreadable and fail_on_unreadable:
         raise ValueError("unreadable: " + ", ".join(f.path for f in unreadable))
-    records, left_out, counts = stored_records(spark, root, unreadable)
     build_pool(records, (*KEEP_ORDER, "place")).write.mode("overwrite").parquet(out)
     unique = spark.read.schema(POOL).parquet(out).count()
     if export:

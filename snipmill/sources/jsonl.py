@@ -7,6 +7,7 @@ or a folder of part files. Both are read the same way.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql.types import ArrayType, DataType, LongType
 from snipmill.functions.text import is_visible
 from snipmill.schemas import CHARACTERISTICS, POOL, RECORD, TEXT, TEXTS, struct
 from snipmill.session import materialise
-from snipmill.sources.readable import UnreadableFile, read_lines
+from snipmill.sources.readable import UnreadableFile, read_lines, unreadable_blocks
 from snipmill.sources.scans import is_missing, line_place
 
 # Follows the object of a line when it is parsed, to show that it was all there.
@@ -34,21 +35,23 @@ def _parsed_lines(
     spark: SparkSession,
     path: str,
     fields: Mapping[str, DataType],
-    left_out: Sequence[UnreadableFile] = (),
+    left_out: Sequence[str] = (),
 ) -> DataFrame:
-    """Lines with their place, and the list of objects that they hold.
+    """Lines with their place, and the list of objects that they hold. A file that
+    breaks off has a row with a ``fault`` and without a line.
 
     Fields of type text take whatever they hold, so a line is bad only if it is
     not one JSON object; other fields are null where they hold something else. Parsing a list of the line and an end mark finds junk
     behind the object, which the parser would skip.
     """
     entry = struct(**fields, **{_END: TEXT})
-    lines = read_lines(spark, path, left_out)
     place = F.struct(*(c.alias(n.lstrip("_")) for n, c in line_place().items()))
+    lines = read_lines(spark, path, place, left_out)
     framed = F.concat(F.lit("["), F.col("value"), F.lit(f',{{"{_END}":"1"}}]'))
     return lines.select(
         F.col("value").alias("line"),
-        place.alias("place"),
+        "place",
+        "fault",
         F.from_json(framed, ArrayType(entry), {"allowSingleQuotes": "false"}).alias("parsed"),
     )
 
@@ -79,34 +82,44 @@ def records_path(root: str) -> str:
     return f"{root.rstrip('/')}/*/*.jsonl"
 
 
-def read_records(
-    spark: SparkSession, root: str, left_out: Sequence[UnreadableFile] = ()
-) -> tuple[DataFrame, DataFrame]:
+def read_records(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """Records below exactly one level of folders, and the lines left out.
 
-    A file that cannot be read to its end fails the job that reads it, unless it is
-    among those ``left_out``, which ``unreadable_files`` finds.
+    Of a compressed file that breaks off, the whole lines before are read;
+    :func:`stored_records` tells which these are.
 
     Records carry ``place``, which follows file and line. It stands in for
     ``ord`` where files written elsewhere have none. A missing root raises
     ``AnalysisException`` before any job starts.
     """
-    lines = _parsed_lines(spark, records_path(root), dict.fromkeys(RECORD.names, TEXT), left_out)
+    lines = _parsed_lines(spark, records_path(root), dict.fromkeys(RECORD.names, TEXT))
     records = _good(lines, RECORD.names)
     return records.withColumn("ord", F.col("ord").try_cast("bigint")), _bad(lines)
 
 
-def stored_records(
-    spark: SparkSession, root: str, left_out: Sequence[UnreadableFile] = ()
-) -> tuple[DataFrame, DataFrame, dict[str, int]]:
-    """Like :func:`read_records`, but every line is read and parsed once: both results
+class StoredRecords(NamedTuple):
+    """Records and quarantined lines from one read of the files, the number of records
+    and of those without content, and the files that were not read to their end."""
+
+    records: DataFrame
+    left_out: DataFrame
+    counts: dict[str, int]
+    unreadable: list[UnreadableFile]
+
+
+def stored_records(spark: SparkSession, root: str) -> StoredRecords:
+    """Like :func:`read_records`, but every line is read and parsed once: all results
     come from a written table, and the records and those without content are counted
-    while it is written."""
-    lines = _parsed_lines(spark, records_path(root), dict.fromkeys(RECORD.names, TEXT), left_out)
-    rows = lines.where(is_visible(F.col("line"))).select(
+    while it is written. Only the names of faulty files come to the driver."""
+    path = records_path(root)
+    blocks = unreadable_blocks(spark, path)
+    fields = dict.fromkeys(RECORD.names, TEXT)
+    lines = _parsed_lines(spark, path, fields, [f.path for f in blocks])
+    rows = lines.where(is_visible(F.col("line")) | F.col("fault").isNotNull()).select(
         F.when(_is_object(), F.get("parsed", F.lit(0))).alias("entry"),
         F.when(~_is_object(), F.col("line")).alias("line"),
         "place",
+        "fault",
     )
     counts = Observation()
     content = F.col("entry.raw_content")
@@ -115,6 +128,7 @@ def stored_records(
             counts,
             F.count("entry").alias("loaded"),
             F.count_if(F.col("entry").isNotNull() & (F.coalesce(content, F.lit("")) == "")).alias("empty"),
+            F.count("fault").alias("faults"),
         ),
         "parsed-lines",
     )
@@ -122,10 +136,15 @@ def stored_records(
         *(f"entry.{f}" for f in RECORD.names), "place"
     )
     records = records.withColumn("ord", F.col("ord").try_cast("bigint"))
-    bad = stored.where("entry IS NULL").select(
+    bad = stored.where("entry IS NULL AND fault IS NULL").select(
         F.col("place.file").alias("file"), F.col("place.start").alias("slice"), "line"
     )
-    return records, bad, counts.get
+    known = counts.get
+    broken = []
+    if known.pop("faults"):
+        faults = stored.where("fault IS NOT NULL").select("place.file", "fault.*")
+        broken = [UnreadableFile(*r) for r in faults.orderBy("file").collect()]
+    return StoredRecords(records, bad, known, [*blocks, *broken])
 
 
 # Names in the export, per language. Its "imports" are names for Python and a

@@ -1,10 +1,14 @@
 """Scans, JSON Lines and the stages that read and write them."""
 
+import bz2
 import gzip
 import json
+import random
+import zlib
 from dataclasses import replace
 
 import pytest
+import zstandard
 from pyspark.errors import AnalysisException
 
 from snipmill.plans.extraction import extract_all, yield_totals
@@ -16,10 +20,9 @@ from snipmill.sources.jsonl import (
     export_pool,
     read_pool,
     read_records,
-    records_path,
     stored_records,
 )
-from snipmill.sources.readable import unreadable_files
+from snipmill.sources.readable import split_lines
 from snipmill.sources.registry import TAGGED_SOLUTIONS, Source, plain_corpus
 from snipmill.sources.scans import open_source, scan
 from snipmill.streaming.bounded import take
@@ -122,32 +125,75 @@ def test_missing_places(spark, tmp_path):
     assert pool.schema == POOL and pool.isEmpty() and left_out.isEmpty()
 
 
-def test_unreadable_files_are_left_out_and_reported(spark, tmp_path):
+def test_files_that_break_off_give_their_whole_lines(spark, tmp_path):
     folder = tmp_path / "in" / "c"
-    folder.mkdir(parents=True)
-    lines = "".join(json.dumps({"language": "c", "raw_content": f"text {i}"}) + "\n" for i in range(5000))
-    whole = gzip.compress(lines.encode())
-    (folder / "bad.jsonl").mkdir()
-    (folder / "bad.jsonl" / "x.gz").write_bytes(b"\x1f\x8b\x08 not a gzip file")
-    (folder / "half.jsonl").mkdir()
-    (folder / "half.jsonl" / "y.gz").write_bytes(whole[: len(whole) // 2])
-    (folder / "fine.jsonl").mkdir()
-    (folder / "fine.jsonl" / "z.gz").write_bytes(whole)
+    lines = [json.dumps({"language": "c", "raw_content": f"text {random.Random(i).random()}"}) for i in range(60_000)]
+    text = ("\n".join(lines) + "\n").encode()
+    whole = gzip.compress(text)
+    half = len(whole) // 2
+    flipped = whole[:half] + bytes(x ^ 255 for x in whole[half : half + 9]) + whole[half + 9 :]
+    files = {
+        "none": ("x.gz", b"\x1f\x8b\x08 not a gzip file"),
+        "half": ("y.gz", whole[:half]),
+        "fine": ("z.gz", whole[:half] and gzip.compress(text[:1000]) + gzip.compress(text[1000:]) + bytes(512)),
+        "flip": ("f.gz", flipped),
+        "bits": ("b.bz2", bz2.compress(text)[: half // 2]),
+        "zstd": ("s.zst", zstandard.compress(text)[:half]),
+        "void": ("v.gz", b""),
+    }
+    for name, (file, data) in files.items():
+        (folder / f"{name}.jsonl").mkdir(parents=True)
+        (folder / f"{name}.jsonl" / file).write_bytes(data)
     (folder / "good.jsonl").write_text('{"raw_content": "a", "language": "c"}\n')
     root = f"{tmp_path}/in"
-    found = unreadable_files(spark, records_path(root))
-    assert sorted(f.path.rsplit("/", 1)[1] for f in found) == ["x.gz", "y.gz"]
-    records, _ = read_records(spark, root, found)
-    assert records.count() == 5001
-    with pytest.raises(Exception, match="FAILED_READ_FILE|[Ee]rror"):
-        read_records(spark, root)[0].select("raw_content").collect()
+    found = stored_records(spark, root)
+    reached = {f.path.rsplit("/", 1)[1]: f.reached for f in found.unreadable}
+    assert set(reached) == {"x.gz", "y.gz", "f.gz", "b.bz2", "s.zst"}
+    assert reached["y.gz"] == half and half <= reached["f.gz"] <= len(whole)
+    read = found.records.select("place.file", "place.row", "raw_content").collect()
+    by_file = {}
+    for r in read:
+        by_file.setdefault(r.file.rsplit("/", 1)[1], {})[r.row] = r.raw_content
+    contents = [json.loads(x)["raw_content"] for x in lines]
+    assert [by_file["z.gz"][i] for i in range(60_000)] == contents and len(by_file["z.gz"]) == 60_000
+    # Flipped bytes may decode to odd lines before the fault shows; those before are right.
+    assert sum(by_file["f.gz"].get(i) == c for i, c in enumerate(contents[:20_000])) == 20_000
+    for name in ("y.gz", "b.bz2", "s.zst"):
+        own = by_file[name]
+        assert 1_000 < len(own) < 60_000 and [own[i] for i in range(len(own))] == contents[: len(own)]
+    assert found.counts["loaded"] == len(read)
+    # What gzip itself gives of the half file.
+    rest = zlib.decompressobj(31).decompress(whole[:half])
+    assert len(by_file["y.gz"]) == rest.count(b"\n")
     stage = pool_from_jsonl(spark, root, f"{tmp_path}/pool")
-    assert {f.path for f in stage.unreadable} == {f.path for f in found}
-    assert spark.read.parquet(f"{tmp_path}/pool").count() == 5001
+    assert {f.path for f in stage.unreadable} == {f.path for f in found.unreadable}
+    assert spark.read.parquet(f"{tmp_path}/pool").count() >= 60_001
     with pytest.raises(ValueError, match="y.gz"):
         pool_from_jsonl(spark, root, f"{tmp_path}/pool2", fail_on_unreadable=True)
 
 
+def test_lines_of_pieces_equal_those_of_the_whole():
+    draw = random.Random(3)
+    for _ in range(2000):
+        text = "".join(draw.choice("ab\r\n") for _ in range(draw.randrange(12))).encode()
+        cuts = sorted(draw.randrange(len(text) + 1) for _ in range(draw.randrange(5)))
+        pieces = [(0, text[a:b]) for a, b in zip([0, *cuts], [*cuts, len(text)])]
+        assert list(split_lines(pieces)) == text.splitlines()
+
+
+def test_broken_blocks_are_left_out(spark, tmp_path):
+    folder = tmp_path / "in" / "c"
+    rows = spark.range(2000).selectExpr("'c' AS language", "concat('text ', id) AS raw_content")
+    rows.coalesce(1).write.option("compression", "lz4").json(f"{folder}/whole.jsonl")
+    rows.coalesce(1).write.option("compression", "lz4").json(f"{folder}/half.jsonl")
+    (part,) = (folder / "half.jsonl").glob("*.lz4")
+    part.write_bytes(b"\x00\x00\x01\x00" + b"\xff" * 40)
+    (folder / "half.jsonl" / f".{part.name}.crc").unlink()
+    found = stored_records(spark, f"{tmp_path}/in")
+    assert [f.path.rsplit("/", 1)[1] for f in found.unreadable] == [part.name]
+    assert found.records.count() == 2000 and found.unreadable[0].reached is None
+
+
 def test_streams_without_cap_and_with_cap_zero(spark, tmp_path):
     path = f"{tmp_path}/lines"
     spark.range(400).selectExpr("CAST(id AS STRING) AS code").repartition(40).write.json(path)
@@ -288,7 +334,8 @@ def test_stage_two_parses_every_line_once(spark, tmp_path):
     lines = [json.dumps({"language": "c", "raw_content": f"t {i % 3}"}) for i in range(9)]
     lines += ["", "broken {", json.dumps({"language": "c", "raw_content": ""}), "{}"]
     (folder / "a.jsonl").write_text("\n".join(lines))
-    records, bad, counts = stored_records(spark, f"{tmp_path}/in")
+    records, bad, counts, unreadable = stored_records(spark, f"{tmp_path}/in")
+    assert unreadable == []
     assert counts == {"loaded": 11, "empty": 2}
     for df in (records, bad):
         assert "from_json" not in df._jdf.queryExecution().optimizedPlan().toString()
