@@ -342,3 +342,33 @@ def test_stage_two_parses_every_line_once(spark, tmp_path):
     stage = pool_from_jsonl(spark, f"{tmp_path}/in", f"{tmp_path}/pool")
     assert stage.report.head().asDict() == dedup_report(records).head().asDict()
     assert [r.line for r in stage.left_out.collect()] == ["broken {"]
+
+
+def test_lines_are_numbered_without_moving_them(spark, tmp_path):
+    """Many files of many slices, blank lines and lines that are no objects."""
+    folder = tmp_path / "corpus" / "train"
+    folder.mkdir(parents=True)
+    wanted = []
+    for k in range(7):
+        lines = []
+        for i in range(150 * k):
+            text = f"file {k} line {i} " + "x" * (i * 7 % 90)
+            lines += [json.dumps({"text": text})] + [""] * (i % 5 == 0) + ["no object"] * (i % 11 == 0)
+            wanted += [text] + [None] * (i % 11 == 0)
+        (folder / f"{k}.json").write_text("\n".join(lines))
+    settings = {"spark.sql.files.maxPartitionBytes": "1k", "spark.sql.files.openCostInBytes": "10",
+                "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        for cap in (None, 0, 900):
+            rows = scan(spark, plain_corpus("corpus", "prose", cap), str(tmp_path))
+            found = {r.ord: r.text for r in rows.collect()}
+            assert [found[i] for i in range(len(found))] == wanted[:cap]
+        rows = scan(spark, plain_corpus("corpus", "prose"), str(tmp_path))
+        assert rows.rdd.getNumPartitions() > 50
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "SinglePartition" not in plan
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
