@@ -345,6 +345,18 @@ _DOCUMENT_SPLIT = f"""WITH {DOCUMENTS},
 members AS (SELECT language AS phase, snippet_id FROM doc_pool),
 {_split('members')}"""
 
+# Forty rounds that swap the places whose sum is a key, or not, by a bit of a hash.
+_KEY = "CAST('0x' || substr(md5(epoch || '|' || r), 1, 15) AS BIGINT)"
+_OTHER = f"(({_KEY} % m - x + m) % m)"
+_EPOCH_PLACES = f"""counted_epochs AS (
+  SELECT *, count(*) OVER (PARTITION BY phase, epoch, part) AS m FROM epochs),
+placed AS (
+  SELECT *, CASE WHEN part = 'val' THEN place - 1 ELSE list_reduce(
+    list_concat([place - 1], range(40)), lambda x, r: CASE
+      WHEN substr(md5(epoch || '|' || r || '|' || greatest(x, {_OTHER})), 1, 1) >= '8'
+      THEN {_OTHER} ELSE x END) END AS p
+  FROM counted_epochs)"""
+
 _TOKENS = f"""tokens AS (
   SELECT doc_id, lang, CASE WHEN n_chars % 11 = 0 THEN NULL
     WHEN n_chars % 13 = 0 THEN CAST([] AS INTEGER[])
@@ -563,25 +575,18 @@ FROM counted""",
     "selection_contents": f"""WITH {DOCUMENTS}, {_DOCUMENT_PHASES}
 SELECT phase, role, original_id, CAST(length(raw_content) AS INTEGER) AS content_length
 FROM selection JOIN doc_pool USING (snippet_id)""",
-    "train_val_split": f"{_DOCUMENT_SPLIT} SELECT phase, snippet_id, part, place FROM split",
+    "train_val_split": f"""{_DOCUMENT_SPLIT} SELECT phase, snippet_id, part, place,
+  count(*) OVER (PARTITION BY phase, part) AS "of" FROM split""",
     "epoch_batches": f"""{_DOCUMENT_SPLIT},
 epochs AS (SELECT *, unnest([1, 2, 3]) AS epoch FROM split),
-placed AS (
-  SELECT *, CASE WHEN part = 'val' THEN place ELSE row_number() OVER (
-    PARTITION BY phase, epoch, part ORDER BY md5(epoch || '|' || snippet_id), snippet_id)
-    END AS p
-  FROM epochs)
+{_EPOCH_PLACES}
 SELECT phase, snippet_id, part, CAST(epoch AS INTEGER) AS epoch,
-  CAST((p - 1) // 8 AS BIGINT) AS batch FROM placed""",
+  CAST(p // 8 AS BIGINT) AS batch FROM placed""",
     "epoch_batches_zero": f"""{_DOCUMENT_SPLIT},
 epochs AS (SELECT *, unnest([1, 2]) AS epoch FROM split WHERE phase <> 'de'),
-placed AS (
-  SELECT *, CASE WHEN part = 'val' THEN place ELSE row_number() OVER (
-    PARTITION BY phase, epoch, part ORDER BY md5(epoch || '|' || snippet_id), snippet_id)
-    END AS p
-  FROM epochs)
+{_EPOCH_PLACES}
 SELECT phase, snippet_id, part, CAST(epoch AS INTEGER) AS epoch,
-  CAST((p - 1) // 8 AS BIGINT) AS batch FROM placed""",
+  CAST(p // 8 AS BIGINT) AS batch FROM placed""",
     "sequence_shape": f"""WITH {_TOKENS}
 SELECT doc_id, {_as_text('input_ids')} AS input_ids,
   {_as_text('attention_mask')} AS attention_mask FROM sequences""",

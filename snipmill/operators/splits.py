@@ -15,6 +15,7 @@ from snipmill.operators.sampling import row_key
 VALIDATION_RATIO = 0.15
 SPLIT_SEED = "42"
 BATCH_SIZE = 1
+SWAPS = 40  # rounds of a shuffle
 
 
 def share(rows: Column, ratio: float | Column) -> Column:
@@ -36,7 +37,8 @@ def split_train_validation(
     ratio: float = VALIDATION_RATIO,
     seed: str = SPLIT_SEED,
 ) -> DataFrame:
-    """Add ``part`` (train or val), exact in size per group, and the ``place`` in it."""
+    """Add ``part`` (train or val), exact in size per group, the ``place`` in it, and ``of``,
+    the rows of the part."""
     keyed = selection.withColumn("_key", row_key(selection))
     drawn = keyed.withColumn("_draw", draw(seed, F.col("_key")))
     ranked = with_rank(drawn, keys, hash_bucket(F.col("_draw")), ["_draw", "_key"], size="_rows")
@@ -47,10 +49,33 @@ def split_train_validation(
         .withColumn(
             "place", F.when(held_out, F.col("rank")).otherwise(F.col("rank") - F.col("_val"))
         )
+        .withColumn(
+            "of", F.when(held_out, F.col("_val")).otherwise(F.col("_rows") - F.col("_val"))
+        )
         .drop("_draw", "_key", "_rows", "_val", "rank")
     )
 
 
+def shuffled_place(place: Column, of: Column, seed: Column) -> Column:
+    """Where a place from 0 to ``of`` - 1 goes in an order that follows ``seed``.
+
+    A swap-or-not shuffle (Hoang, Morris and Rogaway, 2012): each round pairs the places
+    whose sum is a key, and a bit of a hash of the pair tells whether the two change
+    places. Every round is its own inverse, so whatever the hashes, no two places ever
+    go to the same one, and no row has to meet another.
+    """
+
+    def swapped(x: Column, turn: Column) -> Column:
+        name = F.concat_ws("|", seed, turn)
+        key = F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("bigint")
+        other = (key % of - x + of) % of
+        pair = F.concat_ws("|", name, F.greatest(x, other).cast("string"))
+        return F.when(F.substring(F.md5(pair), 1, 1) >= "8", other).otherwise(x)
+
+    turns = F.array(*(F.lit(str(i)) for i in range(SWAPS)))
+    return F.aggregate(turns, place.cast("bigint"), swapped)
+
+
 def epoch_batches(
     split: DataFrame,
     epochs: int | Column,
@@ -62,20 +87,22 @@ def epoch_batches(
     Training rows come in a new random order each epoch, validation rows always
     in the order of the split. The last batch may be short. No epochs give no
     rows; a group whose number of epochs is not known fails the job.
+
+    Orders follow from ``place`` and ``of`` of the split alone, row by row: nothing is
+    counted, sorted or shuffled again, however many epochs there are. Only for a split
+    without ``of`` the rows of its parts are counted, by ``keys``.
     """
+    if "of" not in split.columns:
+        sizes = split.groupBy(*keys, "part").agg(F.count("*").alias("of"))
+        split = split.join(sizes, [*keys, "part"]).select(*split.columns, "of")
     count = F.lit(epochs) if isinstance(epochs, int) else epochs
     known = F.coalesce(count, F.raise_error(F.lit("a group has no number of epochs")))
     numbers = F.when(known >= 1, F.sequence(F.lit(1), known))
-    per_epoch = split.withColumn("epoch", F.explode(numbers)).withColumn("_key", row_key(split))
-    drawn = per_epoch.withColumn("_draw", draw(F.col("epoch").cast("string"), F.col("_key")))
-    ranked = with_rank(
-        drawn,
-        [*keys, "epoch", "part"],
-        hash_bucket(F.col("_draw")),
-        ["_draw", "_key"],
-    )
-    place = F.when(F.col("part") == "train", F.col("rank")).otherwise(F.col("place"))
-    return ranked.withColumn("batch", F.floor((place - 1) / batch_size)).drop("_draw", "_key", "rank")
+    per_epoch = split.withColumn("epoch", F.explode(numbers))
+    seed = F.col("epoch").cast("string")
+    drawn = shuffled_place(F.col("place") - 1, F.col("of").cast("bigint"), seed)
+    place = F.when(F.col("part") == "train", drawn).otherwise(F.col("place") - 1)
+    return per_epoch.withColumn("batch", F.floor(place / batch_size)).drop("of")
 
 
 def step_plan(

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from snipmill.operators import dedup
 from snipmill.operators.dedup import keep_first
 from snipmill.operators.extract import is_long_enough
 from snipmill.operators.reports import dedup_report, language_distribution, yield_report, zero_yield
@@ -56,3 +57,35 @@ def test_yields(spark):
 def test_language_distribution(spark):
     found = {tuple(r) for r in language_distribution(records(spark, ROWS)).collect()}
     assert found == {("python", 3), ("cpp", 3), ("unknown", 1)}
+
+
+def test_hot_contents_are_split(spark, monkeypatch):
+    """A content that is in every file reaches the last task once per salt only."""
+    monkeypatch.setattr(dedup, "HOT_COPIES", 200)
+    monkeypatch.setattr(dedup, "SALTS", 4)
+    kinds = {0: "hot", 1: "hot", 2: "warm"}
+    rows = [(f"s{i % 7}", "h", "c", kinds.get(i % 5, f"text {i // 3}"), i) for i in range(2_000)]
+    df = records(spark, rows).repartition(50)
+    found = keep_first(df).collect()
+    wanted = {}
+    for i, (source, _, language, content, ord_) in enumerate(rows):
+        own = ((language, source, ord_), str(i))
+        wanted[content] = min(wanted.get(content, own), own)
+    assert {(r.raw_content, r.original_id) for r in found} == {(c, w[1]) for c, w in wanted.items()}
+    assert len(found) == len(wanted)
+    assert dedup.hot_contents(dedup.drop_empty(df).withColumn("snippet_id", F.col("raw_content"))).count() == 2
+    assert "_salt" in keep_first(df)._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.undo()
+    assert "_salt" not in keep_first(df)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_hot_copies_meet_in_groups_first(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "HOT_COPIES", 100)
+    monkeypatch.setattr(dedup, "SALTS", 4)
+    inputs = []
+    own = dedup._first
+    monkeypatch.setattr(dedup, "_first", lambda rows, keys, order: inputs.append(rows) or own(rows, keys, order))
+    rows = [("s", "h", "c", "hot" if i % 2 else f"text {i}", i) for i in range(1_000)]
+    keep_first(records(spark, rows).repartition(40))
+    copies = inputs[-1].where("raw_content = 'hot'").count()
+    assert 1 < copies <= 4 and inputs[-1].where("raw_content <> 'hot'").count() == 500

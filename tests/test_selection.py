@@ -15,7 +15,12 @@ from snipmill.operators.sampling import (
     shuffled,
     used_ids,
 )
-from snipmill.operators.splits import epoch_batches, split_train_validation, step_plan
+from snipmill.operators.splits import (
+    epoch_batches,
+    shuffled_place,
+    split_train_validation,
+    step_plan,
+)
 from snipmill.plans.phases import (
     PHASES,
     Phase,
@@ -230,3 +235,26 @@ def test_unknown_phases_and_epochs_fail(spark):
         with pytest.raises(Exception, match="unknown phase|number of epochs"):
             epoch_batches(split, epochs).count()
     assert epoch_batches(split, 0).count() == 0
+
+
+def test_shuffled_places_are_a_permutation(spark):
+    """For any size, another one each epoch, and spread over all places."""
+    rows = [(m, i) for m in (1, 2, 3, 5, 64, 1000) for i in range(m)]
+    df = spark.createDataFrame(rows, "m bigint, i bigint").withColumn("e", F.explode(F.array(F.lit("1"), F.lit("2"))))
+    found = {}
+    for r in df.withColumn("p", shuffled_place(F.col("i"), F.col("m"), F.col("e"))).collect():
+        found.setdefault((r.m, r.e), {})[r.i] = r.p
+    for (m, _), places in found.items():
+        assert sorted(places.values()) == list(range(m))
+    assert found[1000, "1"] != found[1000, "2"]
+    for e in ("1", "2"):
+        p = found[1000, e]
+        assert sum(p[i] == i for i in p) < 10 and sum(abs(p[i + 1] - p[i]) == 1 for i in range(999)) < 15
+        quarters = [sum(p[i] // 250 == q for i in range(250)) for q in range(4)]
+        assert min(quarters) > 35
+
+
+def test_epochs_need_no_exchange(spark, tmp_path):
+    split = spark.createDataFrame([("a", "x", "train", 1, 1)], "phase string, snippet_id string, part string, place int, of int")
+    plan = epoch_batches(split, 3, 8)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
