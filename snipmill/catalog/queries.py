@@ -608,7 +608,8 @@ def plain_corpus_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def extraction_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What becomes of sources that are fine, streamed, faulty, empty or missing."""
+    """What becomes of sources that are fine, streamed, faulty, partly faulty, empty or
+    missing."""
     root = new_path(spark, "sources")
     documents = inputs.table(spark, sf_dir, "documents")
     source = Source("fine", "fine", "en", "train", ("text",))
@@ -619,7 +620,13 @@ def extraction_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     for one in (source, streamed, odd):
         documents.select("doc_id", "text").write.parquet(one.path(root))
     documents.limit(0).write.parquet(empty.path(root))
-    report = extract_all(spark, root, f"{root}-records", (source, streamed, odd, empty, absent))
+    # Files of every third document lack the text.
+    partly = replace(source, id="partly", hf_name="partly")
+    third = F.col("doc_id") % 3 == 0
+    documents.where(~third).select("doc_id", "text").write.parquet(partly.path(root))
+    documents.where(third).select("doc_id").write.mode("append").parquet(partly.path(root))
+    sources = (source, streamed, odd, empty, absent, partly)
+    report = extract_all(spark, root, f"{root}-records", sources)
     rows = [(s.source, s.status, s.processed, s.written) for s in report]
     return spark.createDataFrame(
         rows, "source string, status string, processed bigint, written bigint"

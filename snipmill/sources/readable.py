@@ -21,11 +21,12 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from py4j.protocol import Py4JJavaError
-from pyarrow import fs
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snipmill.sources.files import opened
+
 STEP = 1 << 18  # compressed bytes that are read at once
 BATCH_LINES, BATCH_BYTES = 2_000, 1 << 22
 # Hadoop's block formats have an end mark, but only Spark reads them.
@@ -108,13 +109,6 @@ def split_lines(pieces: Iterable[tuple[int, bytes]]) -> Iterator[bytes]:
         yield data.removesuffix(b"\r")
 
 
-def _opened(path: str):
-    """A file of any file system that pyarrow knows, for reading from the start."""
-    uri = re.sub("^file:/+", "file:///", path)
-    system, name = fs.FileSystem.from_uri(uri)
-    return system.open_input_stream(name, compression=None)
-
-
 def _salvaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ("file", "row", "value", "reason", "reached")
     types = (pa.string(), pa.int64(), pa.binary(), pa.string(), pa.int64())
@@ -129,7 +123,7 @@ def _salvaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for file in files["path"].to_pylist():
             machine = _MACHINES[file.rpartition(".")[2]]
             rows, size = [], 0
-            with _opened(file) as stream:
+            with opened(file) as stream:
                 try:
                     for i, line in enumerate(split_lines(decompressed(stream.read, machine))):
                         rows.append((file, i, line, None, None))

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Iterator, Sequence
 
-from pyspark.errors import AnalysisException
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructType
+from pyspark.sql.pandas.types import from_arrow_type
+from pyspark.sql.types import ArrayType, NullType, StringType, StructType
 
 from snipmill.session import materialise
+from snipmill.sources.files import can_open, opened
 from snipmill.sources.registry import TAGGED_SOLUTIONS, Source
 
 _FILE, _START, _ROW, _BEFORE = "_file", "_start", "_row", "_before"
@@ -138,32 +144,92 @@ def _reader(spark: SparkSession, source: Source) -> DataFrameReader:
     return reader.schema(source.schema) if source.schema else reader
 
 
-def leading_files(spark: SparkSession, source: Source, root: str) -> list[str]:
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Files below a path by name; names come to the driver, as whenever Spark lists them."""
+    names = F.col("_metadata.file_path").alias("name")
+    listed = spark.read.format("binaryFile").load(path).select("path", names).collect()
+    return [r.path for r in sorted(listed, key=lambda r: r.name)]
+
+
+def _footer_schemas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Schema of each Parquet file, as Spark writes it down; types that Spark has no
+    name for are nulls."""
+    for batch in batches:
+        names = batch["path"].to_pylist()
+        schemas = []
+        for name in names:
+            with opened(name) as file:
+                fields = StructType()
+                for field in pq.read_schema(file):
+                    try:
+                        kind = from_arrow_type(field.type)
+                    except PySparkException:
+                        kind = NullType()
+                    fields = fields.add(field.name, kind)
+            schemas.append(fields.json())
+        yield pa.RecordBatch.from_pydict({"path": names, "schema": schemas})
+
+
+def files_by_contract(
+    spark: SparkSession, source: Source, root: str
+) -> tuple[dict[str, list[str]], list[str]]:
+    """Files of a Parquet source that lack a field, by the fields they lack, and the others.
+
+    Spark takes the schema of one file for all. Here the tasks read the footer of each;
+    the driver gets every schema once, and names of files only if one of them is odd.
+    Stores that pyarrow does not open are not looked through.
+    """
+    path = source.path(root)
+    if source.format != "parquet" or not can_open(path):
+        return {}, []
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    footers = materialise(
+        files.select("path").mapInArrow(_footer_schemas, "path string, schema string"), "footers"
+    )
+    lacking = {}
+    for row in footers.select("schema").distinct().collect():
+        missing = missing_paths(StructType.fromJson(json.loads(row.schema)), source)
+        if missing:
+            lacking[row.schema] = ", ".join(missing)
+    if not lacking:
+        return {}, []
+    odd: dict[str, list[str]] = {}
+    good = []
+    for row in footers.orderBy("path").collect():
+        if row.schema in lacking:
+            odd.setdefault(lacking[row.schema], []).append(row.path)
+        else:
+            good.append(row.path)
+    return odd, good
+
+
+def leading_files(
+    spark: SparkSession, source: Source, root: str, files: Sequence[str] | None = None
+) -> list[str]:
     """The files of a capped source, by name, that hold its first rows.
 
     Names come to the driver, as they do whenever Spark lists files, and counts of
     growing groups of files, until there are enough rows.
     """
-    path = source.path(root)
-    names = F.col("_metadata.file_path").alias("name")
-    listed = spark.read.format("binaryFile").load(path).select("path", names).collect()
-    files = [r.path for r in sorted(listed, key=lambda r: r.name)]
+    files = file_names(spark, source.path(root)) if files is None else files
     at, rows, group = 0, 0, FIRST_FILES
     while at < len(files) and rows < source.max_samples:
         rows += _reader(spark, source).load(files[at : at + group]).count()
         at, group = at + group, 2 * group
-    return files[:at]
+    return list(files[:at])
 
 
 def _without_scheme(path: str) -> str:
     return re.sub("^[a-z][a-z0-9]*:/+", "/", path)
 
 
-def open_source(spark: SparkSession, source: Source, root: str) -> DataFrame:
+def open_source(
+    spark: SparkSession, source: Source, root: str, only: Sequence[str] | None = None
+) -> DataFrame:
     """Rows of a source, found by name, subset and split: all of them, or those of the
-    files that hold the first ``max_samples``."""
+    files that hold the first ``max_samples``; of certain files only, if they are given."""
     path = source.path(root)
-    files = leading_files(spark, source, root) if source.max_samples else []
+    files = leading_files(spark, source, root, only) if source.max_samples else list(only or [])
     reader = _reader(spark, source)
     if not files or _without_scheme(files[0]) == _without_scheme(path):
         return reader.load(path)

@@ -4,6 +4,7 @@ import bz2
 import gzip
 import json
 import random
+import threading
 import zlib
 from dataclasses import replace
 
@@ -11,6 +12,7 @@ import pytest
 import zstandard
 from pyspark.errors import AnalysisException
 
+from snipmill.plans import extraction
 from snipmill.plans.extraction import extract_all, yield_totals
 from snipmill.plans.pool import build_pool, pool_from_jsonl
 from snipmill.schemas import CHARACTERISTICS, POOL, RECORD
@@ -372,3 +374,42 @@ def test_lines_are_numbered_without_moving_them(spark, tmp_path):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_sources_run_side_by_side(spark, tmp_path, monkeypatch):
+    """The first source waits for all others; one fails; statuses keep their order."""
+    others = threading.Barrier(3, timeout=60)
+    tags = {}
+
+    def one(spark, source, root, out):
+        tags[source.id] = set(spark.sparkContext.getJobTags())
+        if source.id != "d":
+            others.wait()
+        if source.id == "b":
+            raise ValueError("broken")
+        return [extraction.SourceStatus(source.id, "done")]
+
+    monkeypatch.setattr(extraction, "_extract_one", one)
+    sources = [replace(CODE, id=name) for name in "abcd"]
+    report = extract_all(spark, str(tmp_path), "", sources)
+    assert [(s.source, s.status) for s in report] == [("a", "done"), ("b", "failed"), ("c", "done"), ("d", "done")]
+    assert report[1].detail == "broken" and not set(spark.sparkContext.getJobTags())
+    assert tags == {s.id: {extraction.job_tag(s)} for s in sources}
+
+
+def test_files_that_lack_a_field_are_named(spark, tmp_path):
+    """Whichever file Spark would take the schema from; also of a capped source."""
+    whole = "concat('this is the code number ', id) AS code"
+    for name, odd_first in (("one", True), ("two", False)):
+        source = replace(CODE, id=name, hf_name=name)
+        parts = [("id AS other",), (whole,)] if odd_first else [(whole,), ("id AS other",)]
+        for columns in parts:
+            spark.range(50).coalesce(1).selectExpr(*columns).write.mode("append").parquet(source.path(str(tmp_path)))
+        for cap, rows in ((None, 50), (20, 20)):
+            report = extract_all(spark, str(tmp_path), f"{tmp_path}/out", [replace(source, max_samples=cap)])
+            assert [(s.status, s.written) for s in report] == [("done", rows), ("missing fields", 0)]
+            assert report[1].detail.startswith("code: ") and report[1].detail.count(".parquet") == 1
+    source = replace(CODE, id="none", hf_name="none")
+    spark.range(5).write.parquet(source.path(str(tmp_path)))
+    (status,) = extract_all(spark, str(tmp_path), f"{tmp_path}/out", [source])
+    assert (status.status, status.detail) == ("missing fields", "code")
