@@ -16,8 +16,9 @@ never broadcast by hint.
 Results, defined for every input: a capture without url, host or time is covered by
 nothing and passes. Entries without list, value, time or known kind and action are
 ignored. Of entries of a value at the same time a removal wins. Repeated entries count
-once, repeated captures each get a row. Further columns are kept for captures and
-ignored for entries; names that start with an underscore are used inside.
+once, repeated captures each get a row. Further columns are ignored for entries and
+kept for captures, whatever their names; one that is named like a result is kept as
+``own_`` and its name, with as many ``own_`` as it takes to be told apart.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DOMAIN, PREFIX = "domain", "prefix"
+RESULTS = ["blocked", "matches", "match"]
 _KEY = ["list", "kind", "value"]
 
 
@@ -99,13 +101,35 @@ def intervals(entries: DataFrame) -> DataFrame:
     )
 
 
+def kept_names(columns: list[str]) -> list[str]:
+    """Names under which the columns of captures stand in the result."""
+    taken = {c.lower() for c in columns} | set(RESULTS)
+    out = []
+    for name in columns:
+        if name.lower() in RESULTS:
+            while name.lower() in taken:
+                name = f"own_{name}"
+            taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def judged(
     captures: DataFrame, entries: DataFrame, url_col: str = "url", time_col: str = "fetched_at"
 ) -> DataFrame:
     """Captures with ``blocked``, the number of active entries that cover them,
     ``matches``, and the first of these by list, kind and value, ``match``."""
+    # Columns of captures go by number until the end, so no name can clash.
+    lower = [c.lower() for c in captures.columns]
+    numbered = captures.toDF(*(f"c{i}" for i in range(len(lower))))
+    rows = numbered.withColumns(
+        {
+            "_url": F.col(f"c{lower.index(url_col.lower())}"),
+            "_at": F.col(f"c{lower.index(time_col.lower())}").cast("timestamp"),
+        }
+    )
     asked = (
-        captures.select(F.col(url_col).alias("_url"), F.col(time_col).cast("timestamp").alias("_at"))
+        rows.select("_url", "_at")
         .where("_url IS NOT NULL AND _at IS NOT NULL")
         .distinct()
         .withColumn("_host", host_of(F.col("_url")))
@@ -119,9 +143,7 @@ def judged(
     covered = asked.select("_url", "_at", F.trunc("_at", "month").alias("month"), F.explode(keys).alias("k"))
     covered = covered.select("_url", "_at", "month", "k.kind", "k.value")
 
-    span = captures.agg(
-        F.min(F.col(time_col).cast("timestamp")).alias("a"), F.max(F.col(time_col).cast("timestamp")).alias("b")
-    ).head()  # one row
+    span = rows.agg(F.min("_at").alias("a"), F.max("_at").alias("b")).head()  # one row
     low, high = F.lit(span.a).cast("timestamp"), F.lit(span.b).cast("timestamp")
     begin = F.greatest("valid_from", low)
     end = F.least(F.coalesce("valid_to", high), high)
@@ -140,10 +162,10 @@ def judged(
         .groupBy("_url", "_at")
         .agg(F.count("*").alias("matches"), F.min(F.struct(*_KEY)).alias("match"))
     )
-    rows = captures.withColumn("_at", F.col(time_col).cast("timestamp")).withColumn("_url", F.col(url_col))
-    return (
-        rows.join(hits, ["_url", "_at"], "left")
-        .withColumn("blocked", F.col("matches").isNotNull())
-        .withColumn("matches", F.coalesce("matches", F.lit(0)))
-        .drop("_url", "_at")
+    kept = zip(numbered.columns, kept_names(captures.columns))
+    return rows.join(hits, ["_url", "_at"], "left").select(
+        *(F.col(c).alias(name) for c, name in kept),
+        F.col("matches").isNotNull().alias("blocked"),
+        F.coalesce("matches", F.lit(0)).alias("matches"),
+        "match",
     )

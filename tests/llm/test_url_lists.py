@@ -91,6 +91,22 @@ def test_odd_rows(spark):
     assert [r[1] for r in judged(spark, captures, [])] == [False] * len(captures)
 
 
+def test_columns_of_captures_with_names_of_results(spark):
+    names = "id bigint, url string, fetched_at timestamp, Matches string, match int, blocked string, own_match int, _url string, _at int, month int, c0 int"
+    captures = spark.createDataFrame(
+        [(1, "http://a.com/x", DAY, "m", 7, "b", 8, "u", 9, 10, 11), (2, "http://b.com/", DAY, None, None, None, None, None, None, None, None)],
+        names,
+    )
+    found = u.judged(captures, entries_of(spark, [("l", "domain", "a.com", DAY, "add")]))
+    assert found.columns == [
+        "id", "url", "fetched_at", "own_Matches", "own_own_match", "own_blocked", "own_match", "_url", "_at", "month", "c0",
+        "blocked", "matches", "match",
+    ]
+    one, two = sorted(found.collect())
+    assert tuple(one) == (1, "http://a.com/x", DAY, "m", 7, "b", 8, "u", 9, 10, 11, True, 1, ("l", "domain", "a.com"))
+    assert tuple(two) == (2, "http://b.com/", DAY, *[None] * 8, False, 0, None)
+
+
 def test_no_python_in_the_plan(spark):
     df = u.judged(captures_of(spark, [(1, "http://a.com", DAY)]), entries_of(spark, [("l", "domain", "a.com", DAY, "add")]))
     plan = df._jdf.queryExecution().executedPlan().toString()
