@@ -22,7 +22,9 @@ and html); every page is extracted from its whole html.
 
 Results, defined for every input: a null or empty page has an empty text. Broken
 markup never fails: unclosed elements end with what they stand in, stray end tags
-are ignored, text outside all blocks belongs to the page. Pages are handled one by
+are ignored, text outside all blocks belongs to the page. A head ends before the first
+text or element that cannot stand in it. Drawings, objects and templates end with their
+parent, drawings also before a block; one without any end tag behind it is empty. Pages are handled one by
 one, so ties, repeated rows and further columns do not matter. Without a page that
 marks its article, all blocks that name themselves as something else are dropped.
 """
@@ -43,8 +45,12 @@ from pyspark.sql import functions as F
 from snipmill.llm.common import sampled, texts_of
 
 # Elements whose text is never shown as text of the page, and those without content.
-RAW = "script style template noscript iframe object svg canvas title textarea".split()
+RAW = "script style noscript iframe title textarea".split()
 HIDDEN = {"head", "select", "datalist", "button", "audio", "video", "map"}
+# Elements that are no blocks of the page, nor is what they hold. They end with their parent.
+FOREIGN = {"template", "object", "svg", "canvas"}
+# What may stand in a head; anything else ends it.
+_HEAD = {"base", "basefont", "bgsound", "head", "link", "meta", *RAW, "template"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark "
@@ -66,7 +72,6 @@ ENDS_WITH = {
     "td": {"td", "th", "tr"},
     "th": {"td", "th", "tr"},
     "option": {"option", "optgroup"},
-    "head": {"body"},
 }
 # How blocks name themselves, by tag, class, id or role.
 OTHER = set(
@@ -103,6 +108,7 @@ _TAG = re.compile(
 _NAMES = re.compile(r"""(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>?", re.I) for t in RAW}
+_FOREIGN_END = re.compile(rf"</({'|'.join(sorted(FOREIGN))})(?=[\s/>])", re.I)
 
 
 class Page:
@@ -118,19 +124,23 @@ class Page:
         # Open blocks with their tag and the links open in them, and how often a tag is open.
         stack: list[list] = [["#page", 0, 0]]
         open_tags: Counter[str] = Counter()
-        links = hidden = 0
+        links = hidden = foreign = 0
+        last_end: dict[str, int] | None = None  # of foreign elements
 
         def close() -> None:
-            nonlocal links, hidden
+            nonlocal links, hidden, foreign
             tag, _, own_links = stack.pop()
             open_tags[tag] -= 1
             links -= own_links
-            hidden -= tag in HIDDEN
+            hidden -= tag in HIDDEN or tag in FOREIGN
+            foreign -= tag in FOREIGN
 
         at, end = 0, len(html)
         while at < end:
             found = _TAG.search(html, at)
             stop = found.start() if found else end
+            if stop > at and stack[-1][0] == "head" and not html[at:stop].isspace():
+                close()
             block = stack[-1][1]
             if stop > at and not hidden:
                 self.runs.append((block, html[at:stop]))
@@ -143,13 +153,16 @@ class Page:
             if not name:
                 continue
             tag = name.lower()
+            if not found[1] and stack[-1][0] == "head" and tag not in _HEAD:
+                close()
+                block = stack[-1][1]
             if tag in INLINE:
                 if found[1]:
                     if tag == "a" and stack[-1][2]:
                         stack[-1][2] -= 1
                         links -= 1
                 else:
-                    self.inner[block] += 1
+                    self.inner[block] += not foreign
                     if tag == "a":
                         stack[-1][2] += 1
                         links += 1
@@ -166,9 +179,24 @@ class Page:
                 over = _RAW_END[tag].search(html, at)
                 at = over.end() if over else end
                 continue
+            if open_tags["svg"] and not open_tags["foreignobject"] and (tag == "p" or tag in _BLOCK_BEGINS):
+                while open_tags["svg"]:
+                    close()
             while tag in ENDS_WITH.get(stack[-1][0], ()):
                 close()
             block = stack[-1][1]
+            if tag in FOREIGN or foreign:
+                whole = (tag == "svg" or open_tags["svg"]) and found[3].endswith("/")
+                if tag in FOREIGN and not whole:
+                    if last_end is None:
+                        last_end = {m[1].lower(): m.start() for m in _FOREIGN_END.finditer(html, at)}
+                    whole = last_end.get(tag, 0) < at
+                if not whole and tag not in VOID:
+                    hidden += tag in HIDDEN or tag in FOREIGN
+                    foreign += tag in FOREIGN
+                    open_tags[tag] += 1
+                    stack.append([tag, block, 0])
+                continue
             if not hidden:
                 self.runs.append((block, " "))
             if tag in VOID:
