@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from snipmill.llm import toxicity
@@ -8,8 +9,11 @@ from snipmill.llm.common import fold
 from snipmill.llm.toxicity import Machine
 
 
-def corpus(n, seed=1):
-    """Toxic are texts that have an insult and a group, but neither alone."""
+BOTH, ONE, EQUAL = (3,), (1, 2), (0, 3)
+
+
+def corpus(n, seed=1, toxic=BOTH):
+    """Toxic are texts that have an insult and a group, exactly one, or both or neither."""
     draw = random.Random(seed)
     words = [f"w{i}" for i in range(200)]
     rows, labels = [], []
@@ -19,12 +23,13 @@ def corpus(n, seed=1):
         text += ["Blorgish!"] * (kind in (1, 3)) + ["zorplings,"] * (kind in (2, 3))
         draw.shuffle(text)
         rows.append((i, " ".join(text)))
-        labels.append((i, int(kind == 3)))
+        labels.append((i, int(kind in toxic)))
     return rows, labels
 
 
-def test_pairs_of_terms_are_learned(spark, documents):
-    rows, labels = corpus(1500)
+@pytest.mark.parametrize("toxic", [BOTH, ONE, EQUAL])
+def test_pairs_of_terms_are_learned(spark, documents, toxic):
+    rows, labels = corpus(1500, toxic=toxic)
     df = documents(rows)
     known = spark.createDataFrame(labels, "doc_id bigint, toxic int")
     model = toxicity.train(df, known, fold(F.col("doc_id")) != 0)
@@ -44,6 +49,27 @@ def test_labels_of_the_held_out_fold_are_not_used(spark, documents):
     assert (a.slots == b.slots).all() and (a.weights == b.weights).all() and a.bias == b.bias
 
 
+def test_pairs_equal_brute_force():
+    draw = np.random.default_rng(4)
+    machine = Machine(least_cell=2.0, least_pair_chi=6.0)
+    x = draw.random((2300, 12)) < 0.3
+    x[:, 5] = x[:, 4]
+    labels = (draw.random(2300) < np.where(x[:, 1] ^ x[:, 7], 0.6, 0.3)).astype(float)
+    share, wanted = labels.mean(), set()
+    for a in range(12):
+        for b in range(a):
+            cells = [labels[(x[:, a] == i) & (x[:, b] == j)] for i in (0, 1) for j in (0, 1)]
+            if min(map(len, cells)) * min(share, 1 - share) >= machine.least_cell:
+                p00, p01, p10, p11 = (c.mean() for c in cells)
+                spread = share * (1 - share) * sum(1 / len(c) for c in cells)
+                if (p11 - p10 - p01 + p00) ** 2 / spread >= machine.least_pair_chi:
+                    wanted |= {a, b}
+    sets = [np.flatnonzero(r) for r in x]
+    assert {1, 7} <= wanted and set(toxicity.pairing(sets, labels, 12, machine)) == wanted
+    assert list(toxicity.pairing(sets, labels, 12, Machine(pairs=1))) == [1, 7]
+    assert len(toxicity.pairing(sets, draw.permutation(labels), 12, Machine())) == 0
+
+
 def test_scores_equal_all_pairs():
     draw = np.random.default_rng(2)
     model = toxicity.Model(np.arange(30), -0.3, draw.normal(size=30), draw.normal(size=(30, 4)))
@@ -81,5 +107,5 @@ def test_odd_rows(spark, documents, odd_rows):
 def test_sample_is_bounded(spark, documents):
     rows, labels = corpus(300)
     known = spark.createDataFrame(labels, "doc_id bigint, toxic int")
-    model = toxicity.train(documents(rows), known, F.lit(True), machine=Machine(sample_rows=50, terms=20))
-    assert len(model.slots) <= 20
+    model = toxicity.train(documents(rows), known, F.lit(True), machine=Machine(sample_rows=50, terms=20, pairs=3))
+    assert len(model.slots) <= 26
