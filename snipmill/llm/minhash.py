@@ -11,8 +11,8 @@
    below the wanted similarity go. The others are confirmed on full sets, and
    give components.
 4. Bands that hold several components stay open. In a few rounds, every node of an
-   open band is compared with one node of another component that leads the band in
-   this round. In a group of copies, each round links a good part of what is left,
+   open band is compared with one node of another component that leads a band of it in
+   this round, the one that its packed bits agree with most. In a group of copies, each round links a good part of what is left,
    at the cost of one comparison per node.
 5. What is still apart is compared pair by pair, but only across components: nodes
    of open bands get 2048 further minima of one bit, and only pairs within five
@@ -318,18 +318,23 @@ def _closer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _tried(rows: DataFrame, sets: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Links between each node of an open band and a node of another component that
-    leads one of its bands in this turn; ``x`` and ``y`` are their components."""
+def _tried(rows: DataFrame, sets: DataFrame, bits: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Links between each node of an open band and, of the nodes of other components that
+    lead its bands in this turn, the one whose packed bits agree with its own the most;
+    ``x`` and ``y`` are their components."""
     node = F.struct(F.xxhash64("doc_id", F.lit(turn)), "doc_id", "component")
     leaders = rows.groupBy("band").agg(F.min(node).alias("lead"))
     leaders = leaders.select(
         "band", F.col("lead.doc_id").alias("a"), F.col("lead.component").alias("x")
     )
-    first = F.min(F.struct(F.xxhash64("a", F.lit(turn)), "a", "x", "component")).alias("first")
+    of = lambda x: bits.select(F.col("doc_id").alias(x), F.col("bits").alias(f"bits_{x}")).hint("merge")
+    leaders = leaders.join(of("a"), "a")
+    agree = agreeing(F.col("bits_a"), F.col("bits_b"))
+    first = F.max(F.struct(agree, "a", "x", "component")).alias("first")
     pairs = (
         rows.join(leaders.hint("merge"), "band")
         .where("component <> x")
+        .join(of("doc_id").withColumnRenamed("bits_doc_id", "bits_b"), "doc_id")
         .groupBy(F.col("doc_id").alias("b"))
         .agg(first)
         .select("first.a", "b", "first.x", F.col("first.component").alias("y"))
@@ -338,9 +343,10 @@ def _tried(rows: DataFrame, sets: DataFrame, percent: int, turn: int) -> DataFra
 
 
 def _relabelled(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """Open rows after links, which tie whole components."""
-    tied = _hooked(links.select(F.col("x").alias("a"), F.col("y").alias("b")), "tied-components")
-    now = tied.withColumnRenamed("id", "component")
+    """Open rows after links, which tie whole components. These must all be followed:
+    a leader that many are linked with may have any place in the order of ids."""
+    tied = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    now = tied.select(F.col("id").alias("component"), F.col("component").alias("up"))
     moved = rows.drop("blocks").join(now, "component", "left")
     return _open(moved.select("band", "doc_id", F.coalesce("up", "component").alias("component")))
 
@@ -429,7 +435,7 @@ def near_duplicates(
     closer = closer.mapInArrow(_closer, "doc_id bigint, set binary, sketch array<bigint>")
     closer = materialise(closer, "open-sets")
     for turn in range(TRIES):
-        tried = _tried(rows, closer, percent, turn)
+        tried = _tried(rows, closer, bits, percent, turn)
         links = links.unionByName(tried.select("a", "b"))
         rows = _relabelled(rows, tried)
     rest = materialise(_remaining(rows, closer, threshold), "rest-pairs")
