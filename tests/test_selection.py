@@ -21,6 +21,7 @@ from snipmill.operators.splits import (
     split_train_validation,
     step_plan,
 )
+from snipmill.plans import phases as phases_module
 from snipmill.plans.phases import (
     PHASES,
     Phase,
@@ -37,7 +38,7 @@ def select_phase(pool, phase, used=None):
     free = pool if used is None else exclude_used(pool, used)
     drawn = sample(free, phase.num_samples, phase.name, phase.language)
     main = materialise(drawn.withColumn("role", F.lit("main")), "main-selection")
-    quota = phase.replay_quota(main, "python")
+    quota = phase.replay_quota(main.count(), "python")
     if not quota:
         return main
     taken = used_ids(main) if used is None else used_ids(main, used)
@@ -157,6 +158,48 @@ def test_phases_equal_one_phase_after_the_other(pool):
     assert not [r for r in found if r[0] == "c"]
 
 
+def test_four_phases_take_at_most_eight_actions(pool, monkeypatch):
+    actions = Counter()
+
+    def counted(name):
+        plain = getattr(phases_module, name)
+
+        def run(*args):
+            actions[name] += 1
+            return plain(*args)
+
+        monkeypatch.setattr(phases_module, name, run)
+
+    for name in ("reaching_buckets", "_edges", "materialise"):
+        counted(name)
+    assert select_phases(pool).count() == 1050
+    assert actions["reaching_buckets"] == 1 and actions["materialise"] == 2
+    assert sum(actions.values()) <= 8
+
+
+@pytest.mark.parametrize("copies", [1, 40])
+def test_phases_over_repeated_ids(spark, copies):
+    """Ids of several languages and with many rows: an id is used up as a whole."""
+    rows = [(f"i{k % 110}", ("python", "cpp", "java")[k % 3]) for k in range(330)]
+    rows += [(f"j{k}", "python" if k % 2 else "cpp") for k in range(60)]
+    rows += [(f"i{k}", "python") for k in range(0, 9, 3) for _ in range(copies - 1)]
+    frame = materialise(spark.createDataFrame(rows, "snippet_id string, language string"), "pool")
+    phases = (
+        Phase("a", "python", 30, 1),
+        Phase("b", "cpp", 40, 1, replay_ratio=0.5),
+        Phase("c", None, 70, 1, replay_rows=90),
+        Phase("d", "java", 200, 1, replay_ratio=1.0),
+    )
+    found = Counter((r.phase, r.role, r.snippet_id) for r in select_phases(frame, phases).collect())
+    wanted, used = Counter(), None
+    for phase in phases:
+        chosen = select_phase(frame, phase, used).select("role", "snippet_id").collect()
+        wanted.update((phase.name, *r) for r in chosen)
+        ids = {(r.snippet_id,) for r in chosen} | (set() if used is None else set(map(tuple, used.collect())))
+        used = spark.createDataFrame(sorted(ids), "snippet_id string")
+    assert found == wanted
+
+
 def test_first_phase_is_python():
     assert [p.num_samples for p in PHASES] == [300, 200, 200, 250]
 
