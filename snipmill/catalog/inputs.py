@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from snipmill.catalog import templates
 from snipmill.functions.text import strip
 from snipmill.operators.sequences import with_sequences
+from snipmill.sources.registry import SOLUTION_LISTS, TAGGED_SOLUTIONS, Source
 
 VOCABULARY = 50_000
 PAD, EOS = 0, VOCABULARY + 1
@@ -132,6 +133,26 @@ def listed_solutions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def laid_out(spark: SparkSession, sf_dir: str, source: Source) -> DataFrame:
+    """Documents in the order of their ids, in the shape of a known source: the first text of
+    every third is blank where there are no solutions, every second solution is in Java, the
+    others in C++."""
+    code = F.concat_ws(" ", "source", "text")
+    first, *others = source.content_fields
+    if source.shape == TAGGED_SOLUTIONS:
+        label = F.when(F.col("doc_id") % 2 == 0, "C++ 17").otherwise("Java")
+        entry = F.struct(label.alias(source.language_key), code.alias(source.code_key))
+        fields = [F.col("text").alias(first), F.array(entry).alias(source.solutions_field)]
+    elif source.shape == SOLUTION_LISTS:
+        items = F.to_json(F.array(F.col("source"), code))
+        fields = [F.col("text").alias(first), F.array(items).alias(source.solutions_field)]
+    else:
+        blank = F.when(F.col("doc_id") % 3 == 0, " ").otherwise(F.col("text"))
+        fields = [blank.alias(first), *(code.alias(name) for name in others)]
+    documents = table(spark, sf_dir, "documents").orderBy("doc_id")
+    return documents.select(F.col("doc_id").alias("id"), *fields)
+
+
 def parts_to_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns with a description, a solution, both or neither."""
     return table(spark, sf_dir, "conversations").selectExpr(

@@ -631,6 +631,28 @@ FROM (SELECT count(*) AS n, count(*) FILTER (WHERE length({_strip('text')}) >= 2
   count(*) FILTER (WHERE doc_id % 3 <> 0) AS n_some,
   count(*) FILTER (WHERE doc_id % 3 <> 0 AND length({_strip('text')}) >= 20) AS long_some
   FROM documents)""",
+    "known_sources": f"""WITH d AS (
+  SELECT doc_id, source AS origin, {_strip('text')} AS body, {_strip("concat_ws(' ', source, text)")} AS code,
+    concat_ws(' ', source, text) AS raw, row_number() OVER (ORDER BY doc_id) AS nth FROM documents
+), one AS (SELECT *, CASE WHEN doc_id % 3 <> 0 THEN body END AS content FROM d),
+two AS (SELECT *, coalesce(nullif(content, ''), code) AS either FROM one),
+c AS (
+  SELECT 'mbpp_py' AS source, 'python' AS language, doc_id, either AS content FROM two WHERE nth <= 10000
+  UNION ALL SELECT 'humaneval_py', 'python', doc_id, either FROM two WHERE nth <= 2000
+  UNION ALL SELECT 'alpaca_py_instr', 'python', doc_id, either FROM two WHERE nth <= 18000
+  UNION ALL SELECT 'codeforces_py', 'python', doc_id, content FROM one WHERE nth <= 50000
+  UNION ALL SELECT 'rust_code_snippets_new', 'rust', doc_id, content FROM one WHERE nth <= 5000
+  UNION ALL SELECT 'c_code_snippets_new', 'c', doc_id, content FROM one WHERE nth <= 10000
+  UNION ALL SELECT 'apps_py', 'python', doc_id, concat(CASE WHEN body <> '' THEN
+    concat(body, chr(10), chr(10), '# Solutions:', chr(10)) END,
+    origin, chr(10), chr(10), '---', chr(10), chr(10), raw) FROM d WHERE nth <= 50
+  UNION ALL SELECT CASE WHEN doc_id % 2 = 0 THEN 'cpp_code_contests' ELSE 'java_code_contests' END,
+    CASE WHEN doc_id % 2 = 0 THEN 'cpp' ELSE 'java' END, doc_id, concat(CASE WHEN body <> '' THEN
+    concat(body, chr(10), chr(10), '// Solution:', chr(10)) END, code)
+    FROM d WHERE nth <= 10000 AND code <> ''
+)
+SELECT source, language, CAST(doc_id AS VARCHAR) AS original_id, sha256(content) AS content_hash,
+  0 AS n_not_done FROM c WHERE length(content) >= 20""",
     "compressed_records": f"""SELECT CAST(doc_id AS VARCHAR) AS original_id,
   sha256({_strip('text')}) AS content_hash, 0 AS n_unreadable FROM documents""",
     "broken_records": f"""SELECT CAST(doc_id AS VARCHAR) AS original_id,

@@ -44,7 +44,13 @@ from snipmill.sources.jsonl import (
     stored_records,
     write_records,
 )
-from snipmill.sources.registry import SOLUTION_LISTS, TAGGED_SOLUTIONS, Source, plain_corpus
+from snipmill.sources.registry import (
+    SOLUTION_LISTS,
+    SOURCES,
+    TAGGED_SOLUTIONS,
+    Source,
+    plain_corpus,
+)
 from snipmill.sources.scans import scan
 from snipmill.streaming.bounded import take
 
@@ -633,6 +639,24 @@ def extraction_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def known_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of all sources of the registry, from documents laid out as each of them is."""
+    root = new_path(spark, "known-sources")
+    for path, source in {s.path(root): s for s in SOURCES}.items():
+        inputs.laid_out(spark, sf_dir, source).write.parquet(path)
+    report = extract_all(spark, root, f"{root}-records")
+    wrong = [s.source for s in report if s.status != "done"]
+    found = stored_records(spark, f"{root}-records").records
+    return found.select(
+        F.col("source_config_id").alias("source"),
+        "language",
+        "original_id",
+        fingerprint(F.col("raw_content")).alias("content_hash"),
+        F.lit(len(wrong)).alias("n_not_done"),
+    )
+
+
 @registered
 def compressed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of compressed files, all of which are checked and read to their end."""
