@@ -13,7 +13,7 @@
 4. Bands that hold several components stay open. In a few rounds, every node of an
    open band is compared with one node of another component that leads a band of it in
    this round, the one that its packed bits agree with most. In a group of copies, each round links a good part of what is left,
-   at the cost of one comparison per node.
+   at the cost of one comparison per node. A round that closes little is the last.
 5. What is still apart is compared pair by pair, but only across components: nodes
    of open bands get 2048 further minima of one bit, and only pairs within five
    standard deviations of the wanted similarity leave the join, to be confirmed.
@@ -54,7 +54,8 @@ MINIMA = BANDS * ROWS
 LONGS = -(-MINIMA * BITS // 64)
 BLOCK = 512  # members of a band that meet in one block
 CLOSER = 2048  # further minima, of which one bit is kept
-TRIES = 3  # rounds of step 4
+TRIES = 3  # rounds of step 4 at most
+GAIN = 0.1  # share of the open rows that a round must close for another one
 
 _RANDOM = np.random.default_rng(20240229)
 _MULTIPLY = _RANDOM.integers(0, 1 << 32, MINIMA, np.uint32) | np.uint32(1)
@@ -244,9 +245,19 @@ def agreeing(a: Column, b: Column) -> Column:
     return F.lit(MINIMA) - reduce(add, wrong)
 
 
-def agreeing_closer(a: Column, b: Column) -> Column:
-    """Bits in which two sketches agree."""
-    wrong = (F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(CLOSER // 64))
+def sketch_columns(sketch: Column, prefix: str) -> list[Column]:
+    """The longs of a sketch as columns without nulls. With longs taken out of lists inside
+    a join, Java finds the code of the join too long to compile and interprets it."""
+    return [
+        F.coalesce(F.get(sketch, F.lit(i)), F.lit(0)).alias(f"{prefix}{i}")
+        for i in range(CLOSER // 64)
+    ]
+
+
+def agreeing_closer(a: str, b: str) -> Column:
+    """Bits in which two sketches agree, given by the prefixes of their columns."""
+    longs = range(CLOSER // 64)
+    wrong = (F.bit_count(F.col(f"{a}{i}").bitwiseXOR(F.col(f"{b}{i}"))) for i in longs)
     return F.lit(CLOSER) - reduce(add, wrong)
 
 
@@ -359,14 +370,14 @@ def _remaining(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     of = lambda x: (
         F.col("doc_id").alias(x),
         F.col("component").alias(f"of_{x}"),
-        F.col("sketch").alias(f"sketch_{x}"),
         F.col("bands").alias(f"bands_{x}"),
+        *sketch_columns(F.col("sketch"), f"sketch_{x}"),
     )
     block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     left = rows.select("band", block.alias("block"), *of("a"))
     right = rows.select("band", every.alias("block"), *of("b"))
-    agree = agreeing_closer(F.col("sketch_a"), F.col("sketch_b"))
+    agree = agreeing_closer("sketch_a", "sketch_b")
     near = agree >= least_agreeing(threshold, CLOSER, 1, 5)
     met = (left.band == right.band) & (left.block == right.block)
     once = F.get(F.array_intersect("bands_a", "bands_b"), F.lit(0)) == left.band
@@ -434,10 +445,14 @@ def near_duplicates(
     closer = sets.join(nodes_left.hint("merge"), "doc_id").select("doc_id", "set")
     closer = closer.mapInArrow(_closer, "doc_id bigint, set binary, sketch array<bigint>")
     closer = materialise(closer, "open-sets")
+    n_open = rows.count()
     for turn in range(TRIES):
         tried = _tried(rows, closer, bits, percent, turn)
         links = links.unionByName(tried.select("a", "b"))
         rows = _relabelled(rows, tried)
+        n_before, n_open = n_open, rows.count()
+        if n_before - n_open <= GAIN * n_before:
+            break
     rest = materialise(_remaining(rows, closer, threshold), "rest-pairs")
     links = links.unionByName(confirmed(rest, closer, percent))
     found = components(links)

@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -135,3 +136,29 @@ def test_components_of_chains_stars_and_rings(spark):
     assert len(found) == 61 + 51 + 3
     assert all(found[i] == 0 for i in range(61)) and found[302] == 300 and found[200] == 100
     assert components(df.limit(0)).count() == 0
+
+
+def test_join_of_sketches_is_compiled(spark):
+    """Java interprets methods of more than 8000 bytes, in which a pair takes ten times as long."""
+    rows = spark.createDataFrame([(1, 5, 5, 1)], "band bigint, doc_id bigint, component bigint, blocks int")
+    sets = spark.createDataFrame([(5, [0] * (minhash.CLOSER // 64))], "doc_id bigint, sketch array<bigint>")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        pairs = minhash._remaining(rows, sets, 0.75)
+        text = spark._jvm.PythonSQLUtils.explainString(pairs._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_rounds_end_when_little_is_closed(spark, documents, monkeypatch):
+    """Texts that share a passage but are not alike: one round closes nothing, so none follows."""
+    draw = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    passage = [draw.choice(vocabulary) for _ in range(100)]
+    rows = [(i, " ".join(passage + [draw.choice(vocabulary) for _ in range(30)])) for i in range(60)]
+    turns, tried = [], minhash._tried
+    monkeypatch.setattr(minhash, "_tried", lambda *a: turns.append(a[-1]) or tried(*a))
+    check(documents, rows)
+    assert turns == [0]
