@@ -133,9 +133,9 @@ def listed_solutions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def laid_out(spark: SparkSession, sf_dir: str, source: Source) -> DataFrame:
-    """Documents in the order of their ids, in the shape of a known source: the first text of
-    every third is blank where there are no solutions, every second solution is in Java, the
+def laid_out(documents: DataFrame, source: Source) -> DataFrame:
+    """Documents in their order, in the shape of a known source: the first text of every
+    third is blank where there are no solutions, every second solution is in Java, the
     others in C++."""
     code = F.concat_ws(" ", "source", "text")
     first, *others = source.content_fields
@@ -149,7 +149,6 @@ def laid_out(spark: SparkSession, sf_dir: str, source: Source) -> DataFrame:
     else:
         blank = F.when(F.col("doc_id") % 3 == 0, " ").otherwise(F.col("text"))
         fields = [blank.alias(first), *(code.alias(name) for name in others)]
-    documents = table(spark, sf_dir, "documents").orderBy("doc_id")
     return documents.select(F.col("doc_id").alias("id"), *fields)
 
 

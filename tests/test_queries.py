@@ -70,3 +70,23 @@ def test_a_pool_line_is_parsed_once(spark, tmp_path):
     plan = pool._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") <= 2
     assert pool.head().characteristics.loc == 1
+
+
+def test_known_sources_sort_documents_once(spark, tmp_path, monkeypatch):
+    """All layouts come from one sort, and are in the order of the ids."""
+    texts = {i: f"text number {i} of some documents, not in their order" for i in range(120)}
+    rows = [(i, texts[i], "s") for i in sorted(texts, key=lambda i: i * 37 % 120)]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    documents.repartition(6).write.parquet(f"{tmp_path}/documents.parquet")
+    sorts, order_by = [], type(documents).orderBy
+    monkeypatch.setattr(
+        type(documents), "orderBy", lambda df, *c, **k: sorts.append(c) or order_by(df, *c, **k)
+    )
+    found = REGISTERED["known_sources"](spark, str(tmp_path)).collect()
+    assert sorts == [("doc_id",)]
+    ids = lambda source: sorted(int(r.original_id) for r in found if r.source == source)
+    assert ids("apps_py") == list(range(50))
+    assert ids("mbpp_py") == list(range(120))
+    assert ids("cpp_code_contests") == list(range(0, 120, 2))
+    assert ids("rust_code_snippets_new") == [i for i in range(120) if i % 3]
+    assert {r.n_not_done for r in found} == {0}
