@@ -13,13 +13,15 @@
 4. Bands that hold several components stay open. In a few rounds, every node of an
    open band is compared with one node of another component that leads a band of it in
    this round, the one that its packed bits agree with most. In a group of copies, each round links a good part of what is left,
-   at the cost of one comparison per node. A round that closes little is the last.
+   at the cost of one comparison per node. A round that links few nodes is the last.
 5. What is still apart is compared pair by pair, but only across components: nodes
    of open bands get 2048 further minima of one bit, and only pairs within five
-   standard deviations of the wanted similarity leave the join, to be confirmed.
-   So no link between components is lost, and a group of copies does not make all
-   its pairs. Bands have no cap; large ones are dealt over blocks, so that no task
-   meets one whole.
+   standard deviations of the wanted similarity leave the join, to be confirmed. They
+   also get 1024 bits of parity, which differ in at most as many places as the sets:
+   this never loses a link, and of sets of some hundred shingles it leaves few but the
+   links. So no link between components is lost, and neither a group of copies nor
+   groups that are almost alike make all their pairs. Bands have no cap; large ones
+   are dealt over blocks, so that no task meets one whole.
 
 Joins that move texts or sets are always sort-merge joins, which split hot keys and
 make the same plan at every size. Sets are compared by the first 48 bits of their
@@ -54,8 +56,9 @@ MINIMA = BANDS * ROWS
 LONGS = -(-MINIMA * BITS // 64)
 BLOCK = 512  # members of a band that meet in one block
 CLOSER = 2048  # further minima, of which one bit is kept
-TRIES = 3  # rounds of step 4 at most
-GAIN = 0.1  # share of the open rows that a round must close for another one
+PARITY = 1024  # bits that tell of how many shingles of their own they have an odd number
+TRIES = 6  # rounds of step 4 at most
+GAIN = 0.02  # share of the open nodes that a round must link for another one
 
 _RANDOM = np.random.default_rng(20240229)
 _MULTIPLY = _RANDOM.integers(0, 1 << 32, MINIMA, np.uint32) | np.uint32(1)
@@ -64,6 +67,7 @@ _PLACE = _RANDOM.integers(0, 1 << 63, max(SHINGLE, ROWS), np.uint64) | np.uint64
 
 FEATURES = "doc_id bigint, n_shingles bigint, set_key struct<a: bigint, b: bigint>"
 BANDED = f"{FEATURES}, bands array<bigint>, bits array<bigint>"
+SIZE_AT = (CLOSER + PARITY) // 64  # place of the number of shingles in a sketch
 PART = 32_768  # shingles whose minima are taken together, to stay in the processor's cache
 
 
@@ -102,6 +106,13 @@ def sketch(hashes48: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
+def parity(hashes48: np.ndarray) -> np.ndarray:
+    """Each shingle falls on a bit by its hash; set are those with an odd number, as longs.
+    Two sets differ in at least as many shingles as their bits differ."""
+    odd = np.bincount((hashes48 % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def minima(sets: list[np.ndarray]) -> np.ndarray:
     """One row of minima per non-empty set."""
     values = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
@@ -246,19 +257,31 @@ def agreeing(a: Column, b: Column) -> Column:
 
 
 def sketch_columns(sketch: Column, prefix: str) -> list[Column]:
-    """The longs of a sketch as columns without nulls. With longs taken out of lists inside
-    a join, Java finds the code of the join too long to compile and interprets it."""
+    """The longs of a sketch as columns without nulls: minima, parity, size. With longs taken
+    out of lists inside a join, Java finds the code of the join too long to compile and
+    interprets it."""
     return [
         F.coalesce(F.get(sketch, F.lit(i)), F.lit(0)).alias(f"{prefix}{i}")
-        for i in range(CLOSER // 64)
+        for i in range(SIZE_AT + 1)
     ]
 
 
+def _differing(a: str, b: str, longs: range) -> Column:
+    return reduce(add, (F.bit_count(F.col(f"{a}{i}").bitwiseXOR(F.col(f"{b}{i}"))) for i in longs))
+
+
 def agreeing_closer(a: str, b: str) -> Column:
-    """Bits in which two sketches agree, given by the prefixes of their columns."""
-    longs = range(CLOSER // 64)
-    wrong = (F.bit_count(F.col(f"{a}{i}").bitwiseXOR(F.col(f"{b}{i}"))) for i in longs)
-    return F.lit(CLOSER) - reduce(add, wrong)
+    """Bits of minima in which two sketches agree, given by the prefixes of their columns."""
+    return F.lit(CLOSER) - _differing(a, b, range(CLOSER // 64))
+
+
+def possible(a: str, b: str, threshold: float) -> Column:
+    """Whether two sets can be so similar, by their parity and sizes: never wrong about a pair
+    that is. Of ``n`` shingles in both, it may differ in the share (1 - t) / (1 + t)."""
+    x, y = F.col(f"{a}{SIZE_AT}"), F.col(f"{b}{SIZE_AT}")
+    most = (x + y) * F.lit((1 - threshold) / (1 + threshold)) + F.lit(1e-6)
+    differ = _differing(a, b, range(CLOSER // 64, SIZE_AT))
+    return (F.abs(x - y) <= most) & (differ <= most)
 
 
 def least_agreeing(threshold: float, n: int, bits: int, deviations: float) -> int:
@@ -323,7 +346,8 @@ def _open(members: DataFrame) -> DataFrame:
 
 def _closer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [sketch(unpacked_set(s)) for s in batch.column(1).to_pylist()]
+        sets = map(unpacked_set, batch.column(1).to_pylist())
+        found = [np.concatenate([sketch(s), parity(s), [len(s)]]) for s in sets]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), _lists(found)], names=["doc_id", "set", "sketch"]
         )
@@ -359,7 +383,8 @@ def _relabelled(rows: DataFrame, links: DataFrame) -> DataFrame:
     tied = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
     now = tied.select(F.col("id").alias("component"), F.col("component").alias("up"))
     moved = rows.drop("blocks").join(now, "component", "left")
-    return _open(moved.select("band", "doc_id", F.coalesce("up", "component").alias("component")))
+    moved = moved.select("band", "doc_id", F.coalesce("up", "component").alias("component"))
+    return _open(materialise(moved, "moved"))
 
 
 def _remaining(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -378,7 +403,9 @@ def _remaining(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     left = rows.select("band", block.alias("block"), *of("a"))
     right = rows.select("band", every.alias("block"), *of("b"))
     agree = agreeing_closer("sketch_a", "sketch_b")
-    near = agree >= least_agreeing(threshold, CLOSER, 1, 5)
+    near = possible("sketch_a", "sketch_b", threshold) & (
+        agree >= least_agreeing(threshold, CLOSER, 1, 5)
+    )
     met = (left.band == right.band) & (left.block == right.block)
     once = F.get(F.array_intersect("bands_a", "bands_b"), F.lit(0)) == left.band
     pairs = left.join(right.hint("merge"), met & (F.col("of_a") < F.col("of_b")) & near & once)
@@ -445,13 +472,12 @@ def near_duplicates(
     closer = sets.join(nodes_left.hint("merge"), "doc_id").select("doc_id", "set")
     closer = closer.mapInArrow(_closer, "doc_id bigint, set binary, sketch array<bigint>")
     closer = materialise(closer, "open-sets")
-    n_open = rows.count()
+    least = GAIN * closer.count()
     for turn in range(TRIES):
         tried = _tried(rows, closer, bits, percent, turn)
         links = links.unionByName(tried.select("a", "b"))
         rows = _relabelled(rows, tried)
-        n_before, n_open = n_open, rows.count()
-        if n_before - n_open <= GAIN * n_before:
+        if tried.count() <= least:
             break
     rest = materialise(_remaining(rows, closer, threshold), "rest-pairs")
     links = links.unionByName(confirmed(rest, closer, percent))

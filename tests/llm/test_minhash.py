@@ -162,3 +162,44 @@ def test_rounds_end_when_little_is_closed(spark, documents, monkeypatch):
     monkeypatch.setattr(minhash, "_tried", lambda *a: turns.append(a[-1]) or tried(*a))
     check(documents, rows)
     assert turns == [0]
+
+
+def test_parity_never_exceeds_the_difference(spark):
+    draw = np.random.default_rng(5)
+    rows, wanted = [], []
+    for _ in range(200):
+        n = int(draw.integers(1, 3000))
+        x = np.unique(draw.integers(0, 1 << 48, n, np.uint64))
+        cut = int(draw.integers(0, 1 + len(x) // 3))
+        y = np.unique(np.concatenate([x[cut:], draw.integers(0, 1 << 48, cut // 2, np.uint64)]))
+        if not len(y):
+            continue
+        p, q = minhash.parity(x), minhash.parity(y)
+        both = len(np.intersect1d(x, y))
+        assert sum(bin(int(v) & (1 << 64) - 1).count("1") for v in p ^ q) <= len(x) + len(y) - 2 * both
+        blank = [0] * (minhash.CLOSER // 64)
+        rows.append((blank + p.tolist() + [len(x)], blank + q.tolist() + [len(y)]))
+        wanted.append(both / (len(x) + len(y) - both))
+    df = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>")
+    columns = [*minhash.sketch_columns(F.col("a"), "a"), *minhash.sketch_columns(F.col("b"), "b")]
+    found = [r.ok for r in df.select(columns).select(minhash.possible("a", "b", 0.75).alias("ok")).collect()]
+    assert all(ok for ok, similar in zip(found, wanted) if similar >= 0.75)
+    assert not all(found)
+
+
+def test_groups_almost_alike_do_not_meet_pair_by_pair(spark, documents, monkeypatch):
+    """Two groups of copies, at 0.70 of each other: their pairs do not leave the last join."""
+    words = [f"w{i}" for i in range(150)]
+    other = [f"v{i}" if i in (20, 45, 70, 95, 120) else w for i, w in enumerate(words)]
+    rows = [(2 * i, " ".join([*words[:-1], f"x{i}"])) for i in range(60)]
+    rows += [(2 * i + 1, " ".join([*other[:-1], f"y{i}"])) for i in range(60)]
+    made, keep = {}, minhash.materialise
+
+    def counted(df, label):
+        out = keep(df, label)
+        made[label] = out.count()
+        return out
+
+    monkeypatch.setattr(minhash, "materialise", counted)
+    check(documents, rows)
+    assert made["open-bands"] > 60 and made["rest-pairs"] <= len(rows)
